@@ -96,34 +96,35 @@ def order_statistics(df: DataFrame, group: list[str], value: str, ranks: DataFra
 
     ``ranks`` has the group columns and ``rank``; the result adds ``value`` to it.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))
-    placed = running_totals(counts, group, [value], ["n"])
+    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
+    placed = running_totals(counts, group, [value], ["_n"])
     # a few ranks per group
     return (
         placed.join(F.broadcast(ranks), group)
-        .where((F.col("cum_n") - F.col("n") < F.col(rank)) & (F.col(rank) <= F.col("cum_n")))
+        .where((F.col("cum__n") - F.col("_n") < F.col(rank)) & (F.col(rank) <= F.col("cum__n")))
         .select(*ranks.columns, value)
     )
 
 
 def quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: rows of (feature, prob, n, quantile)."""
-    long = unpivot(df, columns)
-    sizes = long.where("value IS NOT NULL").groupBy("feature").agg(F.count("*").alias("n"))
-    targets = sizes.select(
-        "feature", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    ).withColumn("place", F.col("prob") * (F.col("n") - 1))
-    wanted = targets.select(
-        "feature", "n", "prob", "place",
-        F.explode(F.array_distinct(F.array(F.floor("place") + 1, F.ceil("place") + 1))).alias("rank"),
-    )
-    found = order_statistics(long, ["feature"], "value", wanted, "rank")
-    weight = F.col("place") - F.floor("place")
-    return (
-        found.groupBy("feature", "prob", "n", "place")
-        .agg(F.min_by("value", "rank").alias("low"), F.max_by("value", "rank").alias("high"))
-        .select("feature", "prob", "n", (F.col("low") + weight * (F.col("high") - F.col("low"))).alias("quantile"))
+    long = unpivot(df, columns).where("value IS NOT NULL")
+    counts = long.groupBy("feature", "value").agg(F.count("*").alias("_n"))
+    placed = running_totals(counts, ["feature"], ["value"], ["_n"])
+    ends = []
+    for p in probs:
+        place = F.lit(float(p)) * (F.col("tot__n") - 1)
+        low = F.floor(place)
+        ends += [
+            F.struct(F.lit(float(p)).alias("prob"), (place - low).alias("part"), rank.alias("rank"))
+            for rank in (low + 1, low + 2)
+        ]
+    hit = F.filter(
+        F.array(*ends), lambda e: (F.col("cum__n") - F.col("_n") < e["rank"]) & (e["rank"] <= F.col("cum__n"))
     )
+    found = placed.select("feature", "value", F.col("tot__n").alias("n"), F.inline(hit))
+    low, high = F.min_by("value", "rank"), F.max_by("value", "rank")
+    return found.groupBy("feature", "prob", "n").agg((low + F.max("part") * (high - low)).alias("quantile"))
 
 
 def unpivot(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
