@@ -121,7 +121,9 @@ def match_networks(df: DataFrame, ip: str, networks: DataFrame, cidr: str = "cid
         F.expr("substring(net_lo, 1, net_nibbles)").alias("net_prefix"),
     )
     lengths = nets.select("net_width", "net_nibbles").distinct()
-    addresses = df.select(ip).distinct().withColumn("_hex", ip_hex(F.col(ip))).where("_hex IS NOT NULL")
+    # the generator keeps the conversion from being repeated in the conditions below
+    addresses = df.select(ip).distinct().select(ip, F.explode(F.array(ip_hex(F.col(ip)))).alias("_hex"))
+    addresses = addresses.where("_hex IS NOT NULL")
     # at most 9 + 33 rows by the width of an address
     keyed = addresses.join(F.broadcast(lengths), F.length("_hex") == F.col("net_width")).withColumn(
         "net_prefix", F.expr("substring(_hex, 1, net_nibbles)")

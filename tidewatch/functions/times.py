@@ -11,50 +11,41 @@ _DATE = r"\d{4}-\d{1,2}-\d{1,2}"
 _TIME = r"\d{1,2}:\d{1,2}:\d{1,2}"
 ISO_OUT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
-# Accepted layouts as (shape, parse pattern). A shape admits one pattern only, so a
-# value is parsed at most once and never by trial and error.
-_PLAIN = [
-    (rf"(?i)\A{_DATE}T{_TIME}Z\z", "yyyy-M-d'T'H:m:s'Z'"),
-    (rf"(?i)\A{_DATE}T{_TIME}\z", "yyyy-M-d'T'H:m:s"),
-    (rf"\A{_DATE} {_TIME}\z", "yyyy-M-d H:m:s"),
-]
-_OFFSET = [
-    (rf"(?i)\A{_DATE}T{_TIME}[+-]\d{{4}}\z", "yyyy-M-d'T'H:m:sXX"),
-    (rf"(?i)\A{_DATE}T{_TIME}[+-]\d{{2}}:\d{{2}}\z", "yyyy-M-d'T'H:m:sXXX"),
-    (rf"(?i)\A\d{{1,2}}/[a-z]{{3}}/\d{{4}}:{_TIME} [+-]\d{{4}}\z", "d/MMM/yyyy:H:m:s XX"),
-    (rf"(?i)\A\d{{1,2}}/[a-z]{{3}}/\d{{4}}:{_TIME} [+-]\d{{2}}:\d{{2}}\z", "d/MMM/yyyy:H:m:s XXX"),
-]
-_FRACTION = [
-    (rf"(?i)\A{_DATE}T{_TIME}\.\d{{1,9}}Z?\z", None),
-    (rf"\A{_DATE} {_TIME}\.\d{{1,9}}\z", None),
-]
-
-
-def _parse(value: Column, layouts) -> Column:
-    result = F.lit(None).cast("timestamp")
-    for shape, pattern in reversed(layouts):
-        parsed = (
-            F.try_to_timestamp(value, F.lit(pattern))
-            if pattern
-            else value.try_cast("timestamp")
-        )
-        result = F.when(value.rlike(shape), parsed).otherwise(result)
-    return result
+# Accepted layouts. One shape test admits a value to the built-in parser, which never
+# sees a value it could only reject by an exception.
+_NAIVE = rf"(?:[Tt]{_TIME}[Zz]?| {_TIME})"
+_EVENT = rf"\A{_DATE}{_NAIVE}\z"
+_LOG = rf"\A{_DATE}(?:{_NAIVE}|[Tt]{_TIME}[+-]\d{{2}}:?\d{{2}})\z"
+_TELEMETRY = rf"\A{_DATE}(?:{_NAIVE}|[Tt]{_TIME}[+-]\d{{2}}:?\d{{2}}|[Tt]{_TIME}\.\d{{1,9}}[Zz]?| {_TIME}\.\d{{1,9}})\z"
+_WEB = rf"\A\d{{1,2}}/[A-Za-z]{{3}}/\d{{4}}:{_TIME} [+-]\d{{4}}\z"
+_WEB_PATTERN = "d/MMM/yyyy:H:m:s XX"
+
+
+def _iso(value: Column, shape: str) -> Column:
+    return F.when(value.rlike(shape), F.upper(value).try_cast("timestamp"))
+
+
+def _parse(value: Column, shape: str) -> Column:
+    # the built-in parser wants a colon in the offset
+    compact = value.rlike(r"[+-]\d{4}\z")
+    zoned = F.when(compact, F.regexp_replace(value, r"(\d{2})\z", ":$1")).otherwise(value)
+    web = F.when(value.rlike(_WEB), F.try_to_timestamp(value, F.lit(_WEB_PATTERN)))
+    return F.when(value.contains("/"), web).otherwise(_iso(zoned, shape))
 
 
 def parse_event_time(value: Column) -> Column:
     """ISO with Z, ISO naive or blank-separated; no offset, no surrounding blanks."""
-    return _parse(value, _PLAIN)
+    return _iso(value, _EVENT)
 
 
 def parse_log_time(value: Column) -> Column:
     """The layouts of :func:`parse_event_time` plus ISO with offset and the web-server layout."""
-    return _parse(strip(value), _PLAIN + _OFFSET)
+    return _parse(strip(value), _LOG)
 
 
 def parse_telemetry_time(value: Column) -> Column:
     """The layouts of :func:`parse_log_time` plus fractional seconds."""
-    return _parse(strip(value), _PLAIN + _OFFSET + _FRACTION)
+    return _parse(strip(value), _TELEMETRY)
 
 
 def iso_utc(ts: Column) -> Column:

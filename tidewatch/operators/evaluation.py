@@ -21,11 +21,17 @@ def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "pre
     """One row: accuracy and support-weighted precision, recall and F1."""
     cells = confusion_matrix(df, label, prediction)
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
-    actual = cells.groupBy("label").agg(F.sum("n").alias("support"), F.sum(hit).alias("tp"))
-    called = cells.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("called"))
-    per = actual.join(called, "label", "left").na.fill(0, ["called"])
+    # each cell counts for its actual and for its predicted class
+    sides = F.array(
+        F.struct(F.col("label").cast("string").alias("c"), F.col("n").alias("support"), hit.alias("tp"), F.lit(0).cast("bigint").alias("called")),
+        F.struct(
+            F.col("prediction").cast(df.schema[label].dataType).cast("string").alias("c"), F.lit(0).cast("bigint").alias("support"),
+            F.lit(0).cast("bigint").alias("tp"), F.col("n").alias("called"),
+        ),
+    )
+    per = cells.select(F.inline(sides)).groupBy("c").agg(*[F.sum(x).alias(x) for x in ("support", "tp", "called")])
     precision = F.coalesce(F.try_divide(F.col("tp"), F.col("called")), F.lit(0.0))
-    recall = F.col("tp") / F.col("support")
+    recall = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     f1 = 2 * F.col("tp") / (F.col("support") + F.col("called"))
     total = F.sum("support")
     return per.agg(

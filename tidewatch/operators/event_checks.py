@@ -127,7 +127,7 @@ def _combination() -> list[Column]:
 def _byte_count() -> list[Column]:
     # compared as digits, since a hostile count may exceed every numeric type
     raw = F.regexp_extract(F.col("original_line"), r",(-?\d+)\s*\z", 1)
-    digits = F.regexp_replace(F.ltrim(F.lit("-"), raw), r"\A0+(?=\d)", "")
+    digits = F.regexp_replace(F.ltrim(raw, F.lit("-")), r"\A0+(?=\d)", "")
     negative = raw.startswith("-") & (digits != "0")
     size = F.length(digits)
     extreme = ~raw.startswith("-") & (

@@ -68,17 +68,26 @@ def bucket_aggregates(events: DataFrame, window: str) -> DataFrame:
 
 
 def peer_zscore(df: DataFrame, column: str, peers: str) -> DataFrame:
-    """Add ``peer_deviation``: the population z-score among rows with equal ``peers``; 0 if flat.
+    """Add ``peer_deviation``: the population z-score of a count among rows with equal ``peers``; 0 if flat.
 
-    The group moments are aggregated and joined back instead of windowed, so an hour in which most
-    entities are active is no single sort.
+    The group sums are aggregated and joined back instead of windowed, so an hour in which most
+    entities are active is no single sort. They are sums of whole numbers, so the result does not
+    depend on the order in which tasks finish.
     """
-    moments = df.groupBy(peers).agg(F.avg(column).alias("_mean"), F.stddev_pop(column).alias("_std"))
-    z = (F.col(column) - F.col("_mean")) / F.col("_std")
+    x = F.col(column).cast("decimal(19,0)")
+    sums = df.groupBy(peers).agg(
+        F.count(column).cast("decimal(19,0)").alias("_n"), F.sum(x).alias("_s"),
+        F.sum((x * x).cast("decimal(38,0)")).alias("_q"),
+    )
+    spread = sums.select(
+        peers, F.col("_n").cast("double").alias("_n"), F.col("_s").cast("double").alias("_s"),
+        F.sqrt((F.col("_n") * F.col("_q") - F.col("_s") * F.col("_s")).cast("double")).alias("_d"),
+    )
+    z = (F.col("_n") * F.col(column) - F.col("_s")) / F.col("_d")
     return (
-        df.join(moments, peers)
-        .withColumn("peer_deviation", F.when(F.col("_std") > 0, z).otherwise(F.lit(0.0)))
-        .drop("_mean", "_std")
+        df.join(spread, peers)
+        .withColumn("peer_deviation", F.when(F.col("_d") > 0, z).otherwise(F.lit(0.0)))
+        .drop("_n", "_s", "_d")
     )
 
 

@@ -75,8 +75,8 @@ def _csv_fields(line: Column) -> Column:
 
 
 def _is_firewall(line: Column) -> Column:
-    fields = F.split(line, ",")
-    return (F.size(fields) >= 5) & strip(F.get(fields, F.lit(0))).rlike(r"\A\d{4}-\d{2}-\d{2}")
+    # the first field starts like a date, and there are at least four commas
+    return line.rlike(r"\A\d{4}-\d{2}-\d{2}[^,]*(?:,[^,]*){4}")
 
 
 def _firewall_fields(parts: Column) -> dict[str, Column]:
@@ -85,9 +85,9 @@ def _firewall_fields(parts: Column) -> dict[str, Column]:
 
 
 def _is_auth(line: Column) -> Column:
-    words = F.split(line, BLANKS)
-    start = F.concat_ws(" ", F.get(words, F.lit(0)), F.get(words, F.lit(1)))
-    return (F.size(words) >= 6) & start.rlike(r"\A\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}")
+    # a date, a word that starts like a time, and four words more
+    word = BLANKS[:-1].replace("[", "[^") + "+"
+    return line.rlike(rf"\A\d{{4}}-\d{{2}}-\d{{2}}{BLANKS}\d{{2}}:\d{{2}}:\d{{2}}(?:{word})?(?:{BLANKS}{word}){{4}}")
 
 
 def _auth_fields(parts: Column) -> dict[str, Column]:

@@ -2,32 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def pearson(a: str, b: str) -> Column:
-    """Correlation over rows where both are present; null where one side does not vary."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.when(spread > 0, F.try_divide(F.covar_pop(x, y), spread))
-
-
 def correlation_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Rows of (feature_a, feature_b, correlation), from one pass."""
-    wide = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    entries = F.array(
-        *[
-            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("correlation"))
-            for i, (a, b) in enumerate(pairs)
-        ]
+    """Rows of (feature_a, feature_b, correlation) over the rows where both are present.
+
+    Null where one side does not vary. Each task reduces its rows to one row per pair.
+    """
+    entries = [
+        F.struct(
+            F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+            F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"),
+        )
+        for a, b in pairs
+    ]
+    both = df.select(F.inline(F.array(*entries)))
+    present = F.col("x").isNotNull() & F.col("y").isNotNull()
+    x, y = F.when(present, F.col("x")), F.when(present, F.col("y"))
+    spread = F.col("_x") * F.col("_y")
+    return (
+        both.groupBy("feature_a", "feature_b")
+        .agg(F.covar_pop(x, y).alias("_xy"), F.stddev_pop(x).alias("_x"), F.stddev_pop(y).alias("_y"))
+        .select("feature_a", "feature_b", F.when(spread > 0, F.try_divide(F.col("_xy"), spread)).alias("correlation"))
     )
-    return wide.select(F.inline(entries))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    return correlation_pairs(df, [(a, b) for a in columns for b in columns])
+    """All ordered pairs; each unordered pair is computed once."""
+    half = correlation_pairs(df, [(a, b) for i, a in enumerate(columns) for b in columns[i:]])
+    sides = F.array(
+        F.struct("feature_a", "feature_b", "correlation"),
+        F.when(
+            F.col("feature_a") != F.col("feature_b"),
+            F.struct(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"), "correlation"),
+        ),
+    )
+    return half.select(F.inline(F.filter(sides, lambda s: s.isNotNull())))
 
 
 def correlation_rank(df: DataFrame, target: str, columns: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.ordering import quantiles
@@ -123,12 +123,16 @@ def mutual_information(
         .groupBy("feature", "bin", "_y")
         .agg(F.count("*").alias("n"))
     )
-    by_feature = cells.groupBy("feature").agg(F.sum("n").alias("t"))
-    by_bin = cells.groupBy("feature", "bin").agg(F.sum("n").alias("b"))
-    by_class = cells.groupBy("feature", "_y").agg(F.sum("n").alias("y"))
-    joint = cells.join(by_feature, "feature").join(by_bin, ["feature", "bin"]).join(by_class, ["feature", "_y"])
+
+    def total(*by):
+        # bins times classes rows per feature
+        return F.sum("n").over(Window.partitionBy(*by))
+
+    sums = cells.select(
+        "feature", "n", total("feature").alias("t"), total("feature", "bin").alias("b"), total("feature", "_y").alias("y")
+    )
     term = F.col("n") / F.col("t") * F.ln(F.col("n") * F.col("t") / (F.col("b") * F.col("y")))
-    return joint.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
+    return sums.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
 
 
 def select_features(df: DataFrame, columns: list[str], label: str, k: int = 35, bins: int = 10) -> list[str]:

@@ -56,13 +56,15 @@ def first_error_lines(issues: DataFrame, k: int = 5) -> DataFrame:
 
 
 def top_recommendations(issues: DataFrame, order: list[str], by: str = "check_type", limit: int | None = None) -> DataFrame:
-    """The first advice of each ``by`` value in finding order."""
+    """The first advice of each ``by`` value in finding order; by itself, the distinct advice."""
     position = F.struct(*order)
-    firsts = issues.groupBy(by).agg(
+    firsts = issues.groupBy(F.col(by).alias("_by")).agg(
         F.min_by("recommended_action", position).alias("recommended_action"), F.min(position).alias("_at")
     )
     if limit is not None:
         firsts = firsts.orderBy("_at").limit(limit)
+    if by != "recommended_action":
+        firsts = firsts.withColumnRenamed("_by", by)
     return firsts.select(*dict.fromkeys([by, "recommended_action"]), "_at.*")
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.text import title
 from tidewatch.operators.evaluation import curve_areas, curve_points, security_metrics, weighted_metrics
+from tidewatch.session import materialize
 
 # The searched settings of each model. An unlimited depth is the deepest Spark allows.
 SEARCH_SPACE = {
@@ -123,6 +124,8 @@ def train_models(
 ) -> dict[str, dict]:
     """Search, fit and validate each model; ``train`` and ``val`` have ``features``, ``train`` also ``fold``."""
     spaces, draws, folds = spaces or SEARCH_SPACE, {**DRAWS, **(draws or {})}, {**FOLDS, **(folds or {})}
+    # every fit and metric reads these again
+    train, val = materialize(train, "train"), materialize(val, "val")
     n_classes = train.select(label).distinct().count()
     results = {}
     for name, space in spaces.items():
