@@ -14,6 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions.jsons import parse_strict
 from tidewatch.functions.times import parse_telemetry_time
 
 
@@ -336,7 +337,7 @@ def _mandatory(root: Column) -> list[Column]:
 
 def _contract_findings(df: DataFrame, json: str, keys: list[str], strict: bool) -> DataFrame:
     """Unordered findings: keys, ``_order`` (path, node, rule), ``path``, ``keyword``, ``message``."""
-    parsed = df.select(*keys, F.try_parse_json(F.col(json)).alias("_v"))
+    parsed = df.select(*keys, parse_strict(F.col(json)).alias("_v"))
     opener = _Opener(F.col("_v"))
     opener.section(EVENT_CONTRACT, [])
     parts = F.filter(F.array(F.array(*opener.nodes), *opener.lists), lambda part: part.isNotNull())

@@ -40,8 +40,8 @@ def flow_features(df: DataFrame) -> DataFrame:
     )
 
 
-def binary_label(label: Column, benign: str = "Benign", attack: str = "Attack") -> Column:
-    return F.when(label == benign, F.lit(benign)).otherwise(F.lit(attack))
+def binary_label(label: Column, benign: str = "Benign") -> Column:
+    return F.when(label == benign, F.lit("Benign")).otherwise(F.lit("Attack"))
 
 
 def encode_label(df: DataFrame, label: str, name: str = "label_index") -> DataFrame:

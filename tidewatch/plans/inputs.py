@@ -8,7 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.operators.ordering import with_line_numbers
+from tidewatch.session import materialize
+
 KEY = b"registered-queries-demo-key"
+# results are compared at six digits; the cut lies off the middle, where exact ties fall
+TIE = 0.5001
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,17 +23,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def round6(value) -> Column:
     value = F.col(value) if isinstance(value, str) else value
-    return F.floor(value.cast("double") * 1e6 + 0.5).cast("double") / 1e6
+    return F.floor(value.cast("double") * 1e6 + TIE).cast("double") / 1e6
 
 
 def sql6(value: str) -> str:
-    return f"floor(CAST({value} AS DOUBLE) * 1e6 + 0.5) / 1e6"
+    return f"floor(CAST({value} AS DOUBLE) * 1e6 + {TIE}) / 1e6"
 
 
 def events(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a table that was read in fewer pieces than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # --- telemetry ------------------------------------------------------------------------------
 
 
@@ -141,7 +152,8 @@ def log_lines(spark, sf_dir) -> DataFrame:
         CASE WHEN event_id % 5 = 0 THEN '' ELSE '|response=NXDOMAIN' END)
       ELSE concat('  ', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ' user', user_id, '  host ',
         CASE WHEN event_type = 'signup' THEN 'SUCCESS' ELSE 'Failed' END, ' 2001:db8::', event_id % 100) END"""
-    return e.select("event_id", F.expr(line).alias("value")).withColumnRenamed("event_id", "line_id")
+    lines = e.select(F.col("event_id").alias("line_id"), F.expr(line).alias("value"))
+    return materialize(spread(lines), "lines")
 
 
 # what the lines say, taken from the events and not from the text
@@ -181,8 +193,6 @@ AS_OF = "2025-01-15 00:00:00"
 
 def noisy_events(spark, sf_dir) -> DataFrame:
     """Events with missing, wrong and repeated values, numbered by event id."""
-    from tidewatch.operators.ordering import with_line_numbers
-
     iso = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
     columns = [c.strip() for c in _NOISY.format(iso=iso).strip().split(",\n")]
     noisy = events(spark, sf_dir).selectExpr("event_id AS seq", *columns)
@@ -226,3 +236,32 @@ def faulty_matrix(spark, sf_dir) -> DataFrame:
 
 
 MATRIX_SQL = f"matrix AS (SELECT event_id + 2 AS line_number, {_MATRIX} FROM events)"
+
+
+# --- event documents ------------------------------------------------------------------------
+
+_DOCUMENT = """to_json(named_struct(
+  'event', named_struct('event_id', concat('E', event_id), 'timestamp', '2026-07-15T09:41:00Z', 'source', event_type,
+    'event_type', CASE WHEN event_id % 11 = 0 THEN 'unheard' ELSE 'authentication' END, 'severity', 'high'),
+  'enrichment', named_struct(
+    'threat_intel_matches', array(
+      named_struct('indicator', '1.1.1.1', 'indicator_type', 'ip', 'source', 'feed', 'match_type', 'exact'),
+      named_struct('indicator', props, 'indicator_type', 'url', 'source', 'feed',
+        'match_type', CASE WHEN event_id % 13 = 0 THEN 'guess' ELSE 'heuristic' END)),
+    'asset_context', named_struct('asset_id', concat('A', user_id), 'criticality', 'low'),
+    'related_events', array(named_struct('event_id', concat('E', event_id + 1), 'relationship', 'same_asset'))),
+  'confidence', CASE WHEN event_id % 17 <> 0 THEN named_struct('scale', '0-100',
+    'overall_score', CASE WHEN event_id % 19 = 0 THEN 101 ELSE event_id % 101 END, 'overall_label', 'low',
+    'applies_to', CASE WHEN event_id % 23 = 0 THEN cast(array() AS array<string>) ELSE array('event.severity') END) END,
+  'approval', named_struct('approval_status', CASE WHEN event_id % 2 = 0 THEN 'pending' ELSE 'approved' END,
+    'approver_id', CASE WHEN event_id % 2 = 1 OR event_id % 29 = 0 THEN concat('user', user_id) END,
+    'approval_timestamp', CASE WHEN event_id % 2 = 1 AND event_id % 31 <> 0 THEN '2026-07-15T09:55:00Z' END),
+  'audit_trail', array(named_struct('actor', 'edr', 'actor_type', 'system', 'action', 'triaged', 'timestamp', '2026-07-15T09:41:05Z')),
+  'note', CASE WHEN event_id % 37 = 0 THEN 'unexpected' END))"""
+
+
+def event_documents(spark, sf_dir) -> DataFrame:
+    """A JSON document per event, with one kind of fault per divisor of its id."""
+    whole = F.expr(_DOCUMENT)
+    text = F.when(F.col("event_id") % 41 == 0, F.substring(whole, 2, 40)).otherwise(whole)
+    return materialize(spread(events(spark, sf_dir)).select("event_id", text.alias("doc")), "documents")

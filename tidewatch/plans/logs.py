@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import net, text, times
 from tidewatch.operators import event_checks, log_parsing, reports
+from tidewatch.operators.ordering import previous_row, with_line_numbers
 from tidewatch.plans import inputs
 from tidewatch.plans.inputs import AS_OF, LOG_LINES_SQL, NOISY_SQL, round6, sql6
 from tidewatch.session import materialize
@@ -39,17 +40,11 @@ def log_outcomes(spark, sf):
 def log_quality(spark, sf):
     """The whole chain of the flagship job: raw lines, events, checks, summary."""
     events, _ = log_parsing.normalize_logs(inputs.log_lines(spark, sf), id_from=["line_id"])
-    numbered = inputs_numbered(events)
+    numbered = with_line_numbers(materialize(events, "events"), ["line_id"])
     issues = event_checks.run_event_checks(numbered, dt.datetime.fromisoformat(AS_OF))
     return reports.issues_by_check(issues, [(n, g) for n, g, _ in event_checks.CHECKS])
 
 
-def inputs_numbered(events):
-    from tidewatch.operators.ordering import with_line_numbers
-
-    return with_line_numbers(events, ["line_id"])
-
-
 def _noisy_issues(spark, sf):
     noisy = inputs.noisy_events(spark, sf)
     return noisy, event_checks.run_event_checks(noisy, dt.datetime.fromisoformat(AS_OF))
@@ -90,8 +85,6 @@ def duplicate_events(spark, sf):
 
 def rapid_events(spark, sf):
     """Time since the record before, for every record with a valid time."""
-    from tidewatch.operators.ordering import previous_row
-
     noisy = inputs.noisy_events(spark, sf)
     timed = noisy.select("line_number", times.parse_event_time(F.col("timestamp")).alias("t"))
     pairs = previous_row(timed, "line_number", F.col("t").isNotNull(), ["t", "line_number"], block_rows=1000)

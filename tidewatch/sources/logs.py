@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.functions.jsons import parse_strict
+from tidewatch.functions.text import strip
 from tidewatch.operators.ordering import number_blocks
 from tidewatch.session import materialize
 
@@ -37,11 +39,10 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 def read_events_jsonl(spark: SparkSession, path, schema) -> tuple[DataFrame, DataFrame]:
     """Records and malformed lines of a JSON-lines file.
 
-    Both carry the physical ``line_number`` in the file; records are also numbered from 1 in
-    ``record_number`` as blank and malformed lines do not count.
+    Both carry the physical ``line_number`` in the file. Blank lines are neither.
     """
-    lines = read_logs(spark, path, numbered=True).where(F.trim("value") != "")
-    parsed = lines.withColumn("json", F.try_parse_json("value"))
+    lines = read_logs(spark, path, numbered=True).where(strip(F.col("value")) != "")
+    parsed = lines.withColumn("json", parse_strict(F.col("value")))
     bad = parsed.where("json IS NULL").select("file", "line_number", F.col("value").alias("line"))
     good = parsed.where("json IS NOT NULL").select(
         "file", "line_number", F.from_json("value", schema).alias("r")
