@@ -48,36 +48,50 @@ def is_private_ip(ip: Column) -> Column:
     return is_valid_ip(ip) & private
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` applied to a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _hextets(text: Column) -> Column:
     return F.when(
         text == "", F.array().cast("array<string>")
     ).otherwise(F.transform(F.split(text, ":"), lambda h: F.lpad(h, 4, "0")))
 
 
-def ip_hex(ip: Column) -> Column:
-    """Sortable hex form: 8 digits for IPv4, 32 for IPv6, null if invalid."""
+def _v4_hex(text: Column) -> Column:
+    return F.array_join(
+        F.transform(F.split(text, r"\."), lambda o: F.lpad(F.lower(F.hex(o.cast("int"))), 2, "0")), ""
+    )
+
 
-    def v4_hex(text):
-        return F.array_join(
-            F.transform(F.split(text, r"\."), lambda o: F.lpad(F.lower(F.hex(o.cast("int"))), 2, "0")), ""
+def _v6_hex(text: Column) -> Column:
+    tail = r"\d+\.\d+\.\d+\.\d+\z"
+
+    def without_tail(t):
+        low = _let(
+            _v4_hex(F.regexp_extract(t, tail, 0)),
+            lambda h: F.concat(F.substring(h, 1, 4), F.lit(":"), F.substring(h, 5, 4)),
         )
+        return F.when(t.rlike(tail), F.concat(F.regexp_replace(t, tail, ""), low)).otherwise(t)
+
+    def fill_gap(sides):
+        gap = F.array_repeat(F.lit("0000"), F.lit(8) - F.size(sides["l"]) - F.size(sides["r"]))
+        return F.array_join(F.concat(sides["l"], gap, sides["r"]), "")
 
+    def both_sides(halves):
+        return F.struct(
+            _hextets(F.get(halves, F.lit(0))).alias("l"),
+            _hextets(F.coalesce(F.get(halves, F.lit(1)), F.lit(""))).alias("r"),
+        )
+
+    return _let(_let(F.split(_let(text, without_tail), "::"), both_sides), fill_gap)
+
+
+def ip_hex(ip: Column) -> Column:
+    """Sortable hex form: 8 digits for IPv4, 32 for IPv6, null if invalid."""
     bare = F.lower(F.regexp_replace(ip, "%.*", ""))
-    tail = F.regexp_extract(bare, r"\d+\.\d+\.\d+\.\d+\z", 0)
-    tail_hex = F.when(tail != "", v4_hex(tail))
-    plain = F.when(
-        tail != "",
-        F.concat(
-            F.regexp_replace(bare, r"\d+\.\d+\.\d+\.\d+\z", ""),
-            F.substring(tail_hex, 1, 4), F.lit(":"), F.substring(tail_hex, 5, 4),
-        ),
-    ).otherwise(bare)
-    halves = F.split(plain, "::")
-    left = _hextets(F.get(halves, F.lit(0)))
-    right = _hextets(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
-    gap = F.array_repeat(F.lit("0000"), F.lit(8) - F.size(left) - F.size(right))
-    v6_hex = F.array_join(F.concat(left, gap, right), "")
-    return F.when(is_valid_ip(ip), F.when(ip.contains(":"), v6_hex).otherwise(v4_hex(bare)))
+    return F.when(is_valid_ip(ip), F.when(ip.contains(":"), _v6_hex(bare)).otherwise(_v4_hex(ip)))
 
 
 def _fill(prefix_hex: Column, bits: Column, width: Column, ones: bool) -> Column:
@@ -97,13 +111,16 @@ def _fill(prefix_hex: Column, bits: Column, width: Column, ones: bool) -> Column
 def network_ranges(networks: DataFrame, cidr: str = "cidr") -> DataFrame:
     """Add ``net_lo``, ``net_hi`` (hex bounds) and ``net_nibbles`` to a table of CIDR strings."""
     base = F.split(F.col(cidr), "/")
-    address = ip_hex(F.get(base, F.lit(0)))
-    width = F.length(address)
-    bits = F.coalesce(F.get(base, F.lit(1)).cast("int"), width * 4)
-    return networks.select(
-        "*",
-        _fill(address, bits, width, False).alias("net_lo"),
-        _fill(address, bits, width, True).alias("net_hi"),
+    # through a generator, so that the address is converted once
+    parsed = networks.select(
+        "*", F.inline(F.array(F.struct(ip_hex(F.get(base, F.lit(0))).alias("_hex"), F.get(base, F.lit(1)).cast("int").alias("_len"))))
+    )
+    width = F.length("_hex")
+    bits = F.coalesce("_len", width * 4)
+    return parsed.select(
+        *networks.columns,
+        _fill(F.col("_hex"), bits, width, False).alias("net_lo"),
+        _fill(F.col("_hex"), bits, width, True).alias("net_hi"),
         F.floor(bits / 4).cast("int").alias("net_nibbles"),
     )
 

@@ -7,6 +7,9 @@ table has at most ``spark.sql.shuffle.partitions`` rows per group.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,25 +109,75 @@ def order_statistics(df: DataFrame, group: list[str], value: str, ranks: DataFra
     )
 
 
+def _brackets(df: DataFrame, columns: list[str], probs: list[float]) -> list[tuple]:
+    """For each column and quantile a range that holds it: (column, prob, low, high, n, rank, part).
+
+    Approximate quantiles a little below and above give the range; counting the values before and
+    inside it proves it. A range that fails the proof is opened to the whole column. ``rank`` is
+    the place within the range of the value at or below the quantile, ``part`` the distance to the
+    value after it.
+    """
+    margin, accuracy = 0.001, 5000
+    around = [min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)]
+    value = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    first = df.agg(
+        *[F.percentile_approx(v, around, accuracy).alias(f"q{i}") for i, v in enumerate(value.values())],
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(value.values())],
+    ).first()
+    jobs = [
+        (c, p, first[f"q{i}"][2 * k], first[f"q{i}"][2 * k + 1], first[f"n{i}"])
+        for i, c in enumerate(columns) if first[f"n{i}"]
+        for k, p in enumerate(probs)
+    ]
+    if not jobs:
+        return []
+    counts = df.agg(
+        *[F.count_if(value[c] < F.lit(lo)).alias(f"b{j}") for j, (c, _, lo, _, _) in enumerate(jobs)],
+        *[F.count_if(value[c].between(lo, hi)).alias(f"i{j}") for j, (c, _, lo, hi, _) in enumerate(jobs)],
+    ).first()
+    found = []
+    for j, (c, p, lo, hi, n) in enumerate(jobs):
+        place = p * (n - 1)
+        rank, below = math.floor(place) + 1, counts[f"b{j}"]
+        last = min(rank + 1, n)
+        if below < rank and last <= below + counts[f"i{j}"]:
+            found.append((c, p, lo, hi, n, rank - below, place - math.floor(place)))
+        else:
+            found.append((c, p, float("-inf"), float("inf"), n, rank, place - math.floor(place)))
+    return found
+
+
 def quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation: rows of (feature, prob, n, quantile)."""
-    long = unpivot(df, columns).where("value IS NOT NULL")
-    counts = long.groupBy("feature", "value").agg(F.count("*").alias("_n"))
-    placed = running_totals(counts, ["feature"], ["value"], ["_n"])
-    ends = []
-    for p in probs:
-        place = F.lit(float(p)) * (F.col("tot__n") - 1)
-        low = F.floor(place)
-        ends += [
-            F.struct(F.lit(float(p)).alias("prob"), (place - low).alias("part"), rank.alias("rank"))
-            for rank in (low + 1, low + 2)
+    """Exact quantiles with linear interpolation: rows of (feature, prob, n, quantile).
+
+    Only values in a narrow range around each quantile are ordered; the rest is counted.
+    """
+    spark = df.sparkSession
+    brackets = _brackets(df, columns, probs)
+    schema = "job int, feature string, prob double, n bigint, rank bigint, part double"
+    rows = [(j, c, float(p), n, rank, part) for j, (c, p, _, _, n, rank, part) in enumerate(brackets)]
+    jobs = spark.createDataFrame(rows, schema)
+    if not rows:
+        return jobs.select("feature", "prob", "n", F.col("part").alias("quantile"))
+    value = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    near = [value[c].between(lo, hi) for c, _, lo, hi, _, _, _ in brackets]
+    entries = F.array(
+        *[
+            F.when(hit, F.struct(F.lit(j).alias("job"), value[b[0]].alias("value")))
+            for j, (hit, b) in enumerate(zip(near, brackets))
         ]
-    hit = F.filter(
-        F.array(*ends), lambda e: (F.col("cum__n") - F.col("_n") < e["rank"]) & (e["rank"] <= F.col("cum__n"))
     )
-    found = placed.select("feature", "value", F.col("tot__n").alias("n"), F.inline(hit))
-    low, high = F.min_by("value", "rank"), F.max_by("value", "rank")
-    return found.groupBy("feature", "prob", "n").agg((low + F.max("part") * (high - low)).alias("quantile"))
+    # most rows are in no range and go no further than the filter
+    inside = df.where(reduce(Column.__or__, near)).select(F.inline(F.filter(entries, lambda e: e.isNotNull())))
+    counts = inside.groupBy("job", "value").agg(F.count("*").alias("_n"))
+    placed = running_totals(counts, ["job"], ["value"], ["_n"]).join(F.broadcast(jobs), "job")
+    before, upto = F.col("cum__n") - F.col("_n"), F.col("cum__n")
+
+    def at(rank):
+        return F.max(F.when((before < rank) & (rank <= upto), F.col("value")))
+
+    low, high = at(F.col("rank")), F.coalesce(at(F.col("rank") + 1), at(F.col("rank")))
+    return placed.groupBy("feature", "prob", "n").agg((low + F.max("part") * (high - low)).alias("quantile"))
 
 
 def unpivot(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:

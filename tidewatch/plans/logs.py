@@ -135,7 +135,7 @@ def network_matches(spark, sf):
 
 
 def document_entropy(spark, sf):
-    docs = inputs.table(spark, sf, "documents")
+    docs = inputs.spread(inputs.table(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", round6(text.shannon_entropy(F.col("text"))).alias("entropy"), F.length("text").cast("bigint").alias("n_chars"))
 
 

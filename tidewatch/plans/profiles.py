@@ -14,6 +14,10 @@ _LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _PART = ["p_size", "p_retailprice"]
 
 
+def _items(spark, sf):
+    return inputs.spread(inputs.table(spark, sf, "lineitem").select(*_LINE, "l_returnflag"))
+
+
 def _gaps(spark, sf):
     """Line items with nulls and repeated rows."""
     items = inputs.table(spark, sf, "lineitem")
@@ -50,7 +54,7 @@ def outlier_counts(spark, sf):
 
 
 def exact_quantiles(spark, sf):
-    q = quantiles(inputs.table(spark, sf, "lineitem"), _LINE, [0.05, 0.25, 0.5, 0.75, 0.95])
+    q = quantiles(_items(spark, sf), _LINE, [0.05, 0.25, 0.5, 0.75, 0.95])
     return q.select("feature", "prob", "n", round6("quantile").alias("quantile"))
 
 
@@ -65,7 +69,7 @@ def histogram(spark, sf):
 
 
 def describe(spark, sf):
-    d = profile.describe(inputs.table(spark, sf, "lineitem"), _LINE)
+    d = profile.describe(_items(spark, sf), _LINE)
     return d.select("feature", "n", "n_distinct", *[round6(c).alias(c) for c in ("mean", "std", "min", "q1", "median", "q3", "max")])
 
 
@@ -94,7 +98,7 @@ def scaled_minmax(spark, sf):
 
 
 def mutual_information(spark, sf):
-    m = preparation.mutual_information(inputs.table(spark, sf, "lineitem"), _LINE, "l_returnflag", bins=8, approximate=False)
+    m = preparation.mutual_information(_items(spark, sf), _LINE, "l_returnflag", bins=8, approximate=False)
     return m.select("feature", round6("mutual_info").alias("mutual_info"))
 
 
