@@ -15,7 +15,7 @@ _PART = ["p_size", "p_retailprice"]
 
 
 def _items(spark, sf):
-    return inputs.spread(inputs.table(spark, sf, "lineitem").select(*_LINE, "l_returnflag"))
+    return inputs.table(spark, sf, "lineitem").select(*_LINE, "l_returnflag")
 
 
 def _gaps(spark, sf):
