@@ -33,6 +33,11 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top, bottom), F.lit(0.0))
 
 
+def mean_entropy(domain: Column) -> Column:
+    """Mean entropy at twelve digits, summed as decimals: the same in whatever order tasks finish."""
+    return F.avg(F.when(domain.isNotNull(), shannon_entropy(domain)).cast("decimal(18,12)")).cast("double")
+
+
 def bucket_aggregates(events: DataFrame, window: str) -> DataFrame:
     """One row per (entity, hour) with every count, sum and mean of that bucket.
 
@@ -51,7 +56,7 @@ def bucket_aggregates(events: DataFrame, window: str) -> DataFrame:
         F.count_if(auth & (F.col("status") == "FAILURE")).alias("login_failure_count"),
         F.count_distinct("source_ip").alias("unique_source_ips"),
         F.count_distinct(F.when(network, F.col("port"))).alias("unique_dest_ports"),
-        F.avg(F.when(domain.isNotNull(), shannon_entropy(domain))).alias("dns_query_entropy"),
+        mean_entropy(domain).alias("dns_query_entropy"),
         F.avg(F.length(domain)).alias("domain_length"),
         F.sum(F.when(network, F.col("bytes"))).alias("bytes_transferred"),
         F.count(login).alias("_logins"),

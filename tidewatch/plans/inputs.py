@@ -103,7 +103,7 @@ counts AS (
     count(*) FILTER (event_type = 'AUTH' AND status = 'SUCCESS') AS succ,
     count(*) FILTER (event_type = 'AUTH' AND status = 'FAILURE') AS fail,
     count(DISTINCT source_ip) AS ips,
-    avg(h) FILTER (event_type = 'DNS') AS ent, avg(length(query_domain)) FILTER (event_type = 'DNS') AS len,
+    avg(CAST(h AS DECIMAL(18, 12))) FILTER (event_type = 'DNS') AS ent, avg(length(query_domain)) FILTER (event_type = 'DNS') AS len,
     coalesce(sum(bytes) FILTER (event_type = 'NETWORK'), 0) AS bytes,
     count(DISTINCT port) FILTER (event_type = 'NETWORK') AS ports
   FROM work LEFT JOIN entropy USING (query_domain) GROUP BY 1, 2),

@@ -7,8 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import shannon_entropy
-from tidewatch.operators.features import resolve_entity
+from tidewatch.operators.features import mean_entropy, resolve_entity
 from tidewatch.operators.log_parsing import parse_lines
 from tidewatch.session import shared_dir
 
@@ -45,7 +44,7 @@ def hourly_features(events: DataFrame, window: str, delay: str = "1 hour", time:
             failure.alias("login_failure_count"),
             F.approx_count_distinct("source_ip").alias("unique_source_ips"),
             F.approx_count_distinct(F.when(network, F.col("port"))).alias("unique_dest_ports"),
-            F.avg(F.when(domain.isNotNull(), shannon_entropy(domain))).alias("dns_query_entropy"),
+            mean_entropy(domain).alias("dns_query_entropy"),
             F.avg(F.length(domain)).alias("domain_length"),
             F.sum(F.when(network, F.col("bytes"))).alias("bytes_transferred"),
         )
