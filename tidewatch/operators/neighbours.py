@@ -176,7 +176,7 @@ def smote(
         near = min(k, min(sizes.values()) - 1)
         if n == largest or near < 1:
             continue
-        rows = df.where(F.col(label) == F.lit(value)).select(*keys, x.alias("x"))
+        rows = df.where(F.col(label) == F.lit(value)).select(F.col(label).alias("_class"), *keys, x.alias("x"))
         extra = _synthetic(rows, keys, near, n, largest - n, seed, rows_per_cell)
         base = base.unionByName(
             extra.select(
@@ -205,8 +205,7 @@ def _synthetic(rows, keys, k, n, wanted, seed, rows_per_cell) -> DataFrame:
     # every row is used equally often, and the remainder by hash rank
     every, rest = divmod(wanted, n)
     ranked = assign_by_rank(
-        rows.withColumn("_all", F.lit(0)).withColumn("pid", F.xxhash64("x")), "_all", seeded_hash(seed, *keys),
-        {"rest": F.lit(rest)}, "_beyond",
+        rows.withColumn("pid", F.xxhash64("x")), "_class", seeded_hash(seed, *keys), {"rest": F.lit(rest)}, "_beyond"
     )
     used = ranked.withColumn("times", F.lit(every) + F.when(F.col("_beyond") == 0, 1).otherwise(0)).where("times > 0")
     copies = used.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
