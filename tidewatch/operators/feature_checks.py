@@ -37,7 +37,7 @@ RATIOS = ["failure_ratio", "success_rate"]
 MAX_Z = 5
 CHECKS = [(1, "schema"), (2, "null_check"), (3, "range_check"), (4, "duplicate_check"), (5, "drift_check")]
 ADVICE = {
-    "missing": "Re-run feature_extractor.py or check for a truncated export; this column is required for "
+    "missing": "Re-run the feature extraction or check for a truncated export; this column is required for "
     "downstream checks.",
     "unexpected": "Remove '{col}' from the pipeline output if it is not an intentional addition, or add it to "
     "the validator's allowed list.",
