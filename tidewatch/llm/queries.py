@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import line_dedup
+from tidewatch.llm import decontaminate, language_id, line_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +18,54 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op10_line_dedup": op10_line_dedup}
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.col("_severity").alias("severity"), F.col("_grade").alias("grade"), F.col("_toxic").alias("toxic"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    folder = warc.archive_folder(pages)
+    index = warc.build_index(warc.write_archives(pages, folder))
+    read = warc.read_captures(index, folder, payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    flagged = decontaminate.flag(docs, _table(spark, sf_dir, "benchmark"))
+    return flagged.select("doc_id", (F.size("_items") > 0).alias("contaminated"), F.col("_items").alias("item_ids"))
+
+
+QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_language_id": op7_language_id,
+    "op9_warc": op9_warc,
+    "op10_line_dedup": op10_line_dedup,
+}
 
 ORACLES = {
+    "op9_warc": """
+WITH rows AS (
+  SELECT page_id, url, coalesce(html, '') AS html FROM pages
+), keyed AS (
+  SELECT page_id, url, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM rows
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM keyed
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to, url
+FROM firsts
+""",
     "op10_line_dedup": r"""
 WITH split AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
