@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, language_id, line_dedup, toxicity, warc
+from tidewatch.llm import decontaminate, html_extract, language_id, line_dedup, lm_scoring, ngram_join, sentencepiece_codec, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,29 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.col("_severity").alias("severity"), F.col("_grade").alias("grade"), F.col("_toxic").alias("toxic"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.flag(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("_class_id").alias("class_id"), F.col("_group_id").alias("group_id"), F.col("_n_links").alias("n_links"), F.col("_kept").alias("kept"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepiece_codec.encode(docs, check=True)
+    return coded.select("doc_id", F.size("_ids").alias("n_ids"), F.col("_ids").alias("ids"), F.col("_exact").alias("decodes_exactly"))
+
+
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = html_extract.extract(pages)
+    return texts.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm_scoring.fit_and_score(docs)
+    return scored.select("doc_id", F.col("_n_tokens").alias("n_tokens"), F.col("_log_likelihood").alias("log_likelihood"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id.predict(docs, language_id.fit(docs))
@@ -46,8 +69,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_ngram_join": op3_ngram_join,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_html_extract": op5_html_extract,
     "op6_decontaminate": op6_decontaminate,
     "op7_language_id": op7_language_id,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
 }
