@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, html_extract, language_id, line_dedup, lm_scoring, ngram_join, sentencepiece_codec, toxicity, warc
+from tidewatch.llm import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, lm_scoring, ngram_join, sentencepiece_codec, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.similar(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -68,6 +72,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
     "op4_sentencepiece": op4_sentencepiece,
@@ -80,6 +85,23 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_embedding_dedup": """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0
+), links AS (
+  SELECT DISTINCT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+  SELECT a AS vec_id, a AS other FROM links
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(r.low, e.vec_id) AS component_id, e.vec_id = coalesce(r.low, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON e.vec_id = n.a
+LEFT JOIN (SELECT vec_id, min(other) AS low FROM reach GROUP BY vec_id) r ON e.vec_id = r.vec_id
+""",
     "op9_warc": """
 WITH rows AS (
   SELECT page_id, url, coalesce(html, '') AS html FROM pages
