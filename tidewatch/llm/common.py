@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidewatch.session import materialize
 
@@ -68,6 +69,24 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+def pack(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``keep`` and one struct of all other columns, so that no name of theirs meets one of an operator."""
+    rest = [c for c in docs.columns if c not in keep]
+    own = [F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row")] if rest else []
+    return docs.select(*keep, *own)
+
+
+def unpack(packed: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns as they were before ``pack``."""
+    plain = set(packed.columns)
+    return packed.select(*[F.col(c) if c in plain else F.col("_row").getField(c).alias(c) for c in columns])
+
+
+def widened(fields: list[StructField], more: str) -> StructType:
+    """Fields and those of a DDL string."""
+    return StructType([*fields, *StructType.fromDDL(more).fields])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (a, b); a component is named by its smallest node.
 

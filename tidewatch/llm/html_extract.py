@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import slices
+from tidewatch.llm.common import slices, widened
 from tidewatch.session import materialize
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*>?|<[a-zA-Z][^>]*>?", re.S)
@@ -380,7 +380,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", wrap
     wrappers = infer_wrappers(pages, url_col, html_col) if wrappers is None else wrappers
     rest = [f for f in pages.schema.fields if f.name != html_col]
     names = [f.name for f in rest]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", _text string"
+    schema = widened(rest, "_text string")
 
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

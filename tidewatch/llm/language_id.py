@@ -8,7 +8,7 @@ The model is fitted on at most about ``max_docs`` documents a language (by a has
 whole text and nothing but the text.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter. Languages that the table of families lacks are a family
-of their own. With one learned language every text is of that language. Nothing to learn from raises ValueError.
+of their own. With one learned language every text is of that language, with none every text is ``und``.
 """
 
 from __future__ import annotations
@@ -90,7 +90,7 @@ class LanguageModel:
     bias: np.ndarray = field(repr=False)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        has = [bool(t) and LETTER.search(t) is not None for t in texts]
+        has = [bool(self.families) and bool(t) and LETTER.search(t) is not None for t in texts]
         names, scores = ["und"] * len(texts), np.zeros(len(texts))
         at = np.flatnonzero(has)
         if not len(at):
@@ -151,8 +151,6 @@ def _descend(texts: list[str], loss, n_out: int, steps: int = 60, penalty: float
 def train(texts: list[str], langs: list[str], steps: int = 60) -> LanguageModel:
     langs = np.array(langs, dtype=object)
     known = sorted(set(langs))
-    if not known:
-        raise ValueError("no labelled text with a letter")
     family_of = {x: FAMILY.get(x.lower().split("-")[0].split("_")[0], x) for x in known}
     families = sorted(set(family_of.values()))
     languages = {f: [x for x in known if family_of[x] == f] for f in families}

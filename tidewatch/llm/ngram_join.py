@@ -176,10 +176,10 @@ def _verify(width: int, threshold: float):
 def similar(
     docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999, max_hashes: int = 128, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(_id, _text_hash, class_id, group_id, n_links, kept) for each distinct id and text.
+    """(_id, _text_hash, class_id, group_id, n_links, kept, n_rows) for each distinct id and text.
 
     ``class_id`` is the smallest id with the same n-gram set, ``group_id`` the smallest id that links lead to, ``n_links`` the number of
-    other documents linked directly, and ``kept`` true for one document of each group.
+    other documents linked directly, ``kept`` true for one document of each group, and ``n_rows`` how often the row is there.
     """
     bands, rows = band_plan(threshold, recall, max_hashes)
 
@@ -196,7 +196,7 @@ def similar(
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text_hash"), F.col(text_col).alias("_text"))
     signed = materialize(slim.mapInArrow(sign, f"_id {kind}, _text_hash long, n long, class binary, bands array<long>"), "signed")
-    distinct = signed.select("_id", "_text_hash", "n", "class").distinct()
+    distinct = signed.groupBy("_id", "_text_hash", "class").agg(F.count(F.lit(1)).alias("n_rows"))
     classes = materialize(
         signed.where("class IS NOT NULL").groupBy("class").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(F.struct("_id", "_text_hash")).alias("first"))
         .join(distinct.where("class IS NOT NULL").groupBy(F.col("class").alias("_class")).agg(F.count(F.lit(1)).alias("copies")), F.col("class") == F.col("_class")).drop("_class"),
@@ -234,13 +234,26 @@ def similar(
     return whole.select(
         "_id", "_text_hash", F.when(F.col("class").isNull(), F.col("_id")).otherwise(F.col("first._id")).alias("class_id"),
         F.when(F.col("class").isNull(), F.col("_id")).otherwise(F.col("head._id")).alias("group_id"),
-        F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"), F.coalesce(me.eqNullSafe(F.col("head")) | F.col("head").isNull(), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"), F.coalesce(me.eqNullSafe(F.col("head")) | F.col("head").isNull(), F.lit(True)).alias("kept"), "n_rows",
     )
 
 
 def flag(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """All columns of ``docs`` and ``_class_id``, ``_group_id``, ``_n_links``, ``_kept``; a repeated row repeats its result."""
-    found = similar(docs, id_col=id_col, text_col=text_col, **options).select(
+    return _joined(docs, similar(docs, id_col=id_col, text_col=text_col, **options), id_col, text_col)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: one document of each group, and one row of repeated rows."""
+    found = similar(docs, id_col=id_col, text_col=text_col, **options).where("kept")
+    kept = _joined(docs, found, id_col, text_col).select(docs.columns)
+    if found.where("n_rows > 1").isEmpty():
+        return kept
+    return kept.dropDuplicates([id_col, text_col])
+
+
+def _joined(docs: DataFrame, results: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    found = results.select(
         F.col("_id").alias("_own_id"), F.col("_text_hash").alias("_own_hash"), F.col("class_id").alias("_class_id"), F.col("group_id").alias("_group_id"),
         F.col("n_links").alias("_n_links"), F.col("kept").alias("_kept"),
     )

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import slices
+from tidewatch.llm.common import slices, widened
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -184,7 +184,7 @@ def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", check: bo
     """All columns of ``docs`` and ``_ids``; with ``check`` also ``_exact``: whether decoding gives back the text."""
     shared = _broadcast(docs.sparkSession, path)
     names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", _ids array<int>" + ", _exact boolean" * check
+    schema = widened(docs.schema.fields, "_ids array<int>" + ", _exact boolean" * check)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
@@ -202,7 +202,7 @@ def decode(docs: DataFrame, path: str = MODEL, ids_col: str = "_ids") -> DataFra
     """All columns of ``docs`` and ``_decoded``."""
     shared = _broadcast(docs.sparkSession, path)
     names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", _decoded string"
+    schema = widened(docs.schema.fields, "_decoded string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)

@@ -9,7 +9,7 @@ few hundredths); scoring reads every whole text. Where labels are only clean or
 documents with more distinct telling features than the median toxic document are severe.
 
 Defined results: null and empty texts have the severity of a text without features; rows without a label or text are not learned
-from; one id with several texts or labels is learned from each; without both a clean and a toxic document fitting raises ValueError.
+from; one id with several texts or labels is learned from each; without both a clean and a toxic labelled document nothing is toxic.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import WORD, hash_strings, slices, tokens
+from tidewatch.llm.common import WORD, hash_strings, slices, tokens, widened
 
 BITS = 18
 PREFIXES = (4, 5)
@@ -130,7 +130,7 @@ def fit(
     total = table[table["slot"] == -1]
     n_toxic, n_clean = (int(total["toxic"].sum()), int(total["clean"].sum())) if len(total) else (0, 0)
     if not n_toxic or not n_clean:
-        raise ValueError("needs labelled documents of the lowest and of a higher grade")
+        return SeverityModel(np.zeros(1 << BITS), np.array([np.inf]))
     table = table[table["slot"] >= 0].sort_values("slot")
     a, b = table["toxic"].to_numpy(float), table["clean"].to_numpy(float)
     n = n_toxic + n_clean
@@ -172,7 +172,7 @@ def fit(
 def score(docs: DataFrame, model: SeverityModel, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``_severity`` (expected grade), ``_grade`` (most likely number of thresholds passed) and ``_toxic``."""
     names = docs.columns
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema.fields)}, _severity double, _grade int, _toxic boolean"
+    schema = widened(docs.schema.fields, "_severity double, _grade int, _toxic boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, text_col):
