@@ -11,8 +11,8 @@ are literally on all its pages. Text is taken from the slots below those paths.
 host's literal texts (if the host has at least ``MIN_PAGES`` pages) and blocks that are mostly links; if that leaves nothing, all of them.
 Boilerplate is told by tag, role, class and id.
 
-Defined results: null html has an empty text; a null url is a host of its own; unclosed and stray tags are mended as browsers do;
-equal pages and ids give a row each.
+Defined results: null html has an empty text; a null url is a host of its own; unclosed and stray tags are mended as browsers do,
+and elements nested more than ``MAX_DEPTH`` deep add their text to the one at that depth; equal pages and ids give a row each.
 """
 
 from __future__ import annotations
@@ -53,6 +53,7 @@ CLOSES = {  # tag: which open tags it ends, up to which tags
     "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}), "tbody": ({"thead", "tbody", "tr"}, {"table"}), "tfoot": ({"thead", "tbody", "tr"}, {"table"}),
 }
 MIN_PAGES = 3
+MAX_DEPTH = 100
 FLUSH_HOSTS = 1000
 SALTS = 16
 
@@ -62,10 +63,10 @@ def _words(value: str) -> list[str]:
 
 
 class Element:
-    __slots__ = ("tag", "label", "path", "children", "dropped", "root")
+    __slots__ = ("tag", "label", "path", "children", "dropped", "root", "quiet")
 
-    def __init__(self, tag: str, label: str, path: str, dropped: bool, root: bool):
-        self.tag, self.label, self.path, self.dropped, self.root = tag, label, path, dropped, root
+    def __init__(self, tag: str, label: str, path: str, dropped: bool, root: bool, quiet: bool):
+        self.tag, self.label, self.path, self.dropped, self.root, self.quiet = tag, label, path, dropped, root, quiet
         self.children: list[Element | Text] = []
 
 
@@ -97,7 +98,7 @@ def _dropped(tag: str, attributes: dict[str, str], in_root: bool) -> bool:
 
 def parse(text: str | None) -> Element:
     """The tree of block elements and texts of a page."""
-    top = Element("", "", "", False, False)
+    top = Element("", "", "", False, False, False)
     if not text:
         return top
     stack = [top]
@@ -109,7 +110,7 @@ def parse(text: str | None) -> Element:
         joined = " ".join("".join(buffer).split())
         buffer.clear()
         own = stack[-1]
-        if joined and not own.dropped:
+        if joined and not own.dropped and not own.quiet:
             own.children.append(Text(joined, own.path, link_chars, own.root))
         link_chars = 0
 
@@ -180,12 +181,16 @@ def parse(text: str | None) -> Element:
             above = stack[-1]
             label = ".".join([tag, *sorted({w for w in attributes.get("class", "").split() if not re.search(r"[\d.]", w)})])
             dropped = above.dropped or _dropped(tag, attributes, above.root)
-            in_header = above.root and any(e.tag == "header" for e in stack)
-            if in_header and tag not in HEADINGS and tag not in ("div", "hgroup"):
-                dropped = True  # of the head of an article the headings stay
+            # of the head of an article only the headings are text
+            quiet = tag not in HEADINGS and (above.quiet or (above.root and tag == "header"))
             root = not dropped and (above.root or tag in ROOTS)
-            element = Element(tag, label, f"{above.path}/{label}", dropped, root)
-            above.children.append(element)
+            if len(stack) > MAX_DEPTH and not dropped:  # what lies deeper belongs to the element at that depth
+                element = Element(tag, label, above.path, dropped, root, quiet)
+                element.children = above.children
+            else:
+                element = Element(tag, label, f"{above.path}/{label}", dropped, root, quiet)
+                if not above.dropped:
+                    above.children.append(element)
             if not found[3].endswith("/"):
                 stack.append(element)
     flush()
@@ -204,7 +209,8 @@ def texts_of(element: Element) -> list[Text]:
     return out
 
 
-# A wrapper node is [label, how often, what]: "" or "?", "*", "+"; what is a list of nodes, or for the label "#" the digest of a literal text or None (slot).
+# A wrapper node is [label, how often, what]: "" or "?", "*", "+"; what is a list of nodes, or for a text (label "#") the sorted digests of the
+# texts that every page has there. One digest alone is template text, any other text is a slot.
 Node = list
 
 
@@ -217,11 +223,19 @@ def _often(a: str, b: str) -> str:
     return {(True, True): "*", (True, False): "+", (False, True): "?", (False, False): ""}[many, none]
 
 
-def _join(a: Node, b: Node) -> Node:
-    """One node for two with equal labels."""
+def _join(a: Node, b: Node, one_page: bool) -> Node:
+    """One node for two with equal labels: what a page has in either, or what two pages have in both."""
     if a[0] == "#":
-        return ["#", _often(a[1], b[1]), a[2] if a[2] == b[2] else None]
-    return [a[0], _often(a[1], b[1]), align(a[2], b[2])]
+        return ["#", _often(a[1], b[1]), sorted(set(a[2]) | set(b[2]) if one_page else set(a[2]) & set(b[2]))]
+    return [a[0], _often(a[1], b[1]), align(a[2], b[2], one_page)]
+
+
+def _optional(node: Node, one_page: bool) -> Node:
+    return [node[0], _often(node[1], "?"), node[2] if one_page else _slots_only(node[2], node[0] == "#")]
+
+
+def _slots_only(what: list, text: bool) -> list:
+    return [] if text else [[label, often, _slots_only(inner, label == "#")] for label, often, inner in what]
 
 
 def fold(nodes: list[Node]) -> list[Node]:
@@ -239,7 +253,7 @@ def fold(nodes: list[Node]) -> list[Node]:
                 parts = [nodes[k + t * period : k + (t + 1) * period] for t in range(times)]
                 merged = parts[0]
                 for part in parts[1:]:
-                    merged = [_join(a, b) for a, b in zip(merged, part, strict=True)]
+                    merged = [_join(a, b, True) for a, b in zip(merged, part, strict=True)]
                 if period == 1:
                     out.append([merged[0][0], "+", merged[0][2]])
                 else:
@@ -252,10 +266,10 @@ def fold(nodes: list[Node]) -> list[Node]:
     return out
 
 
-def align(a: list[Node], b: list[Node]) -> list[Node]:
+def align(a: list[Node], b: list[Node], one_page: bool = False) -> list[Node]:
     """The two sequences as one: nodes that only one has become optional."""
     if [n[0] for n in a] == [n[0] for n in b]:
-        return [x if x == y else _join(x, y) for x, y in zip(a, b, strict=True)]
+        return [x if x == y else _join(x, y, one_page) for x, y in zip(a, b, strict=True)]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -264,20 +278,20 @@ def align(a: list[Node], b: list[Node]) -> list[Node]:
     i = j = 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and a[i][0] == b[j][0]:
-            out.append(_join(a[i], b[j]))
+            out.append(_join(a[i], b[j], one_page))
             i, j = i + 1, j + 1
         elif j == len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
-            out.append([a[i][0], _often(a[i][1], "?"), a[i][2]])
+            out.append(_optional(a[i], one_page))
             i += 1
         else:
-            out.append([b[j][0], _often(b[j][1], "?"), b[j][2]])
+            out.append(_optional(b[j], one_page))
             j += 1
     return out
 
 
 def wrapper_of(element: Element) -> list[Node]:
     """The folded stream of one page."""
-    return fold([["#", "", _digest(c.text)] if isinstance(c, Text) else [c.label, "", wrapper_of(c) if not c.dropped else []] for c in element.children])
+    return fold([["#", "", [_digest(c.text)]] if isinstance(c, Text) else [c.label, "", wrapper_of(c) if not c.dropped else []] for c in element.children])
 
 
 def as_expression(nodes: list[Node]) -> str:
@@ -285,7 +299,7 @@ def as_expression(nodes: list[Node]) -> str:
     out = []
     for label, often, what in nodes:
         if label == "#":
-            body = "#PCDATA" if what is None else "#TEXT"
+            body = "#TEXT" if len(what) == 1 else "#PCDATA"
         elif label.startswith("("):
             body = as_expression(what)
         else:
@@ -294,26 +308,25 @@ def as_expression(nodes: list[Node]) -> str:
     return "".join(out)
 
 
-def _survey(nodes: list[Node], path: str, always: bool, roots: list[str], literals: list[list[str]]) -> None:
-    """Collect the paths of the articles, and (path, digest) of the literal texts that all pages have."""
-    for label, often, what in nodes:
+def _survey(nodes: list[Node], path: str, roots: list[str], literals: list[list[str]]) -> None:
+    """Collect the paths of the articles, and (path, digest) of the texts that all pages have."""
+    for label, _, what in nodes:
         if label == "#":
-            if what is not None and often == "" and always:
-                literals.append([path, what])
+            literals += [[path, digest] for digest in what]
             continue
         own = path if label.startswith("(") else f"{path}/{label}"
         if label.split(".")[0] in ROOTS:
             if what:  # a dropped one is empty
                 roots.append(own)
         else:
-            _survey(what, own, always and often in ("", "+"), roots, literals)
+            _survey(what, own, roots, literals)
 
 
 def slots(wrapper: list[Node], n: int) -> dict:
     """What a wrapper over ``n`` pages says of the text slots of its host."""
     roots: list[str] = []
     literals: list[list[str]] = []
-    _survey(wrapper, "", True, roots, literals)
+    _survey(wrapper, "", roots, literals)
     return {"roots": sorted(set(roots)), "literals": sorted(literals) if n >= MIN_PAGES and not roots else []}
 
 
