@@ -43,7 +43,7 @@ def test_clean(spark):
         ({"failure_ratio": "if(i = 5, 1.5D, 0.5D)"}, ([7], "range_check", "ERROR", "Column 'failure_ratio' has an out-of-range value (1.5) at row 7; expected 0-1.")),
         ({"bytes_transferred": "if(i = 39, 900.0D, 1.0D)"}, ([41], "range_check", "WARNING", "Column 'bytes_transferred' has an extreme outlier (900.00, z=6.2) at row 41.")),
         ({"window_id": "if(i in (1, 4), 'w', concat('w', i))", "entity_id": "'e'"},
-         ([3, 6], "duplicate_check", "ERROR", "Duplicate (window_id, entity_id) pair found at lines [3, 6]: window_id='w', entity_id='e'.")),
+         ([3], "duplicate_check", "ERROR", "Duplicate (window_id, entity_id) pair found at 2 lines, the first 3: window_id='w', entity_id='e'.")),
     ],
 )
 def test_single_findings(spark, changes, finding):
@@ -54,12 +54,13 @@ def test_extra_columns_of_the_matrix_are_expected(spark):
     assert found(matrix(spark, entity_label="'x'", privacy_risk="'LOW'", bytes_transferred_rolling_4h="1.0D")) == []
 
 
-def test_large_duplicate_groups_are_listed_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(feature_checks, "LINES_PER_ISSUE", 100)
-    df = matrix(spark, 1000, window_id="if(i % 3 = 0, 'hot', concat('w', i))", entity_id="'e'")
-    parts = feature_checks.duplicate_lines(df).collect()
-    listed = sorted(n for p in parts for n in p.line_numbers)
-    assert len(parts) > 1 and listed == [i + 2 for i in range(0, 1000, 3)] and {p.n for p in parts} == {334}
+def test_a_large_duplicate_group_is_one_finding(spark):
+    df = matrix(spark, 36000, window_id="if(i % 3 = 0, 'hot', concat('w', i))", entity_id="'e'")
+    findings = feature_checks.check_duplicates(df).collect()
+    assert [(r.line_numbers, r.seq) for r in findings] == [([2], 0)] and " 12000 lines" in findings[0].description
+    lines = feature_checks.duplicate_lines(df)
+    assert lines.count() == lines.select("line_number").distinct().count() == 12000
+    assert feature_checks.valid_records(df, feature_checks.check_duplicates(df)).count() == 24000
 
 
 def test_summary_counts_each_line_once(spark):
@@ -98,13 +99,22 @@ def test_exact_tail_counts_all_orders():
             assert abs(drift.ks_tail(reach / (n * m), n, m) - sum(s >= reach for s in sizes) / len(sizes)) < 1e-12
 
 
-def test_tails_agree():
+def test_tails_agree(spark):
     # fixed values: two samples of 30
     for d, p in ((0.26666666666666666, 0.23907300248018645), (0.13333333333333333, 0.9578462903438838), (1 / 3, 0.070888)):
         assert abs(drift.ks_tail(d, 30, 30) - p) < 1e-6
     for d in (0.005, 0.01, 0.02, 0.03):
-        assert abs(drift._exact_tail(d, 9000, 7000) - drift._limit_tail(d, 9000, 7000)) < 2e-3
-    assert drift.ks_tail(0.5, 200000, 300000) < 1e-12
+        limit = spark.range(1).select(drift._limit_p_value(*(F.lit(x) for x in (d, 9000, 7000))).alias("p")).first().p
+        assert abs(drift._exact_tail(d, 9000, 7000) - limit) < 2e-3
+    assert spark.range(1).select(drift._limit_p_value(*(F.lit(x) for x in (0.5, 200000, 300000))).alias("p")).first().p < 1e-12
+
+
+def test_the_law_does_not_follow_the_size(spark):
+    one, two = (spark.range(30).selectExpr(f"id * {k} AS failure_ratio") for k in (1, 2))
+    by_limit, exact = (drift.drift_report(one, two, method=m).first().p_value for m in ("limit", "exact"))
+    assert abs(exact - drift._exact_tail(0.5, 30, 30)) < 1e-12 and 1e-6 < abs(by_limit - exact) < 0.02
+    with pytest.raises(ValueError):
+        drift.drift_report(one, two, method="other")
 
 
 def test_drift_findings(spark):

@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import functions as F
 
 from tidewatch.operators import evaluation, explanation, preparation, profile, sampling, training
-from tidewatch.operators.neighbours import nearest_neighbours, smote
+from tidewatch.operators.neighbours import exact_neighbours, nearest_neighbours, recall, smote
 from tidewatch.operators.ordering import quantiles
 
 
@@ -16,26 +16,46 @@ def brute_neighbours(ids, x, k):
     return {int(i): sorted(zip(np.round(row, 9), ids))[:k] for i, row in zip(ids, d)}
 
 
-@pytest.mark.parametrize("width, cell", [(1, 30), (2, 40), (2, 5000), (6, 60)])
-def test_nearest_neighbours_are_exact(spark, width, cell):
+def spots(spark, width, n=400):
     rng = np.random.default_rng(width)
-    x = rng.normal(size=(400, width)) * np.linspace(5, 1, width)
+    x = rng.normal(size=(n, width)) * np.linspace(5, 1, width)
     # a third of the points sit almost on one spot
-    x[:133] = 0.01 * rng.normal(size=(133, width))
-    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "pid bigint, x array<double>")
+    x[: n // 3] = 0.01 * rng.normal(size=(n // 3, width))
+    return x, spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "pid bigint, x array<double>")
+
+
+@pytest.mark.parametrize("width, block", [(1, 30), (2, 400), (6, 70)])
+def test_exact_neighbours(spark, width, block):
+    x, df = spots(spark, width)
     got = {}
-    for r in nearest_neighbours(df, 4, cell).collect():
+    for r in exact_neighbours(df.where("pid % 2 = 0"), df, 4, block).collect():
         got.setdefault(r.pid, []).append((round(r.dist, 9), r.nb))
-    wanted = brute_neighbours(np.arange(400), x, 4)
+    wanted = {k: v for k, v in brute_neighbours(np.arange(400), x, 4).items() if k % 2 == 0}
     assert {k: [n for _, n in sorted(v)] for k, v in got.items()} == {k: [n for _, n in v] for k, v in wanted.items()}
 
 
+@pytest.mark.parametrize("width", [2, 20])
+def test_recall_of_the_trees(spark, width):
+    _, df = spots(spark, width, 3000)
+    found = nearest_neighbours(df, 5, leaf_rows=64)
+    assert found.groupBy("pid").count().where("count <> 5").isEmpty() and found.select("pid").distinct().count() == 3000
+    assert recall(found, exact_neighbours(df, df, 5)).first().recall >= 0.95
+
+
+def test_few_points(spark):
+    x, df = spots(spark, 3, 30)
+    wanted = brute_neighbours(np.arange(30), x, 4)
+    for r in nearest_neighbours(df, 4).collect():
+        assert wanted[r.pid][r["rank"] - 1] == (round(r.dist, 9), r.nb)
+    assert nearest_neighbours(df.limit(0), 4).collect() == [] and nearest_neighbours(df.limit(1), 4).collect() == []
+
+
 def test_smote(spark):
     rng = np.random.default_rng(0)
     rows = [(i, float(a), float(b), "rare" if i < 50 else "common") for i, (a, b) in enumerate(rng.normal(size=(230, 2)))]
     rows += [(1000 + i, 0.5, 0.5, "rare") for i in range(20)]
     df = spark.createDataFrame(rows, "id bigint, a double, b double, y string")
-    out = smote(df, ["a", "b"], "y", ["id"], k=5, rows_per_cell=20).collect()
+    out = smote(df, ["a", "b"], "y", ["id"], k=5, leaf_rows=20).collect()
     counts = {(r.y, r.synthetic): 0 for r in out}
     for r in out:
         counts[r.y, r.synthetic] += 1

@@ -26,11 +26,9 @@ def test_agrees_with_sql(spark, con, name):
     assert compare(spark, con, QUERIES[name], ORACLES[name], SF_DIR) is None
 
 
-# model_comparison is left out here: test_models covers the search on a smaller table
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES and n != "model_comparison"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
 def test_runs(spark, name):
-    # the halves of the smallest tables do not drift
-    assert QUERIES[name](spark, SF_DIR).count() > (-1 if name == "drift_issues" else 0)
+    assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
 def test_entry(spark):

@@ -125,6 +125,11 @@ def network_ranges(networks: DataFrame, cidr: str = "cidr") -> DataFrame:
     )
 
 
+#: Prefixes of at most so many hex digits are salted; there are fewer than 300 of them.
+SHORT_NIBBLES = 2
+SALTS = 64
+
+
 def match_networks(df: DataFrame, ip: str, networks: DataFrame, cidr: str = "cidr") -> DataFrame:
     """All (address, network) matches, one row per distinct address and network.
 
@@ -145,8 +150,12 @@ def match_networks(df: DataFrame, ip: str, networks: DataFrame, cidr: str = "cid
     keyed = addresses.join(F.broadcast(lengths), F.length("_hex") == F.col("net_width")).withColumn(
         "net_prefix", F.expr("substring(_hex, 1, net_nibbles)")
     )
+    # a short prefix is that of very many addresses: these are dealt over salts, and its few networks repeated
+    short = F.col("net_nibbles") <= SHORT_NIBBLES
+    keyed = keyed.withColumn("_salt", F.when(short, F.pmod(F.xxhash64("_hex"), F.lit(SALTS))).otherwise(0).cast("int"))
+    nets = nets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(short, SALTS - 1).otherwise(0))))
     return (
-        keyed.join(nets, ["net_width", "net_nibbles", "net_prefix"])
+        keyed.join(nets, ["net_width", "net_nibbles", "net_prefix", "_salt"])
         .where("_hex BETWEEN net_lo AND net_hi")
         .select(ip, cidr, "net_nibbles", "net_lo")
     )

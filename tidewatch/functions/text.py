@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters a text is stripped of and split on.
@@ -32,6 +32,16 @@ def shannon_entropy(value: Column) -> Column:
     return F.when(size > 0, F.aggregate(letters, F.lit(0.0), add) + F.lit(0.0)).otherwise(F.lit(0.0))
 
 
+def entropy_by_row(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, entropy, n_chars) for texts of any length: each character is counted once, by partial sums."""
+    char = F.explode_outer(F.regexp_extract_all(F.col(text), F.lit("(?s)."), F.lit(0)))
+    counts = df.select(F.col(key), F.length(text).cast("bigint").alias("n_chars"), char.alias("_c")).groupBy(key, "n_chars", "_c").agg(F.count("_c").alias("_k"))
+    k = F.col("_k").cast("double")
+    sums = counts.groupBy(key, "n_chars").agg(F.sum("_k").alias("_n"), F.sum(F.when(k > 0, k * F.log2(k)).otherwise(0.0)).alias("_s"))
+    n = F.col("_n").cast("double")
+    return sums.select(key, F.when(n > 0, F.greatest(F.log2(n) - F.col("_s") / n, F.lit(0.0))).otherwise(0.0).alias("entropy"), "n_chars")
+
+
 def pseudonymize(value: Column, key: bytes) -> Column:
     """``ps_`` and the first 16 hex digits of HMAC-SHA256(key, value); null stays null."""
     if not key:

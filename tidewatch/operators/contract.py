@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.jsons import parse_strict
+from tidewatch.functions.jsons import parse_pair, strict_value
 from tidewatch.functions.times import parse_telemetry_time
 
 
@@ -337,7 +337,10 @@ def _mandatory(root: Column) -> list[Column]:
 
 def _contract_findings(df: DataFrame, json: str, keys: list[str], strict: bool) -> DataFrame:
     """Unordered findings: keys, ``_order`` (path, node, rule), ``path``, ``keyword``, ``message``."""
-    parsed = df.select(*keys, parse_strict(F.col(json)).alias("_v"))
+    # through generators, so that the text is parsed once whatever reads the value
+    parsed = df.select(*keys, F.inline(F.array(F.struct(parse_pair(F.col(json)).alias("_pair"))))).select(
+        *keys, F.inline(F.array(F.struct(strict_value(F.col("_pair")).alias("_v"))))
+    )
     opener = _Opener(F.col("_v"))
     opener.section(EVENT_CONTRACT, [])
     parts = F.filter(F.array(F.array(*opener.nodes), *opener.lists), lambda part: part.isNotNull())
@@ -353,12 +356,24 @@ def _contract_findings(df: DataFrame, json: str, keys: list[str], strict: bool)
         kind.alias("_kind"),
         F.when(kind == "string", _text(value)).alias("_text"),
         F.when(kind == "object", F.map_keys(value.cast(_MEMBERS))).alias("_keys"),
+        F.col("_n.keyword").alias("_keyword"),
+        F.col("_n.message").alias("_message"),
     )
-    nodes = (
-        parsed.where("_v IS NOT NULL")
-        .select(*keys, F.posexplode(present).alias("_node", "_n"))
-        .select(*keys, "_node", F.inline(F.array(facts)))
-    )
+
+    def whole(keyword, message):
+        return F.when(message.isNotNull(), F.struct(F.lit(keyword).alias("keyword"), message.alias("message")))
+
+    not_json = F.when(F.col("_v").isNull(), F.lit("record is not valid JSON"))
+    records = F.array(whole("json", not_json), *[whole("mandatory", m) for m in _mandatory(F.col("_v"))])
+    # nodes and findings on the whole record, one after the other
+    entries = F.concat(
+        F.transform(present, lambda n: F.struct(n["place"].alias("place"), n["item"].alias("item"), n["value"].alias("value"),
+                                                F.lit(None).cast("string").alias("keyword"), F.lit(None).cast("string").alias("message"))),
+        F.transform(F.filter(records, lambda e: e.isNotNull()), lambda e: F.struct(
+            F.lit(None).cast("int").alias("place"), F.lit(None).cast("int").alias("item"), F.try_parse_json(F.lit(None).cast("string")).alias("value"),
+            e["keyword"].alias("keyword"), e["message"].alias("message"))),
+    )
+    nodes = parsed.select(*keys, F.posexplode(entries).alias("_node", "_n")).select(*keys, "_node", F.inline(F.array(facts)))
     place = F.get(places, F.col("_place"))
     broken, found = _node_errors(place, strict)
     # list indexes in fixed width sort by number
@@ -369,34 +384,23 @@ def _contract_findings(df: DataFrame, json: str, keys: list[str], strict: bool)
         place["path"], lambda p: F.when(p == _ITEM, F.col("_item").cast("string")).otherwise(p)
     )
     path = F.when(F.size(plain) == 0, F.lit("(root)")).otherwise(F.array_join(plain, "."))
-    by_rule = (
-        nodes.where(broken)
-        .select(*keys, "_node", steps.alias("_path"), path.alias("path"), F.posexplode(found).alias("_i", "_e"))
+    on_record = F.col("_message").isNotNull()
+    errors = F.when(on_record, F.array(F.struct(F.col("_keyword").alias("keyword"), F.col("_message").alias("message")))).otherwise(found)
+    return (
+        nodes.where(F.coalesce(broken, F.lit(False)) | on_record)
+        .select(
+            *keys, "_node", F.when(on_record, F.array().cast("array<string>")).otherwise(steps).alias("_path"),
+            F.when(on_record, F.lit("(root)")).otherwise(path).alias("path"), on_record.alias("_whole"), F.posexplode(errors).alias("_i", "_e"),
+        )
         .select(
             *keys,
-            F.struct(F.lit(1).alias("kind"), "_path", "_node", "_i").alias("_order"),
+            F.struct(F.when(F.col("_whole"), 0).otherwise(1).alias("kind"), "_path", "_node", "_i").alias("_order"),
             "path",
             F.col("_e.keyword").alias("keyword"),
-            F.concat(F.lit("["), "path", F.lit("] "), "_e.message").alias("message"),
+            F.when(F.col("_whole"), F.col("_e.message")).otherwise(F.concat(F.lit("["), "path", F.lit("] "), "_e.message")).alias("message"),
         )
     )
 
-    def whole(keyword, message):
-        return F.when(message.isNotNull(), F.struct(F.lit(keyword).alias("keyword"), message.alias("message")))
-
-    not_json = F.when(F.col("_v").isNull(), F.lit("record is not valid JSON"))
-    records = F.array(whole("json", not_json), *[whole("mandatory", m) for m in _mandatory(F.col("_v"))])
-    on_record = parsed.select(*keys, F.posexplode(F.filter(records, lambda e: e.isNotNull())).alias("_i", "_e")).select(
-        *keys,
-        F.struct(
-            F.lit(0).alias("kind"), F.array().cast("array<string>").alias("_path"), F.lit(0).alias("_node"), "_i"
-        ).alias("_order"),
-        F.lit("(root)").alias("path"),
-        "_e.keyword",
-        "_e.message",
-    )
-    return by_rule.unionByName(on_record)
-
 
 def validate_events(df: DataFrame, json: str, keys: list[str], strict_formats: bool = False) -> DataFrame:
     """One row per finding: the key columns, ``position`` from 1, ``path``, ``keyword``, ``message``.

@@ -10,26 +10,37 @@ from tidewatch.operators.ordering import running_totals
 # The threshold sweep and the recall floor of its recommendation.
 THRESHOLDS = [0.1 + i * 0.05 for i in range(17)]
 RECALL_FLOOR = 0.85
-DETAIL = (THRESHOLDS[4], 0.5, 0.7)
+DETAIL = (0.3, 0.5, 0.7)
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("n"))
 
 
-def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row: accuracy and support-weighted precision, recall and F1."""
+def weighted_metrics(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", positive=None
+) -> DataFrame:
+    """One row: accuracy and support-weighted precision, recall and F1; with ``positive`` also its cells."""
     cells = confusion_matrix(df, label, prediction)
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    none = F.lit(0).cast("bigint")
+    named = {}
+    if positive is not None:
+        actual, called = F.col("label") == F.lit(positive), F.col("prediction") == F.lit(positive)
+        named = {"_tp": actual & called, "_fp": ~actual & called, "_fn": actual & ~called, "_tn": ~actual & ~called}
     # each cell counts for its actual and for its predicted class
     sides = F.array(
-        F.struct(F.col("label").cast("string").alias("c"), F.col("n").alias("support"), hit.alias("tp"), F.lit(0).cast("bigint").alias("called")),
         F.struct(
-            F.col("prediction").cast(df.schema[label].dataType).cast("string").alias("c"), F.lit(0).cast("bigint").alias("support"),
-            F.lit(0).cast("bigint").alias("tp"), F.col("n").alias("called"),
+            F.col("label").cast("string").alias("c"), F.col("n").alias("support"), hit.alias("tp"), none.alias("called"),
+            *[F.when(c, F.col("n")).otherwise(0).alias(k) for k, c in named.items()],
+        ),
+        F.struct(
+            F.col("prediction").cast(df.schema[label].dataType).cast("string").alias("c"), none.alias("support"),
+            none.alias("tp"), F.col("n").alias("called"), *[none.alias(k) for k in named],
         ),
     )
-    per = cells.select(F.inline(sides)).groupBy("c").agg(*[F.sum(x).alias(x) for x in ("support", "tp", "called")])
+    counts = ("support", "tp", "called", *named)
+    per = cells.select(F.inline(sides)).groupBy("c").agg(*[F.sum(x).alias(x) for x in counts])
     precision = F.coalesce(F.try_divide(F.col("tp"), F.col("called")), F.lit(0.0))
     recall = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     f1 = 2 * F.col("tp") / (F.col("support") + F.col("called"))
@@ -38,7 +49,7 @@ def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "pre
         (F.sum("tp") / total).alias("accuracy"),
         (F.sum(precision * F.col("support")) / total).alias("precision"),
         (F.sum(recall * F.col("support")) / total).alias("recall"),
-        (F.sum(f1 * F.col("support")) / total).alias("f1"),
+        (F.sum(f1 * F.col("support")) / total).alias("f1"), *[F.sum(k).alias(k[1:]) for k in named],
     )
 
 
@@ -92,30 +103,28 @@ def security_metrics(
     df: DataFrame, positive, label: str = "label", prediction: str = "prediction", score: str | None = None
 ) -> DataFrame:
     """One row: weighted metrics, error rates and F1 of the positive class, curve areas with ``score``."""
-    actual, called = F.col(label) == F.lit(positive), F.col(prediction) == F.lit(positive)
-    tp, fp = F.count_if(actual & called), F.count_if(~actual & called)
-    fn, tn = F.count_if(actual & ~called), F.count_if(~actual & ~called)
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
 
     def rate(a, b):
         return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
-    cells = df.agg(
-        F.struct(
-            tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), tn.alias("tn"),
-            rate(fp, fp + tn).alias("false_positive_rate"),
-            rate(fn, fn + tp).alias("false_negative_rate"),
-            rate(2 * tp, 2 * tp + fp + fn).alias("f1_positive"),
-        )
+    row = weighted_metrics(df, label, prediction, positive).withColumns(
+        {
+            "false_positive_rate": rate(fp, fp + tn),
+            "false_negative_rate": rate(fn, fn + tp),
+            "f1_positive": rate(2 * tp, 2 * tp + fp + fn),
+        }
     )
-    row = weighted_metrics(df, label, prediction).withColumn("_c", cells.scalar()).select("*", "_c.*").drop("_c")
     if score is None:
         return row
-    areas = curve_areas(curve_points(df, actual, score)).select(F.struct("roc_auc", "pr_auc"))
+    areas = curve_areas(curve_points(df, F.col(label) == F.lit(positive), score)).select(F.struct("roc_auc", "pr_auc"))
     return row.withColumn("_a", areas.scalar()).select("*", "_a.*").drop("_a")
 
 
-def threshold_sweep(df: DataFrame, positive: Column, score: str, thresholds: list[float] | None = None) -> DataFrame:
-    """Rows of (threshold, tp, fp, fn, precision, recall, f1), all from one aggregate."""
+def threshold_sweep(
+    df: DataFrame, positive: Column, score: str, thresholds: list[float] | None = None, place: str | None = None
+) -> DataFrame:
+    """Rows of (threshold, tp, fp, fn, precision, recall, f1), all from one aggregate; ``place`` adds their place."""
     levels = THRESHOLDS if thresholds is None else thresholds
     wide = df.agg(
         F.count_if(positive).alias("p"),
@@ -125,7 +134,7 @@ def threshold_sweep(df: DataFrame, positive: Column, score: str, thresholds: lis
     entries = [
         F.struct(
             F.lit(t).alias("threshold"), F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp"),
-            (F.col("p") - F.col(f"tp{i}")).alias("fn"),
+            (F.col("p") - F.col(f"tp{i}")).alias("fn"), *([F.lit(i).alias(place)] if place else []),
         )
         for i, t in enumerate(levels)
     ]
@@ -139,17 +148,25 @@ def threshold_sweep(df: DataFrame, positive: Column, score: str, thresholds: lis
     )
 
 
+def _preference(recall_floor: float) -> list[Column]:
+    eligible = (F.col("recall") >= recall_floor) & (F.col("f1") > 0)
+    return [eligible.desc(), F.desc("f1"), F.col("threshold")]
+
+
 def recommend_threshold(sweep: DataFrame, recall_floor: float = RECALL_FLOOR) -> DataFrame:
     """The threshold with the best F1 among those above the recall floor, else the best F1."""
-    eligible = (F.col("recall") >= recall_floor) & (F.col("f1") > 0)
-    return sweep.orderBy(eligible.desc(), F.desc("f1"), "threshold").limit(1)
+    return sweep.orderBy(*_preference(recall_floor)).limit(1)
 
 
 def threshold_analysis(df: DataFrame, positive: Column, score: str, recall_floor: float = RECALL_FLOOR) -> DataFrame:
     """The recommended threshold and the rows for 0.3, 0.5 and 0.7."""
-    best = recommend_threshold(threshold_sweep(df, positive, score), recall_floor).withColumn("kind", F.lit("recommended"))
-    detail = threshold_sweep(df, positive, score, list(DETAIL)).withColumn("kind", F.lit("detail"))
-    return best.unionByName(detail)
+    levels = [*THRESHOLDS, *DETAIL]
+    sweep = threshold_sweep(df, positive, score, levels, place="_place")
+    kind = F.when(F.col("_place") < len(THRESHOLDS), "recommended").otherwise("detail")
+    # one row per level
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(*_preference(recall_floor)))
+    ranked = sweep.withColumn("kind", kind).withColumn("_rank", rank)
+    return ranked.where((F.col("kind") == "detail") | (F.col("_rank") == 1)).drop("_place", "_rank")
 
 
 def confusion_cell(actual: Column, called: Column) -> Column:

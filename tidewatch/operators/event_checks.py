@@ -189,9 +189,15 @@ def _rapid_issues(df: DataFrame) -> DataFrame:
     return rapid_events(df).select("line_number", issue.alias("i")).select("line_number", "i.*")
 
 
+def _utc(moment: dt.datetime) -> Column:
+    """A moment without a zone is in UTC, whatever the zone of the machine."""
+    aware = moment.replace(tzinfo=dt.timezone.utc) if moment.tzinfo is None else moment.astimezone(dt.timezone.utc)
+    return F.lit(aware.isoformat()).cast("timestamp")
+
+
 def run_event_checks(df: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     """All findings of the five checks on events with a ``line_number``."""
-    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    now = F.current_timestamp() if as_of is None else _utc(as_of)
     return (
         _local_issues(df, now)
         .unionByName(_duplicate_issues(df))

@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.evaluation import weighted_metrics
-from tidewatch.operators.sampling import seeded_hash, seeded_sample
+from tidewatch.operators.ordering import with_line_numbers
+from tidewatch.operators.sampling import seeded_hash
 
-# Sample sizes and the wording of explanations.
-SAMPLE_ROWS = 500
-BACKGROUND_ROWS = 50
+# The wording of explanations.
 OPENINGS = {
     "TP": "Correctly flagged as malicious because",
     "FP": "Incorrectly flagged as attack because",
@@ -24,22 +23,23 @@ def attribution(
     model: Model, rows: DataFrame, background: DataFrame, columns: list[str], row_id: str,
     permutations: int = 10, positive: int = 1, seed: int = 42, background_keys: list[str] | None = None,
 ) -> DataFrame:
-    """Rows of (row_id, feature, phi): sampled Shapley values of the positive probability.
+    """Rows of (row_id, feature, phi, base): sampled Shapley values of the positive probability.
 
     For each row and permutation the features are switched one by one from a background row to the
-    row's own values; a feature is credited with the change of the score when it is switched.
+    row's own values; a feature is credited with the change of the score when it is switched. The
+    background row is drawn from the whole background by a hash; ``base`` is the mean score of
+    those drawn for a row, so the values of a row add up to its score less ``base``.
     """
     d = len(columns)
     x = F.array(*[F.col(c).cast("double") for c in columns])
-    sampled = seeded_sample(background, background_keys or [row_id], BACKGROUND_ROWS, seed)
-    # an array of at most BACKGROUND_ROWS rows
-    pool = sampled.agg(F.array_sort(F.collect_list(x))).scalar()
+    keys = background_keys or [row_id]
+    pool = with_line_numbers(background.select(*keys, x.alias("b")), keys, "_number").select("_number", "b")
+    size = pool.count()
     jobs = (
         rows.select(row_id, x.alias("x"))
         .withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
-        .withColumn("_pool", pool)
-        .withColumn("b", F.get("_pool", F.pmod(seeded_hash(seed, row_id, "perm"), F.size("_pool")).cast("int")))
-        .drop("_pool")
+        .withColumn("_number", F.pmod(seeded_hash(seed, row_id, "perm"), F.lit(size)) + 1)
+        .join(pool, "_number").drop("_number")
     )
     order = F.transform(
         F.array_sort(
@@ -59,13 +59,15 @@ def attribution(
     p = vector_to_array("probability")[positive]
     # the steps of one row and permutation
     walk = Window.partitionBy(row_id, "perm").orderBy("step")
-    change = scored.select(row_id, "perm", "step", "order", p.alias("p")).withColumn("_d", F.col("p") - F.lag("p").over(walk))
+    change = scored.select(row_id, "perm", "step", "order", p.alias("p")).withColumns(
+        {"_d": F.col("p") - F.lag("p").over(walk), "_b": F.first("p").over(walk)}
+    )
     names = F.array(*[F.lit(c) for c in columns])
     return (
         change.where("step > 0")
         .withColumn("feature", F.get(names, F.get("order", F.col("step") - 1)))
         .groupBy(row_id, "feature")
-        .agg(F.avg("_d").alias("phi"))
+        .agg(F.avg("_d").alias("phi"), F.avg("_b").alias("base"))
     )
 
 

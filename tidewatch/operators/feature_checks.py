@@ -62,8 +62,6 @@ ADVICE = {
     "the underlying attack pattern or user behavior has changed; review before trusting a model trained on the "
     "old relationship.",
 }
-# lines listed by one finding; a larger group of duplicates is listed in several findings
-LINES_PER_ISSUE = 10_000
 _ISSUE = T.StructType(
     [
         T.StructField("line_numbers", T.ArrayType(T.LongType())),
@@ -199,34 +197,30 @@ def check_ranges(df: DataFrame, line: str = "line_number") -> DataFrame:
     return _expand(work, rules)
 
 
-def duplicate_lines(df: DataFrame, line: str = "line_number") -> DataFrame:
-    """Rows of (window_id, entity_id, n, part, line_numbers) for keys that occur more than once.
+def _duplicate_keys(df: DataFrame, line: str) -> DataFrame:
+    """Rows of (window_id, entity_id, n, first_line) for keys that occur more than once."""
+    return df.groupBy("window_id", "entity_id").agg(F.count("*").alias("n"), F.min(line).alias("first_line")).where("n > 1")
 
-    A key with more than ``LINES_PER_ISSUE`` lines is listed in several parts, so no task ever
-    collects more than about that many lines, and none is left out.
-    """
+
+def duplicate_lines(df: DataFrame, line: str = "line_number") -> DataFrame:
+    """Rows of (window_id, entity_id, n, line) for every line of a key that occurs more than once."""
     keys = ["window_id", "entity_id"]
-    rows = df.select(*keys, line)
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / LINES_PER_ISSUE)
-    spread = (
-        rows.alias("r")
-        .join(sizes.alias("s"), F.expr(" AND ".join(f"r.{k} <=> s.{k}" for k in keys)))
-        .select(*[F.col(f"r.{k}").alias(k) for k in keys], "n", line, F.pmod(F.xxhash64(line), parts).alias("part"))
-    )
-    return spread.groupBy(*keys, "n", "part").agg(F.array_sort(F.collect_list(line)).alias("line_numbers"))
+    same = F.expr(" AND ".join(f"r.{k} <=> s.{k}" for k in keys))
+    found = df.select(*keys, line).alias("r").join(_duplicate_keys(df, line).alias("s"), same)
+    return found.select(*[F.col(f"r.{k}").alias(k) for k in keys], "n", line)
 
 
 def check_duplicates(df: DataFrame, line: str = "line_number") -> DataFrame:
+    """One finding per key, at its first line; ``duplicate_lines`` has all of them."""
     if not {"window_id", "entity_id"} <= set(df.columns):
         return df.sparkSession.createDataFrame([], _ISSUE)
     text = F.concat(
-        F.lit("Duplicate (window_id, entity_id) pair found at lines ["), F.array_join("line_numbers", ", "),
-        F.lit("]: window_id='"), F.coalesce("window_id", F.lit("")), F.lit("', entity_id='"),
-        F.coalesce("entity_id", F.lit("")), F.lit("'."),
+        F.lit("Duplicate (window_id, entity_id) pair found at "), F.col("n").cast("string"), F.lit(" lines, the first "),
+        F.col("first_line").cast("string"), F.lit(": window_id='"), F.coalesce("window_id", F.lit("")),
+        F.lit("', entity_id='"), F.coalesce("entity_id", F.lit("")), F.lit("'."),
     )
-    issue = _finding(4, 0, "ERROR", text, ADVICE["duplicate"], F.col("line_numbers"))
-    return duplicate_lines(df, line).select(F.inline(F.array(issue)))
+    issue = _finding(4, 0, "ERROR", text, ADVICE["duplicate"], F.array("first_line"))
+    return _duplicate_keys(df, line).select(F.inline(F.array(issue)))
 
 
 def check_drift(df: DataFrame, reference: DataFrame, p_threshold: float = 0.05) -> DataFrame:
@@ -275,13 +269,26 @@ def issue_lines(issues: DataFrame) -> DataFrame:
     return issues.withColumn("line_number", F.explode_outer("line_numbers")).drop("line_numbers")
 
 
+def error_lines(df: DataFrame, issues: DataFrame, line: str = "line_number") -> DataFrame:
+    """The lines with errors: those of the findings, and every line of a duplicate."""
+    found = issue_lines(issues).select("line_number", "severity")
+    if {"window_id", "entity_id"} <= set(df.columns):
+        found = found.unionByName(duplicate_lines(df, line).select(F.col(line).alias("line_number"), F.lit("ERROR").alias("severity")))
+    return reports.error_lines(found)
+
+
+def valid_records(df: DataFrame, issues: DataFrame, line: str = "line_number") -> DataFrame:
+    bad = error_lines(df, issues, line).withColumnRenamed("line_number", "_bad")
+    return df.join(bad, F.col(line) == F.col("_bad"), "left_anti")
+
+
 def check_summary(issues: DataFrame) -> DataFrame:
     return reports.issues_by_check(issues, CHECKS, failed="FAIL")
 
 
 def json_summary(df: DataFrame, issues: DataFrame, details: DataFrame | None = None) -> DataFrame:
     """One row: totals, findings per check, null rates and the drift details."""
-    bad = reports.error_lines(issue_lines(issues)).agg(F.count("*")).scalar()
+    bad = error_lines(df, issues).agg(F.count("*")).scalar()
     per_check = check_summary(issues).agg(
         F.map_from_entries(F.array_agg(F.struct("check_group", F.expr("errors + warnings + info"))))
     )

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.text import pseudonymize, shannon_entropy
+from tidewatch.operators.ordering import unpivot
 from tidewatch.session import materialize
 
 # Business hours 9 to 17, rolled features and window sizes.
@@ -154,6 +156,15 @@ def feature_names(matrix: DataFrame) -> list[str]:
     return [c for c in matrix.columns if c not in KEY_COLUMNS]
 
 
+def feature_statistics(matrix: DataFrame) -> DataFrame:
+    """Rows of (feature, n, mean, std, min, max) for the numeric features."""
+    names = [f.name for f in matrix.schema if isinstance(f.dataType, T.NumericType)]
+    return unpivot(matrix, names).groupBy("feature").agg(
+        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    )
+
+
 def matrix_summary(matrix: DataFrame) -> DataFrame:
     """One row: rows, entities and hours."""
     return matrix.agg(

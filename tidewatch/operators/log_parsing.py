@@ -19,12 +19,11 @@ EVENT_COLUMNS = [
 
 # Raw verb to canonical action.
 ACTIONS = {
-    "ALLOW": ["allow", "accept", "permit"],
-    "DENY": ["deny", "drop", "reject", "block"],
-    "SUCCESS": ["success", "pass"],
-    "FAILURE": ["failure", "fail", "failed", "error"],
-    "QUERY": ["query"],
-    "RESPONSE": ["response", "nxdomain", "noerror", "servfail", "refused"],
+    "allow": "ALLOW", "accept": "ALLOW", "permit": "ALLOW",
+    "deny": "DENY", "drop": "DENY", "reject": "DENY", "block": "DENY",
+    "success": "SUCCESS", "pass": "SUCCESS",
+    "failure": "FAILURE", "fail": "FAILURE", "failed": "FAILURE", "error": "FAILURE",
+    "query": "QUERY", "response": "RESPONSE", "nxdomain": "RESPONSE", "noerror": "RESPONSE", "servfail": "RESPONSE", "refused": "RESPONSE",
 }
 # What a canonical action says about the outcome.
 STATUSES = {
@@ -36,7 +35,7 @@ STATUSES = {
 def normalize_action(raw: Column) -> Column:
     bare = strip(raw)
     known = F.create_map(
-        *[F.lit(x) for action, verbs in ACTIONS.items() for verb in verbs for x in (verb, action)]
+        *[F.lit(x) for pair in ACTIONS.items() for x in pair]
     )
     mapped = F.coalesce(F.try_element_at(known, F.lower(bare)), F.upper(bare))
     return F.when(F.coalesce(raw, F.lit("")) == "", F.lit("UNKNOWN")).otherwise(mapped)

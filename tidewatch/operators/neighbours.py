@@ -1,9 +1,10 @@
-"""Exact k nearest neighbours and synthetic oversampling.
+"""Nearest neighbours and synthetic oversampling.
 
-Points are cut into cells of bounded size along their two widest directions. The distance between
-two points is at least the difference of their projections on any direction, so once a point knows
-its k nearest in its own cell, only cells within that distance along both directions can hold a
-nearer one. Those cells are visited by an equality join; each task compares one cell with one cell.
+``nearest_neighbours`` is linear in the number of points: for each of a few random projection trees all points
+are put in order (by the signs of some projections, then by another one) and cut into leaves of equal size;
+neighbours inside a leaf are compared there. Then the neighbours of neighbours are tried, some rounds long.
+Candidates are pairs of ids; vectors are looked up for the comparison only. ``exact_neighbours`` compares a
+stated set of queries with all points, in blocks, and measures the recall of the other.
 """
 
 from __future__ import annotations
@@ -12,15 +13,19 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.ordering import with_line_numbers
 from tidewatch.operators.sampling import assign_by_rank, seeded_hash, seeded_uniform
 from tidewatch.session import materialize
 
-ROWS_PER_CELL = 2000
+LEAF_ROWS = 256
+TREES = 8
+ROUNDS = 2
+SPARE = 10
+BLOCK_ROWS = 2000
+MAX_CLASSES = 1000
 _FOUND = "pid bigint, nb bigint, dist double"
 
 
@@ -48,150 +53,135 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype="float64")
 
 
-def _cut(value, edges):
-    """Number of edges (an array column) below the value."""
-    return F.size(F.filter(edges, lambda e: e < value))
+def _dot(x: Column, axis: np.ndarray) -> Column:
+    weights = F.array(*[F.lit(float(c)) for c in axis])
+    return F.aggregate(F.zip_with(x, weights, lambda a, b: a * b), F.lit(0.0), lambda s, y: s + y)
 
 
-def _cells(points: DataFrame, rows_per_cell: int) -> DataFrame:
-    """Add projections ``u``, ``w`` and the cell ``a``, ``b``, ``sub``; cells have about the given size."""
+def _distance(a: Column, b: Column) -> Column:
+    squares = F.zip_with(a, b, lambda u, v: (u - v) * (u - v))
+    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, y: s + y))
+
+
+def _nearest_k(pairs: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each point among distinct pairs; a point has some dozens of them."""
+    rank = F.row_number().over(Window.partitionBy("pid").orderBy("dist", "nb"))
+    distinct = pairs.groupBy("pid", "nb").agg(F.min("dist").alias("dist"))
+    return distinct.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def _leaves(points: DataFrame, trees: int, leaf_rows: int, seed: int) -> DataFrame:
+    """Rows of (pid, tree, leaf); a leaf has at most ``leaf_rows`` points."""
     n, width = points.agg(F.count("*"), F.max(F.size("x"))).first()
-    if width > 1:
-        pca = PCA(k=2, inputCol="v", outputCol="p").fit(points.select(array_to_vector("x").alias("v")))
-        axes = pca.pc.toArray().T
-    else:
-        axes = np.array([[1.0], [0.0]])
-
-    def project(axis):
-        weights = F.array(*[F.lit(float(c)) for c in axis])
-        return F.aggregate(F.zip_with("x", weights, lambda a, b: a * b), F.lit(0.0), lambda s, y: s + y)
-
-    slabs = max(1, math.isqrt(math.ceil(n / rows_per_cell)))
-    probs = [i / slabs for i in range(1, slabs)]
-    placed = points.withColumn("u", project(axes[0])).withColumn("w", project(axes[1]))
-    if not probs:
-        placed = placed.withColumn("a", F.lit(0)).withColumn("b", F.lit(0))
-    else:
-        # slabs edges, then slabs edges inside each slab: about n / rows_per_cell numbers in all
-        outer = placed.agg(F.percentile_approx("u", probs)).first()[0]
-        placed = placed.withColumn("a", _cut(F.col("u"), F.array(*[F.lit(e) for e in outer])))
-        inner = placed.groupBy("a").agg(F.percentile_approx("w", probs).alias("edges"))
-        placed = placed.join(inner, "a").withColumn("b", _cut(F.col("w"), F.col("edges"))).drop("edges")
-    # points that project alike cannot be cut further by an edge, but by a hash
-    sizes = placed.groupBy("a", "b").agg(F.ceil(F.count("*") / rows_per_cell).alias("subs"))
-    return placed.join(sizes, ["a", "b"]).withColumn("sub", F.pmod(F.xxhash64("pid"), "subs")).drop("subs")
-
-
-def nearest_neighbours(points: DataFrame, k: int, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
-    """Rows of (pid, nb, dist, rank): the exact k nearest of every point.
-
-    ``points`` has ``pid bigint`` and ``x array<double>``. Ties are broken by the neighbour's id.
+    if not n:
+        return points.select("pid", F.lit(0).alias("tree"), F.lit(0).cast("bigint").alias("leaf"))
+    mean = points.agg(*[F.avg(F.get("x", F.lit(i))).alias(f"m{i}") for i in range(width)]).first()
+    centred = F.zip_with("x", F.array(*[F.lit(float(m)) for m in mean]), lambda a, m: a - m)
+    bits = max(0, math.ceil(math.log2(max(1, n / leaf_rows))) - 1)
+    rng = np.random.default_rng(seed)
+
+    def place(tree):
+        signs = [F.when(_dot(F.col("_c"), rng.normal(size=width)) > 0, 1 << b).otherwise(0) for b in range(bits)]
+        return F.struct(F.lit(tree).alias("tree"), sum(signs, F.lit(0)).alias("code"), _dot(F.col("_c"), rng.normal(size=width)).alias("at"))
+
+    placed = points.withColumn("_c", centred).select("pid", F.inline(F.array(*[place(t) for t in range(trees)])))
+    ordered = with_line_numbers(placed, ["tree", "code", "at", "pid"], "_number")
+    return ordered.select("pid", "tree", F.floor((F.col("_number") - 1) / leaf_rows).alias("leaf"))
+
+
+def nearest_neighbours(
+    points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS, trees: int = TREES, rounds: int = ROUNDS, seed: int = 42
+) -> DataFrame:
+    """Rows of (pid, nb, dist, rank): k near points of every point, nearly always its nearest.
+
+    ``points`` has ``pid bigint``, no two alike, and ``x array<double>``. Ties are broken by the neighbour's
+    id. With at most ``leaf_rows`` points the result is exact. The search keeps ``SPARE`` more than k of each.
     """
-    cells = materialize(_cells(points, rows_per_cell), "cells")
-    home = ["a", "b", "sub"]
+    wide = k + SPARE
+    points = materialize(points.select("pid", "x"), "points")
+    leaves = _leaves(points, trees, leaf_rows, seed)
 
     def at_home(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, x = pdf["pid"].to_numpy(), _matrix(pdf["x"])
-        return _nearest(ids, x, ids, x, k)
-
-    local = materialize(cells.groupBy(*home).applyInPandas(at_home, _FOUND), "local")
-    reach = local.groupBy("pid").agg(F.count("*").alias("_n"), F.max("dist").alias("reach"))
-    # a point with fewer than k others at home has to look everywhere
-    limit = F.when(F.col("_n") >= k, F.col("reach")).otherwise(F.lit(float("inf")))
-    seekers = cells.join(reach, "pid", "left").withColumn("reach", F.coalesce(limit, F.lit(float("inf")))).drop("_n")
-    extents = cells.groupBy(*home).agg(
-        F.min("u").alias("u0"), F.max("u").alias("u1"), F.min("w").alias("w0"), F.max("w").alias("w1")
-    )
-    visits = _visits(seekers, extents)
-    pairs = visits.select("a", "b", "sub", "ha", "hb", "hsub").distinct()
-    hosts = cells.select("pid", "x", *home).join(pairs, home)
-    keys = [*home, "ha", "hb", "hsub"]
-    # both sides come from the same table: give them columns of their own
-    visits = visits.select(*[F.col(c).alias(c) for c in visits.columns])
-    hosts = hosts.select(*[F.col(c).alias(c) for c in hosts.columns])
-
-    def visit(guests: pd.DataFrame, hosts: pd.DataFrame) -> pd.DataFrame:
-        if guests.empty or hosts.empty:
-            return pd.DataFrame({"pid": [], "nb": [], "dist": []})
-        return _nearest(
-            guests["pid"].to_numpy(), _matrix(guests["x"]), hosts["pid"].to_numpy(), _matrix(hosts["x"]), k,
-            guests["reach"].to_numpy(),
-        )
+        return _nearest(ids, x, ids, x, wide)
 
-    away = visits.groupBy(*keys).cogroup(hosts.groupBy(*keys)).applyInPandas(visit, _FOUND)
-    # k candidates per visited cell
-    rank = F.row_number().over(Window.partitionBy("pid").orderBy("dist", "nb"))
-    return local.unionByName(away).withColumn("rank", rank).where(F.col("rank") <= k)
+    near = materialize(_nearest_k(leaves.join(points, "pid").groupBy("tree", "leaf").applyInPandas(at_home, _FOUND), wide), "near")
+    vectors = [points.select(F.col("pid").alias(name), F.col("x").alias(f"_{name}")) for name in ("pid", "nb")]
+    for _ in range(rounds):
+        hop = near.select(F.col("pid").alias("_via"), F.col("nb").alias("_next"))
+        tried = near.join(hop, F.col("nb") == F.col("_via")).where("pid <> _next").select("pid", F.col("_next").alias("nb")).distinct()
+        back = near.select(F.col("nb").alias("pid"), F.col("pid").alias("nb"))
+        fresh = tried.unionByName(back).distinct().join(near.select("pid", "nb"), ["pid", "nb"], "left_anti")
+        measured = fresh.join(vectors[0], "pid").join(vectors[1], "nb").select("pid", "nb", _distance(F.col("_pid"), F.col("_nb")).alias("dist"))
+        near = materialize(_nearest_k(near.select("pid", "nb", "dist").unionByName(measured), wide), "near")
+    return near.where(F.col("rank") <= k).select("pid", "nb", "dist", "rank")
 
 
-def _visits(seekers: DataFrame, extents: DataFrame) -> DataFrame:
-    """Guests by the cells they must visit.
+def exact_neighbours(queries: DataFrame, points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rows of (pid, nb, dist, rank): the exact k nearest points of each query, block by block."""
+    sizes = [max(1, math.ceil(df.count() / block_rows)) for df in (queries, points)]
 
-    A coarse grid over the projections turns the overlap of ranges into equality: cells are listed
-    at every grid column they span, points look up the columns within reach, and the exact bounds
-    are compared on the matches only.
-    """
-    box = extents.agg(F.min("u0"), F.max("u1"), F.count("*")).first()
-    columns = max(1, math.isqrt(box[2]))
-    low, step = box[0], max((box[1] - box[0]) / columns, 1e-300)
-
-    def column_of(value):
-        place = F.floor((value - low) / step)
-        return F.greatest(F.least(place, F.lit(columns - 1)), F.lit(0)).cast("int")
-
-    listed = extents.withColumn("g", F.explode(F.sequence(column_of(F.col("u0")), column_of(F.col("u1")))))
-    guests = seekers.select(
-        "pid", "x", "u", "w", "reach", F.col("a").alias("ha"), F.col("b").alias("hb"), F.col("sub").alias("hsub")
-    ).withColumn(
-        "g", F.explode(F.sequence(column_of(F.col("u") - F.col("reach")), column_of(F.col("u") + F.col("reach"))))
-    )
-    # a cell that spans several columns is met at the first column both share
-    first = F.greatest(column_of(F.col("u0")), column_of(F.col("u") - F.col("reach")))
-    # the projections carry rounding errors, so the bounds are taken a little wider
-    slack = F.col("reach") * (1 + 1e-9) + 1e-9
-    near = (
-        (F.col("u") + slack >= F.col("u0")) & (F.col("u") - slack <= F.col("u1"))
-        & (F.col("w") + slack >= F.col("w0")) & (F.col("w") - slack <= F.col("w1"))
-    )
-    elsewhere = ~((F.col("a") == F.col("ha")) & (F.col("b") == F.col("hb")) & (F.col("sub") == F.col("hsub")))
-    met = guests.join(listed, "g").where((F.col("g") == first) & near & elsewhere)
-    return met.select("pid", "x", "reach", "a", "b", "sub", "ha", "hb", "hsub")
+    def dealt(df, own, mine, other, others):
+        block = F.pmod(F.xxhash64("pid"), F.lit(mine)).cast("int").alias(own)
+        return df.select("pid", "x", block, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
+
+    q, p = dealt(queries, "a", sizes[0], "b", sizes[1]), dealt(points, "b", sizes[1], "a", sizes[0])
+
+    def compare(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if asked.empty or known.empty:
+            return pd.DataFrame({"pid": [], "nb": [], "dist": []})
+        return _nearest(asked["pid"].to_numpy(), _matrix(asked["x"]), known["pid"].to_numpy(), _matrix(known["x"]), k)
+
+    found = q.groupBy("a", "b").cogroup(p.groupBy("a", "b")).applyInPandas(compare, _FOUND)
+    return _nearest_k(found, k).select("pid", "nb", "dist", "rank")
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: how many of the exact pairs were found, and their share."""
+    hits = exact.select("pid", "nb").join(found.select("pid", "nb", F.lit(1).alias("_hit")), ["pid", "nb"], "left")
+    return hits.agg(F.count("*").alias("n_pairs"), F.count("_hit").alias("n_found"), F.avg(F.coalesce("_hit", F.lit(0))).alias("recall"))
 
 
 def smote(
     df: DataFrame, columns: list[str], label: str, keys: list[str], k: int = 5, seed: int = 42,
-    rows_per_cell: int = ROWS_PER_CELL,
+    leaf_rows: int = LEAF_ROWS, trace: bool = False,
 ) -> DataFrame:
     """Rows of (label, features…, synthetic): the input and synthetic rows until classes are equal.
 
     A synthetic row lies between a row and one of its k nearest of the same class, k being at most
     the class size less one. Equal rows are handled as one point with a count: the nearest
-    neighbours of a repeated row are its own repeats. A class of one row is left as it is.
+    neighbours of a repeated row are its own repeats. A class of one row is left as it is, and so are
+    rows without a label. ``trace`` adds the row (``_x``) and the neighbour (``_target``) of a synthetic row.
     """
     x = F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in columns])
-    sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
-    largest = max(sizes.values())
-    base = df.select(label, *columns, F.lit(False).alias("synthetic"))
+    counted = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(counted) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    sizes = {r[label]: r["n"] for r in counted}
+    largest = max(sizes.values(), default=0)
+    none = [F.lit(None).cast("array<double>").alias(c) for c in ("_x", "_target")] if trace else []
+    base = df.select(label, *columns, F.lit(False).alias("synthetic"), *none)
     for value, n in sizes.items():
         near = min(k, min(sizes.values()) - 1)
         if n == largest or near < 1:
             continue
         rows = df.where(F.col(label) == F.lit(value)).select(F.col(label).alias("_class"), *keys, x.alias("x"))
-        extra = _synthetic(rows, keys, near, n, largest - n, seed, rows_per_cell)
+        extra = _synthetic(rows, keys, near, n, largest - n, seed, leaf_rows)
         base = base.unionByName(
             extra.select(
                 F.lit(value).alias(label), *[F.col("y")[i].alias(c) for i, c in enumerate(columns)],
-                F.lit(True).alias("synthetic"),
+                F.lit(True).alias("synthetic"), *([F.col("x").alias("_x"), F.col("target").alias("_target")] if trace else []),
             )
         )
     return base
 
 
-def _synthetic(rows, keys, k, n, wanted, seed, rows_per_cell) -> DataFrame:
+def _synthetic(rows, keys, k, n, wanted, seed, leaf_rows) -> DataFrame:
+    # numbers that are written once, so no two points share one
     points = materialize(
-        rows.groupBy("x").agg(F.count("*").alias("copies")).withColumn("pid", F.xxhash64("x")), "points"
+        rows.groupBy("x").agg(F.count("*").alias("copies")).withColumn("pid", F.monotonically_increasing_id()), "points"
     )
-    near = nearest_neighbours(points.select("pid", "x"), k, rows_per_cell)
+    near = nearest_neighbours(points, k, leaf_rows, seed=seed)
     others = near.join(points.select(F.col("pid").alias("nb"), F.col("x").alias("nx"), F.col("copies").alias("nc")), "nb")
     # nearest first, each neighbour as often as it occurs, cut at k
     listed = others.groupBy("pid").agg(
@@ -205,7 +195,7 @@ def _synthetic(rows, keys, k, n, wanted, seed, rows_per_cell) -> DataFrame:
     # every row is used equally often, and the remainder by hash rank
     every, rest = divmod(wanted, n)
     ranked = assign_by_rank(
-        rows.withColumn("pid", F.xxhash64("x")), "_class", seeded_hash(seed, *keys), {"rest": F.lit(rest)}, "_beyond"
+        rows.join(points.select("x", "pid"), "x"), "_class", seeded_hash(seed, *keys), {"rest": F.lit(rest)}, "_beyond"
     )
     used = ranked.withColumn("times", F.lit(every) + F.when(F.col("_beyond") == 0, 1).otherwise(0)).where("times > 0")
     copies = used.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))

@@ -85,8 +85,7 @@ def running_totals(df: DataFrame, group: list[str], order: list[str], sums: list
     )
     inside = Window.partitionBy("_block", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = placed.select("*", *[F.sum(c).over(inside).alias(f"_l_{c}") for c in sums])
-    # groups times blocks rows: groups are columns or classes here
-    joined = local.join(F.broadcast(bases), [*group, "_block"])
+    joined = local.join(bases, [*group, "_block"])
     return joined.select(
         *df.columns,
         *[(F.col(f"_l_{c}") + F.col(f"_b_{c}")).alias(f"cum_{c}") for c in sums],
@@ -101,9 +100,8 @@ def order_statistics(df: DataFrame, group: list[str], value: str, ranks: DataFra
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
     placed = running_totals(counts, group, [value], ["_n"])
-    # a few ranks per group
     return (
-        placed.join(F.broadcast(ranks), group)
+        placed.join(ranks, group)
         .where((F.col("cum__n") - F.col("_n") < F.col(rank)) & (F.col(rank) <= F.col("cum__n")))
         .select(*ranks.columns, value)
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -135,17 +138,56 @@ def mutual_information(
     return sums.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
 
 
-def select_features(df: DataFrame, columns: list[str], label: str, k: int = 35, bins: int = 10) -> list[str]:
+def select_features(
+    df: DataFrame, columns: list[str], label: str, k: int = 35, bins: int = 10, approximate: bool = True
+) -> list[str]:
     """The k columns with the highest mutual information, in table order."""
-    scores = mutual_information(df, columns, label, bins)
+    scores = mutual_information(df, columns, label, bins, approximate)
     best = {r["feature"] for r in scores.orderBy(F.desc("mutual_info"), "feature").limit(k).collect()}
     return [c for c in columns if c in best]
 
 
+@dataclass(frozen=True)
+class Preparation:
+    """What was learned from the training rows: fill values, shift and scale, and the chosen columns."""
+
+    fills: dict[str, float]
+    scaler: dict[str, tuple[float, float]]
+    selected: list[str]
+
+    def to_json(self) -> str:
+        return json.dumps({"fills": self.fills, "scaler": {c: list(p) for c, p in self.scaler.items()}, "selected": self.selected})
+
+    @staticmethod
+    def from_json(text: str) -> Preparation:
+        d = json.loads(text)
+        return Preparation(d["fills"], {c: tuple(p) for c, p in d["scaler"].items()}, d["selected"])
+
+
+def prepare(
+    train: DataFrame, columns: list[str], label: str, k: int = 35, strategy: str = "median", kind: str = "standard",
+    bins: int = 10, approximate: bool = True,
+) -> Preparation:
+    """Learn from the distinct training rows: fill values, then the scaler, then the ``k`` columns that tell most."""
+    rows = drop_duplicate_rows(train)
+    fills = fill_values(rows, columns, strategy)
+    filled = impute(rows, fills)
+    scaler = fit_scaler(filled, columns, kind)
+    return Preparation(fills, scaler, select_features(filled, columns, label, k, bins, approximate))
+
+
+def apply(prepared: Preparation, df: DataFrame) -> DataFrame:
+    """Raw rows filled, scaled and assembled into ``features``."""
+    from pyspark.ml.feature import VectorAssembler
+
+    known = {c: prepared.scaler[c] for c in prepared.selected}
+    filled = impute(df, {c: v for c, v in prepared.fills.items() if c in known})
+    return VectorAssembler(inputCols=prepared.selected, outputCol="features").transform(scale(filled, known))
+
+
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Add balanced weights: rows / (classes * rows of the class)."""
-    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
+    """Add balanced weights: rows / (classes * rows of the class); rows without a label have none."""
+    sizes = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("_n"))
     total = sizes.agg(F.struct(F.sum("_n").alias("rows"), F.count("*").alias("classes"))).scalar()
     weights = sizes.withColumn("_t", total).select(label, (F.col("_t.rows") / (F.col("_t.classes") * F.col("_n"))).alias(name))
-    # one row per class
-    return df.join(F.broadcast(weights), label)
+    return df.join(weights, label, "left")

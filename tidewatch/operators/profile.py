@@ -52,6 +52,12 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
     )
 
 
+def imbalance_ratio(df: DataFrame, label: str) -> DataFrame:
+    """One row: rows of the largest and of the smallest class, and their ratio."""
+    sizes = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
+    return sizes.agg(F.max("n").alias("largest"), F.min("n").alias("smallest"), (F.max("n") / F.min("n")).alias("ratio"))
+
+
 def quartiles(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
     """Rows of (feature, n, q1, median, q3).
 

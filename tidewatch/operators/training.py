@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.text import title
 from tidewatch.operators.evaluation import curve_areas, curve_points, security_metrics, weighted_metrics
+from tidewatch.operators.preparation import Preparation
 from tidewatch.session import materialize
 
 # The searched settings of each model. An unlimited depth is the deepest Spark allows.
 SEARCH_SPACE = {
     "random_forest": {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [2, 5]},
     "gradient_boosting": {"stepSize": [0.05, 0.1], "maxIter": [100, 200], "maxDepth": [4, 6], "subsamplingRate": [0.8, 1.0]},
-    "neural_network": {"stepSize": [0.001, 0.0005], "blockSize": [128, 256]},
+    "neural_network": {"hidden": [(128, 64), (64, 32), (128,)], "maxIter": [100, 200], "tol": [1e-6, 1e-4]},
 }
 FOLDS = {"random_forest": 5, "gradient_boosting": 5, "neural_network": 3}
 DRAWS = {"random_forest": 8, "gradient_boosting": 8, "neural_network": 6}
@@ -41,7 +42,10 @@ def base_model(name: str, n_features: int, n_classes: int, label: str, weight: s
         model = GBTClassifier(labelCol=label, seed=seed)
         if weight:
             model.setWeightCol(weight)
-        return model if n_classes == 2 else OneVsRest(classifier=model, labelCol=label)
+        if n_classes == 2:
+            return model
+        many = OneVsRest(classifier=model, labelCol=label)
+        return many.setWeightCol(weight) if weight else many
     if name == "neural_network":
         layers = [n_features, *HIDDEN, n_classes]
         return MultilayerPerceptronClassifier(labelCol=label, seed=seed, layers=layers, maxIter=200)
@@ -59,6 +63,9 @@ def _with_settings(model: Estimator, settings: dict) -> Estimator:
     copy = model.copy()
     target = copy.getClassifier() if isinstance(copy, OneVsRest) else copy
     for name, value in settings.items():
+        if name == "hidden":
+            layers = target.getLayers()
+            name, value = "layers", [layers[0], *value, layers[-1]]
         target.set(target.getParam(name), value)
     return copy
 
@@ -68,8 +75,15 @@ def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def with_score(df: DataFrame, positive: int = 1) -> DataFrame:
-    """Add ``score``, the probability of the positive class."""
-    return df.withColumn("score", vector_to_array("probability")[positive])
+    """Add ``score``, the probability of the positive class.
+
+    A model of one classifier per class has raw scores only; their logistic values share the total.
+    """
+    if "probability" in df.columns:
+        return df.withColumn("score", vector_to_array("probability")[positive])
+    chances = F.transform(vector_to_array("rawPrediction"), lambda r: 1 / (1 + F.exp(-r)))
+    total = F.aggregate("_chances", F.lit(0.0), lambda s, c: s + c)
+    return df.withColumn("_chances", chances).withColumn("score", F.get("_chances", F.lit(positive)) / total).drop("_chances")
 
 
 def cross_validate(
@@ -77,23 +91,31 @@ def cross_validate(
     balance: Callable[[DataFrame], DataFrame] | None = None,
 ) -> dict[str, float]:
     """Mean weighted metrics over the folds; ``balance`` is applied to each training part only."""
-    rows = []
-    for i in range(k):
-        train = df.where(F.col(fold) != i)
-        fitted = model.fit(balance(train) if balance else train)
-        scored = fitted.transform(df.where(F.col(fold) == i))
-        rows.append(weighted_metrics(scored, label).first().asDict())
+    parts = folds_of(df, fold, k, balance)
+    rows = [weighted_metrics(model.fit(train).transform(held), label).first().asDict() for train, held in parts]
     return {name: sum(r[name] for r in rows) / k for name in rows[0]}
 
 
+def folds_of(
+    df: DataFrame, fold: str, k: int, balance: Callable[[DataFrame], DataFrame] | None = None
+) -> list[tuple[DataFrame, DataFrame]]:
+    """Training and held-out part of each fold; a balanced training part is made once and written."""
+    parts = [(df.where(F.col(fold) != i), df.where(F.col(fold) == i)) for i in range(k)]
+    return [(materialize(balance(train), "balanced"), held) for train, held in parts] if balance else parts
+
+
 def search(
     model: Estimator, settings: list[dict], df: DataFrame, label: str, fold: str, k: int,
     balance: Callable[[DataFrame], DataFrame] | None = None, parallelism: int = 2,
 ) -> tuple[dict, float]:
     """The settings with the best mean F1 (the first wins on ties), and that F1."""
 
+    parts = folds_of(df, fold, k, balance)
+
     def run(s):
-        return cross_validate(_with_settings(model, s), df, label, fold, k, balance)["f1"]
+        tried = _with_settings(model, s)
+        scores = [weighted_metrics(tried.fit(train).transform(held), label).first().f1 for train, held in parts]
+        return sum(scores) / k
 
     with ThreadPool(parallelism) as pool:
         scores = pool.map(run, settings)
@@ -104,8 +126,6 @@ def search(
 def validation_metrics(scored: DataFrame, label: str, n_classes: int) -> dict[str, float]:
     """Weighted metrics and ROC-AUC, for several classes one against the rest weighted by size."""
     metrics = weighted_metrics(scored, label).first().asDict()
-    if "probability" not in scored.columns:
-        return {**metrics, "roc_auc": float("nan")}
     if n_classes == 2:
         points = curve_points(with_score(scored), F.col(label) == 1, "score")
         return {**metrics, "roc_auc": curve_areas(points).first()["roc_auc"]}
@@ -172,7 +192,7 @@ def compare_models(models: dict[str, Model], test: DataFrame, label: str, positi
     parts = []
     for name, model in models.items():
         scored = model.transform(test)
-        scored = with_score(scored, positive) if "probability" in scored.columns else scored.withColumn("score", F.col("prediction"))
+        scored = with_score(scored, positive)
         row = security_metrics(scored, positive, label, "prediction", "score")
         parts.append(
             row.select(
@@ -191,8 +211,24 @@ def score_batch(model: Model, df: DataFrame, threshold: float = 0.4, positive: i
     return with_score(model.transform(df), positive).withColumn("alert", F.col("score") >= threshold)
 
 
-def save_models(spark: SparkSession, models: dict[str, Model], columns: list[str], best: str, folder: str) -> None:
-    """Every model as a pipeline with its assembler, and a one-row table of metadata."""
+def write_tables(log: DataFrame, comparison: DataFrame, folder: str) -> None:
+    """The training log and the model comparison as CSV, some rows each."""
+    log.coalesce(1).write.csv(f"{folder}/training_log", header=True, escape='"')
+    comparison.coalesce(1).write.csv(f"{folder}/model_comparison", header=True, escape='"')
+
+
+def save_models(
+    spark: SparkSession, models: dict[str, Model], columns: list[str], best: str, folder: str,
+    prepared: Preparation | None = None, test: DataFrame | None = None,
+) -> None:
+    """Every model as a pipeline with its assembler, and a one-row table of metadata.
+
+    With ``prepared`` and ``test`` also what raw rows need before they are scored, and the held-out rows.
+    """
+    if prepared is not None:
+        spark.createDataFrame([(prepared.to_json(),)], "value string").write.mode("overwrite").text(f"{folder}/preparation")
+    if test is not None:
+        test.write.mode("overwrite").parquet(f"{folder}/test")
     assembler = VectorAssembler(inputCols=columns, outputCol="features")
     for name, model in models.items():
         PipelineModel([assembler, model]).write().overwrite().save(f"{folder}/models/{name}")
@@ -202,6 +238,11 @@ def save_models(spark: SparkSession, models: dict[str, Model], columns: list[str
     meta.write.mode("overwrite").json(f"{folder}/metadata")
 
 
+def load_preparation(spark: SparkSession, folder: str) -> tuple[Preparation, DataFrame]:
+    """The preparation and the held-out raw rows that were saved with the models."""
+    return Preparation.from_json(spark.read.text(f"{folder}/preparation").first().value), spark.read.parquet(f"{folder}/test")
+
+
 def load_models(spark: SparkSession, folder: str) -> tuple[dict[str, PipelineModel], str, list[str]]:
     meta = spark.read.json(f"{folder}/metadata").first()
     return {n: PipelineModel.load(f"{folder}/models/{n}") for n in meta["models"]}, meta["best"], list(meta["features"])

@@ -15,6 +15,7 @@ _DOUBLES = [
     "bytes_transferred", "peer_deviation",
 ]
 _SPLIT_HOUR = "2024-01-16_00"
+_SPLIT_DATE = "1996-01-01"
 
 
 def _matrix(spark, sf, window):
@@ -58,7 +59,8 @@ def drift_statistics(spark, sf):
 
 
 def drift_p_values(spark, sf):
-    return drift.drift_report(*_halves(spark, sf)).select("feature", "ks_statistic", "p_value")
+    report = drift.drift_report(*_halves(spark, sf))
+    return report.select("feature", round6("ks_statistic").alias("ks"), round6("p_value").alias("p_value"))
 
 
 def drift_issues(spark, sf):
@@ -67,9 +69,10 @@ def drift_issues(spark, sf):
 
 
 def order_price_drift(spark, sf):
-    """KS distance of order prices, year against the year before, on millions of distinct values at scale."""
-    o = inputs.table(spark, sf, "orders").select("o_totalprice", F.year("o_orderdate").alias("y"))
-    stats = drift.ks_statistics(o.where("y = 1997"), o.where("y = 1996"), ["o_totalprice"])
+    """KS distance of order prices, all from a date on against all before it, on millions of distinct values at scale."""
+    o = inputs.table(spark, sf, "orders").select("o_totalprice", "o_orderdate")
+    later = F.col("o_orderdate") >= F.lit(_SPLIT_DATE).cast("timestamp")
+    stats = drift.ks_statistics(o.where(later), o.where(~later), ["o_totalprice"])
     return stats.select("feature", "n_cur", "n_ref", round6("ks_statistic").alias("ks"), round6("mean_cur").alias("mean_cur"))
 
 
@@ -92,7 +95,7 @@ def matrix_issues(spark, sf):
     """Schema, null, range and duplicate findings on a matrix with faults."""
     issues = feature_checks.run_feature_checks(inputs.faulty_matrix(spark, sf))
     return issues.select(
-        F.array_join("line_numbers", ",").alias("line_number"), "check_no", "check_type", "severity", "description"
+        F.array_join("line_numbers", ",").alias("line_number"), "check_no", "check_type", "severity", "description", "recommended_action"
     )
 
 
@@ -101,8 +104,7 @@ def matrix_null_rates(spark, sf):
 
 
 def matrix_duplicates(spark, sf):
-    found = feature_checks.duplicate_lines(inputs.faulty_matrix(spark, sf))
-    return found.select("window_id", "entity_id", "n", F.explode("line_numbers").alias("line_number"))
+    return feature_checks.duplicate_lines(inputs.faulty_matrix(spark, sf)).select("window_id", "entity_id", "n", "line_number")
 
 
 def matrix_check_summary(spark, sf):
@@ -112,8 +114,7 @@ def matrix_check_summary(spark, sf):
 
 def matrix_valid_rows(spark, sf):
     m = inputs.faulty_matrix(spark, sf)
-    issues = feature_checks.issue_lines(feature_checks.run_feature_checks(m))
-    return reports.valid_records(m, issues).select("line_number", "window_id")
+    return feature_checks.valid_records(m, feature_checks.run_feature_checks(m)).select("line_number", "window_id")
 
 
 def matrix_recommendations(spark, sf):
@@ -159,11 +160,21 @@ _LONG = " UNION ALL ".join(
 )
 _KS_CTE = _ks(f"WITH {features_sql('user-hour')}, long AS ({_LONG})", None, None, None, None)
 _ORDER_KS = _ks(
-    """WITH long AS (SELECT 'o_totalprice' AS feature, o_totalprice AS value, year(o_orderdate) = 1997 AS is_cur
-       FROM orders WHERE year(o_orderdate) IN (1996, 1997))""", None, None, None, None,
+    """WITH long AS (SELECT 'o_totalprice' AS feature, o_totalprice AS value, o_orderdate >= TIMESTAMP '1996-01-01' AS is_cur
+       FROM orders)""", None, None, None, None,
 )
 
 
+_TERMS = "list_sum(list_transform(range(1, 101), lambda k: {}))"
+_P_CTE = f"""tails AS (
+    SELECT feature, ks, CASE WHEN abs(mean_ref) >= 1e-9 THEN (mean_cur - mean_ref) / abs(mean_ref) * 100 END AS shift,
+      round(CAST(n_cur AS DOUBLE) * n_ref / (n_cur + n_ref)) AS size FROM ks JOIN sizes USING (feature) WHERE n_cur >= 2 AND n_ref >= 2),
+  placed AS (SELECT *, ks * sqrt(size) AS plain, ks * sqrt(size) + 1 / (6 * sqrt(size)) + (ks * sqrt(size) - 1) / (4 * size) AS z FROM tails),
+  report AS (SELECT feature, ks, shift, greatest(0, least(1, CASE WHEN plain <= 0 THEN 1
+    WHEN z < 1 THEN 1 - sqrt(2 * pi()) / z * {_TERMS.format("exp(-((2 * k - 1) * (2 * k - 1)) * pi() * pi() / (8 * z * z))")}
+    ELSE 2 * {_TERMS.format("CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2 * k * k * z * z)")} END)) AS p FROM placed)"""
+
+
 def _corr(a, b, where):
     return f"""(SELECT CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN corr({a}, {b}) END FROM features WHERE {where})"""
 
@@ -182,35 +193,39 @@ _CORR_LONG = " UNION ALL ".join(
     for i, a in enumerate(drift.DRIFT_FEATURES) for j, b in enumerate(drift.DRIFT_FEATURES)
 )
 
+_ADVICE = {k: v.replace("'", "''") for k, v in feature_checks.ADVICE.items()}
+_MEASURED = [c for c in drift.DRIFT_FEATURES if c != "peer_deviation"]
 _NEGATIVE = " UNION ALL ".join(
     f"""SELECT CAST(line_number AS VARCHAR), 3, 'range_check', 'ERROR',
-    'Column ''{c}'' has a negative value (' || CAST({c} AS VARCHAR) || ') at row ' || line_number || '.' FROM matrix WHERE {c} < 0"""
-    for c in feature_checks.NON_NEGATIVE
+    'Column ''{c}'' has a negative value (' || CAST({c} AS VARCHAR) || ') at row ' || line_number || '.', '{_ADVICE["negative"]}', {i}
+    FROM matrix WHERE {c} < 0"""
+    for i, c in enumerate(feature_checks.NON_NEGATIVE)
 )
 _RATIO = " UNION ALL ".join(
     f"""SELECT CAST(line_number AS VARCHAR), 3, 'range_check', 'ERROR',
-    'Column ''{c}'' has an out-of-range value (' || CAST(CAST({c} AS DOUBLE) AS VARCHAR) || ') at row ' || line_number || '; expected 0-1.'
-    FROM matrix WHERE {c} < 0 OR {c} > 1"""
-    for c in feature_checks.RATIOS
+    'Column ''{c}'' has an out-of-range value (' || CAST(CAST({c} AS DOUBLE) AS VARCHAR) || ') at row ' || line_number || '; expected 0-1.',
+    '{_ADVICE["ratio"].format(col=c)}', {len(feature_checks.NON_NEGATIVE) + i} FROM matrix WHERE {c} < 0 OR {c} > 1"""
+    for i, c in enumerate(feature_checks.RATIOS)
 )
 _OUTLIER = " UNION ALL ".join(
     f"""SELECT CAST(line_number AS VARCHAR), 3, 'range_check', 'WARNING',
-    'Column ''{c}'' has an extreme outlier (' || printf('%.2f', CAST({c} AS DOUBLE)) || ', z=' || printf('%.1f', z) || ') at row ' || line_number || '.'
+    'Column ''{c}'' has an extreme outlier (' || printf('%.2f', CAST({c} AS DOUBLE)) || ', z=' || printf('%.1f', z) || ') at row ' || line_number || '.',
+    '{_ADVICE["outlier"]}', {len(feature_checks.NON_NEGATIVE) + len(feature_checks.RATIOS) + i}
     FROM (SELECT line_number, {c}, ({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0) AS z FROM matrix) WHERE abs(z) > 5"""
-    for c in drift.DRIFT_FEATURES if c != "peer_deviation"
+    for i, c in enumerate(_MEASURED)
 )
 _MATRIX_ISSUES = f"""WITH {MATRIX_SQL}, issues AS (
   SELECT CAST(NULL AS VARCHAR) AS line_number, 1 AS check_no, 'schema' AS check_type, 'ERROR' AS severity,
-    'Required column ''peer_deviation'' is missing from the input file.' AS description
-  UNION ALL SELECT NULL, 1, 'schema', 'WARNING', 'Unexpected column present: ''surprise''.'
-  UNION ALL SELECT NULL, 1, 'schema', 'ERROR', 'Column ''is_business_hours'' contains non-boolean values.' FROM matrix WHERE is_business_hours = 'maybe' HAVING count(*) > 0
+    'Required column ''peer_deviation'' is missing from the input file.' AS description, '{_ADVICE["missing"]}' AS recommended_action, 1 AS seq
+  UNION ALL SELECT NULL, 1, 'schema', 'WARNING', 'Unexpected column present: ''surprise''.', '{_ADVICE["unexpected"].format(col="surprise")}', 2
+  UNION ALL SELECT NULL, 1, 'schema', 'ERROR', 'Column ''is_business_hours'' contains non-boolean values.', '{_ADVICE["boolean"]}', 3 FROM matrix WHERE is_business_hours = 'maybe' HAVING count(*) > 0
   UNION ALL SELECT NULL, 2, 'null_check', 'WARNING',
-    'Column ''failure_ratio'' has ' || printf('%.1f', 100 * avg(CAST(failure_ratio IS NULL AS INT))) || '% missing values (threshold: 5%).'
-    FROM matrix HAVING avg(CAST(failure_ratio IS NULL AS INT)) > 0.05
+    'Column ''failure_ratio'' has ' || printf('%.1f', 100 * avg(CAST(failure_ratio IS NULL AS INT))) || '% missing values (threshold: 5%).',
+    '{_ADVICE["null"].format(col="failure_ratio")}', 7 FROM matrix HAVING avg(CAST(failure_ratio IS NULL AS INT)) > 0.05
   UNION ALL {_NEGATIVE} UNION ALL {_RATIO} UNION ALL {_OUTLIER}
-  UNION ALL SELECT string_agg(line_number, ',' ORDER BY line_number), 4, 'duplicate_check', 'ERROR',
-    'Duplicate (window_id, entity_id) pair found at lines [' || string_agg(line_number, ', ' ORDER BY line_number)
-    || ']: window_id=''' || window_id || ''', entity_id=''' || entity_id || '''.'
+  UNION ALL SELECT CAST(min(line_number) AS VARCHAR), 4, 'duplicate_check', 'ERROR',
+    'Duplicate (window_id, entity_id) pair found at ' || count(*) || ' lines, the first ' || min(line_number)
+    || ': window_id=''' || window_id || ''', entity_id=''' || entity_id || '''.', '{_ADVICE["duplicate"]}', 0
     FROM matrix GROUP BY window_id, entity_id HAVING count(*) > 1)"""
 
 ORACLES = {
@@ -222,6 +237,15 @@ ORACLES = {
     "drift_statistics": f"""{_KS_CTE} SELECT feature, n_cur, n_ref, {sql6('ks')} AS ks,
         {sql6('CASE WHEN abs(mean_ref) >= 1e-9 THEN (mean_cur - mean_ref) / abs(mean_ref) * 100 END')} AS mean_shift_pct
         FROM ks JOIN sizes USING (feature)""",
+    "drift_p_values": f"{_KS_CTE}, {_P_CTE} SELECT feature, {sql6('ks')} AS ks, {sql6('p')} AS p_value FROM report",
+    "drift_issues": f"""{_KS_CTE}, {_P_CTE}, pairs AS ({_CONCEPT})
+        SELECT 'drift_check' AS check_type, 'WARNING' AS severity, chr(39) || feature || chr(39) || ': KS=' || printf('%.2f', ks) || ', p='
+          || printf('%.3f', p) || ' (significant distribution drift vs. reference).' AS description FROM report WHERE p < 0.05
+        UNION ALL SELECT 'drift_check', 'WARNING', chr(39) || feature || chr(39) || ': mean shifted ' || printf('%+.0f', shift) || '% vs. reference.'
+          FROM report WHERE abs(shift) > 30
+        UNION ALL SELECT 'drift_check', 'WARNING', 'Concept drift: correlation between ' || chr(39) || feature_a || chr(39) || ' and ' || chr(39)
+          || feature_b || chr(39) || ' changed from ' || printf('%.2f', ref_corr) || ' (reference) to ' || printf('%.2f', cur_corr)
+          || ' (current), a shift of ' || printf('%+.2f', cur_corr - ref_corr) || '.' FROM pairs WHERE abs(cur_corr - ref_corr) > 0.3""",
     "order_price_drift": f"{_ORDER_KS} SELECT feature, n_cur, n_ref, {sql6('ks')} AS ks, {sql6('mean_cur')} AS mean_cur FROM ks JOIN sizes USING (feature)",
     "concept_drift": f"""WITH {features_sql('user-hour')}, pairs AS ({_CONCEPT})
         SELECT feature_a, feature_b, {sql6('cur_corr')} AS cur_corr, {sql6('ref_corr')} AS ref_corr, {sql6('cur_corr - ref_corr')} AS delta
@@ -229,7 +253,7 @@ ORACLES = {
     "feature_correlations": f"WITH {features_sql('host-hour')}, m AS (SELECT {_CORR_ROW} FROM features) {_CORR_LONG}",
     "correlation_rank": f"""WITH {features_sql('host-hour')}, m AS (SELECT {_CORR_ROW} FROM features), pairs AS ({_CORR_LONG})
         SELECT feature_a AS feature, abs(correlation) AS abs_correlation FROM pairs WHERE feature_b = 'login_failure_count' AND feature_a <> feature_b""",
-    "matrix_issues": f"{_MATRIX_ISSUES} SELECT * FROM issues",
+    "matrix_issues": f"{_MATRIX_ISSUES} SELECT * EXCLUDE (seq) FROM issues",
     "matrix_null_rates": "WITH " + MATRIX_SQL + " " + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", {sql6(f'avg(CAST({c} IS NULL AS INT))')} AS null_rate FROM matrix"
         for c in feature_checks.REQUIRED if c != "peer_deviation"
@@ -241,7 +265,11 @@ ORACLES = {
         CASE WHEN count(*) FILTER (severity = 'ERROR') > 0 THEN 'FAIL' WHEN count(*) FILTER (severity = 'WARNING') > 0 THEN 'WARNING' ELSE 'PASS' END AS verdict
         FROM (VALUES (1, 'schema'), (2, 'null_check'), (3, 'range_check'), (4, 'duplicate_check'), (5, 'drift_check')) c(check_no, name)
         LEFT JOIN issues i ON i.check_type = c.name GROUP BY 1, 2""",
-    "matrix_valid_rows": f"""{_MATRIX_ISSUES}, bad AS (
-        SELECT CAST(unnest(string_split(line_number, ',')) AS BIGINT) AS line_number FROM issues WHERE severity = 'ERROR' AND line_number IS NOT NULL)
+    "matrix_recommendations": f"""{_MATRIX_ISSUES}
+        SELECT recommended_action FROM issues GROUP BY 1 ORDER BY min(check_no * 1000 + seq) LIMIT 5""",
+    "matrix_valid_rows": f"""{_MATRIX_ISSUES}, twice AS (
+        SELECT line_number, count(*) OVER (PARTITION BY window_id, entity_id) AS n FROM matrix), bad AS (
+        SELECT CAST(line_number AS BIGINT) AS line_number FROM issues WHERE severity = 'ERROR' AND line_number IS NOT NULL
+        UNION SELECT line_number FROM twice WHERE n > 1)
         SELECT line_number, window_id FROM matrix WHERE line_number NOT IN (SELECT line_number FROM bad)""",
 }

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.ordering import with_line_numbers
-from tidewatch.session import materialize
 
 KEY = b"registered-queries-demo-key"
 # results are compared at six digits; the cut lies off the middle, where exact ties fall
@@ -17,7 +16,6 @@ TIE = 0.5001
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,12 +32,6 @@ def events(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on a table that was read in fewer pieces than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # --- telemetry ------------------------------------------------------------------------------
 
 
@@ -152,8 +144,7 @@ def log_lines(spark, sf_dir) -> DataFrame:
         CASE WHEN event_id % 5 = 0 THEN '' ELSE '|response=NXDOMAIN' END)
       ELSE concat('  ', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ' user', user_id, '  host ',
         CASE WHEN event_type = 'signup' THEN 'SUCCESS' ELSE 'Failed' END, ' 2001:db8::', event_id % 100) END"""
-    lines = e.select(F.col("event_id").alias("line_id"), F.expr(line).alias("value"))
-    return materialize(spread(lines), "lines")
+    return e.select(F.col("event_id").alias("line_id"), F.expr(line).alias("value"))
 
 
 # what the lines say, taken from the events and not from the text
@@ -264,4 +255,4 @@ def event_documents(spark, sf_dir) -> DataFrame:
     """A JSON document per event, with one kind of fault per divisor of its id."""
     whole = F.expr(_DOCUMENT)
     text = F.when(F.col("event_id") % 41 == 0, F.substring(whole, 2, 40)).otherwise(whole)
-    return materialize(spread(events(spark, sf_dir)).select("event_id", text.alias("doc")), "documents")
+    return events(spark, sf_dir).select("event_id", text.alias("doc"))

@@ -14,7 +14,7 @@ from tidewatch.plans.inputs import AS_OF, LOG_LINES_SQL, NOISY_SQL, round6, sql6
 from tidewatch.session import materialize
 
 _EVENT = ["line_id", "timestamp", "source_ip", "target_ip", "user", "action", "status", "log_type"]
-_STATUS_SQL = """CASE WHEN action IN ('ALLOW','SUCCESS','QUERY','RESPONSE') THEN 'success'
+STATUS_SQL = """CASE WHEN action IN ('ALLOW','SUCCESS','QUERY','RESPONSE') THEN 'success'
   WHEN action IN ('DENY','FAILURE') THEN 'failure' ELSE 'unknown' END AS status"""
 
 
@@ -25,7 +25,7 @@ def log_events(spark, sf):
 
 def log_events_firewall(spark, sf):
     events, _ = log_parsing.normalize_logs(inputs.log_lines(spark, sf), "firewall", ["line_id"])
-    return events.where(F.col("original_line").rlike(r"\A\d{4}-")).select(*_EVENT)
+    return events.select(*_EVENT)
 
 
 def log_rejects(spark, sf):
@@ -40,7 +40,7 @@ def log_outcomes(spark, sf):
 def log_quality(spark, sf):
     """The whole chain of the flagship job: raw lines, events, checks, summary."""
     events, _ = log_parsing.normalize_logs(inputs.log_lines(spark, sf), id_from=["line_id"])
-    numbered = with_line_numbers(materialize(events, "events"), ["line_id"])
+    numbered = with_line_numbers(events, ["line_id"])
     issues = event_checks.run_event_checks(numbered, dt.datetime.fromisoformat(AS_OF))
     return reports.issues_by_check(issues, [(n, g) for n, g, _ in event_checks.CHECKS])
 
@@ -52,7 +52,7 @@ def _noisy_issues(spark, sf):
 
 def event_issues(spark, sf):
     return _noisy_issues(spark, sf)[1].select(
-        "line_number", "check_no", "check_group", "check_type", "severity", "description"
+        "line_number", "check_no", "check_group", "check_type", "severity", "description", "recommended_action"
     )
 
 
@@ -76,7 +76,8 @@ def event_first_errors(spark, sf):
 
 def event_recommendations(spark, sf):
     issues = _noisy_issues(spark, sf)[1]
-    return reports.top_recommendations(issues, ["check_no", "line_number"]).select("check_type", "check_no", "line_number")
+    firsts = reports.top_recommendations(issues, ["check_no", "line_number", "description"])
+    return firsts.select("check_type", "check_no", "line_number", "recommended_action")
 
 
 def duplicate_events(spark, sf):
@@ -135,8 +136,8 @@ def network_matches(spark, sf):
 
 
 def document_entropy(spark, sf):
-    docs = inputs.spread(inputs.table(spark, sf, "documents").select("doc_id", "text"))
-    return docs.select("doc_id", round6(text.shannon_entropy(F.col("text"))).alias("entropy"), F.length("text").cast("bigint").alias("n_chars"))
+    found = text.entropy_by_row(inputs.table(spark, sf, "documents"), "doc_id", "text")
+    return found.select("doc_id", round6("entropy").alias("entropy"), "n_chars")
 
 
 def customer_pseudonyms(spark, sf):
@@ -196,6 +197,16 @@ issues AS (
     'Rapid sequential event: ' || printf('%.3f', abs(epoch_us(t) - epoch_us(pt)) / 1e6) || 's after line ' || pl || '.'
     FROM pairs WHERE abs(epoch_us(t) - epoch_us(pt)) < 1000000)"""
 
+_ADVISED = "advised AS (SELECT *, CASE " + " ".join(
+    f"WHEN description LIKE '{like}' THEN '{event_checks.ADVICE[key].format(field=field)}'"
+    for like, key, field in (
+        ("Missing or null%", "missing", ""), ("source_ip%not a valid%", "invalid_ip", "source_ip"), ("target_ip%not a valid%", "invalid_ip", "target_ip"),
+        ("%is a private%", "private_ip", ""), ("Timestamp field is missing%", "no_time", ""), ("%cannot be parsed%", "bad_time", ""),
+        ("%in the future%", "future", ""), ("%older than%", "old", ""), ("Duplicate event_id%", "duplicate", ""), ("Impossible%", "impossible", ""),
+        ("Negative byte%", "negative", ""), ("Extreme byte%", "extreme", ""), ("Rapid%", "rapid", ""),
+    )
+) + " END AS recommended_action FROM issues)"
+
 _BY_CHECK = """
 SELECT c.check_no, c.check_group, count(*) FILTER (severity = 'ERROR') AS errors,
   count(*) FILTER (severity = 'WARNING') AS warnings, count(*) FILTER (severity = 'INFO') AS info,
@@ -205,8 +216,8 @@ FROM (VALUES (1, 'Missing Fields'), (2, 'IP Validation'), (3, 'Timestamp Anomali
 LEFT JOIN issues i ON i.check_group = c.check_group GROUP BY 1, 2"""
 
 ORACLES = {
-    "log_events": f"WITH {LOG_LINES_SQL} SELECT *, {_STATUS_SQL} FROM parsed",
-    "log_events_firewall": f"WITH {LOG_LINES_SQL} SELECT *, {_STATUS_SQL} FROM parsed WHERE log_type = 'firewall'",
+    "log_events": f"WITH {LOG_LINES_SQL} SELECT *, {STATUS_SQL} FROM parsed",
+    "log_events_firewall": f"WITH {LOG_LINES_SQL} SELECT *, {STATUS_SQL} FROM parsed WHERE log_type = 'firewall'",
     "log_rejects": f"WITH {LOG_LINES_SQL} SELECT line_id, 'noise ' || line_id AS line, 'unknown format' AS reject_reason FROM lines WHERE kind = 'unknown'",
     "log_outcomes": f"""WITH {LOG_LINES_SQL} SELECT kind AS log_type,
         CASE WHEN kind = 'unknown' THEN 'unknown format' ELSE 'parsed' END AS outcome, count(*) AS n_lines
@@ -220,7 +231,7 @@ ORACLES = {
           UNION ALL SELECT 'Timestamp Anomalies', 'WARNING' FROM paired WHERE t < TIMESTAMP '{AS_OF}' - INTERVAL 365 DAY
           UNION ALL SELECT 'Suspicious Patterns', 'INFO' FROM paired WHERE abs(epoch_us(t) - epoch_us(pt)) < 1000000)
         {_BY_CHECK}""",
-    "event_issues": f"WITH {_ISSUES_CTE} SELECT * FROM issues",
+    "event_issues": f"WITH {_ISSUES_CTE}, {_ADVISED} SELECT * FROM advised",
     "event_issue_counts": f"WITH {_ISSUES_CTE} {_BY_CHECK}",
     "event_totals": f"""WITH {_ISSUES_CTE} SELECT (SELECT count(*) FROM noisy) AS total_records,
         (SELECT count(*) FROM noisy) - count(DISTINCT line_number) FILTER (severity = 'ERROR') AS valid_records,
@@ -231,7 +242,9 @@ ORACLES = {
     "event_first_errors": f"""WITH {_ISSUES_CTE}, ranked AS (
         SELECT check_group, line_number, CAST(row_number() OVER (PARTITION BY check_group ORDER BY line_number) AS INTEGER) AS rank
         FROM (SELECT DISTINCT check_group, line_number FROM issues WHERE severity = 'ERROR')) SELECT * FROM ranked WHERE rank <= 5""",
-    "event_recommendations": f"WITH {_ISSUES_CTE} SELECT check_type, check_no, min(line_number) AS line_number FROM issues GROUP BY 1, 2",
+    "event_recommendations": f"""WITH {_ISSUES_CTE}, {_ADVISED}, ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY check_type ORDER BY check_no, line_number, description) AS rn FROM advised)
+        SELECT check_type, check_no, line_number, recommended_action FROM ranked WHERE rn = 1""",
     "duplicate_events": f"""WITH {NOISY_SQL}, firsts AS (SELECT event_id, line_number, min(line_number) OVER (PARTITION BY event_id) AS first_line FROM noisy)
         SELECT * FROM firsts WHERE event_id IS NOT NULL AND line_number > first_line""",
     "rapid_events": f"""WITH {NOISY_SQL}, timed AS (SELECT line_number, strptime(timestamp, '%Y-%m-%dT%H:%M:%SZ') AS t

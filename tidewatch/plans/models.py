@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewatch.operators import evaluation, explanation, neighbours, preparation, sampling, training
@@ -38,10 +41,9 @@ def stratified_split(spark, sf):
 
 
 def stratified_folds(spark, sf):
-    """Fold sizes per class; the folds themselves depend on the hash."""
+    """Rows per class and fold; which rows depends on the hash."""
     folds = sampling.stratified_folds(inputs.table(spark, sf, "lineitem"), "l_returnflag", ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], 5)
-    sizes = folds.groupBy("l_returnflag", "fold").agg(F.count("*").alias("n"))
-    return sizes.groupBy("l_returnflag").agg(F.sum("n").alias("n"), F.count("*").alias("n_folds"), (F.max("n") - F.min("n") <= 2).alias("even"))
+    return folds.groupBy("l_returnflag", "fold").agg(F.count("*").alias("n"))
 
 
 def seeded_sample(spark, sf):
@@ -58,20 +60,46 @@ def _vectors(spark, sf):
     return e.select("vec_id", "label", F.transform("embedding", lambda v: v.cast("double")).alias("x"))
 
 
-def nearest_neighbours(spark, sf):
+def _asked(spark, sf):
+    """The stated query set: every twentieth id, against all rows."""
     points = _vectors(spark, sf).select(F.col("vec_id").alias("pid"), "x")
-    found = neighbours.nearest_neighbours(points, 5, rows_per_cell=200)
+    return points.where("pid % 20 = 0"), points
+
+
+def nearest_neighbours(spark, sf):
+    found = neighbours.exact_neighbours(*_asked(spark, sf), 5)
     return found.select(F.col("pid").alias("vec_id"), F.col("nb").alias("neighbour"), "rank")
 
 
+def neighbour_recall(spark, sf):
+    """The index over all rows, held against the exact neighbours of the query set."""
+    asked, points = _asked(spark, sf)
+    found = neighbours.nearest_neighbours(points, 5)
+    row = neighbours.recall(found, neighbours.exact_neighbours(asked, points, 5))
+    full = found.groupBy("pid").count().agg(F.count("*").alias("n_points"), F.min("count").alias("fewest"))
+    return row.select("n_pairs", (F.col("recall") >= 0.95).alias("good")).crossJoin(full)
+
+
 def _training_table(spark, sf):
     v = _vectors(spark, sf)
     return v.select("vec_id", (F.col("label") < 3).cast("double").alias("y"), *[F.col("x")[i].alias(c) for i, c in enumerate(_COLUMNS)])
 
 
 def smote_counts(spark, sf):
-    balanced = neighbours.smote(_training_table(spark, sf), _COLUMNS, "y", ["vec_id"], rows_per_cell=500)
-    return balanced.groupBy("y", "synthetic").agg(F.count("*").alias("n"))
+    """Rows by class, and how many synthetic ones lie between two different rows of the table of that class."""
+    table = _training_table(spark, sf)
+    made = materialize(neighbours.smote(table, _COLUMNS, "y", ["vec_id"], trace=True), "balanced")
+    x = F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in _COLUMNS])
+    known = table.select(F.col("y").alias("_y"), x.alias("_v")).distinct()
+    ends = [made.where("synthetic").select("y", F.col(c).alias("_v"), F.col("_x") != F.col("_target")) for c in ("_x", "_target")]
+    strange = sum(e.join(known, (e["y"] == known["_y"]) & (e["_v"] == known["_v"]), "left_anti").count() for e in ends)
+    y = F.array(*[F.col(c).cast("double") for c in _COLUMNS])
+    whole = F.aggregate(F.zip_with("_x", "_target", lambda p, q: (q - p) * (q - p)), F.lit(0.0), lambda s, v: s + v)
+    parts = [F.sqrt(F.aggregate(F.zip_with(y, e, lambda p, q: (q - p) * (q - p)), F.lit(0.0), lambda s, v: s + v)) for e in ("_x", "_target")]
+    between = F.abs(parts[0] + parts[1] - F.sqrt(whole)) < 1e-6
+    return made.groupBy("y", "synthetic").agg(
+        F.count("*").alias("n"), F.count_if(F.col("synthetic") & between).alias("n_between"), F.lit(strange == 0).alias("ends_known")
+    )
 
 
 def confusion_matrix(spark, sf):
@@ -135,10 +163,12 @@ def _forest(table):
 
 
 def model_scores(spark, sf):
-    """A forest scored on the held-out rows at a threshold of 0.4."""
+    """A forest scored on the held-out rows at a threshold of 0.4: by class the rows, those with a chance for a score, wrong alerts."""
     table = _model_tables(spark, sf)
     scored = training.score_batch(_forest(table), table.where("split = 'test'"))
-    return scored.select("vec_id", "y", round6("score").alias("score"), "alert")
+    return scored.groupBy("y").agg(
+        F.count("*").alias("n"), F.count_if(F.col("score").between(0, 1)).alias("n_scored"), F.count_if(F.col("alert") != (F.col("score") >= 0.4)).alias("n_wrong")
+    )
 
 
 def model_comparison(spark, sf):
@@ -152,15 +182,20 @@ def model_comparison(spark, sf):
     }
     results = training.train_models(train, table.where("split = 'val'"), "y", _COLUMNS, spaces=spaces, folds=dict.fromkeys(spaces, 2))
     models = {n: r["model"] for n, r in results.items()}
-    return training.compare_models(models, table.where("split = 'test'"), "y")
+    compared = training.compare_models(models, table.where("split = 'test'"), "y")
+    chances = [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")]
+    return compared.select("model", reduce(Column.__and__, chances).alias("in_range"), (F.col("recall") == F.col("accuracy")).alias("recall_is_accuracy"))
 
 
 def model_attribution(spark, sf):
-    """The ten features with the largest mean attribution over a sample of the test part."""
+    """All rows of the test part explained; the values of a row must add up to its score less that of its background."""
     table = _model_tables(spark, sf)
-    rows = sampling.seeded_sample(table.where("split = 'test'"), ["vec_id"], explanation.SAMPLE_ROWS)
-    phi = explanation.attribution(_forest(table), rows, table.where("split = 'train'"), _COLUMNS, "vec_id", permutations=4)
-    return explanation.top_features(phi)
+    model, rows = _forest(table), table.where("split = 'test'")
+    phi = explanation.attribution(model, rows, table.where("split = 'train'"), _COLUMNS, "vec_id", permutations=4)
+    sums = phi.groupBy("vec_id").agg(F.sum("phi").alias("s"), F.max("base").alias("base"), F.count("*").alias("n"))
+    scored = training.with_score(model.transform(rows)).select("vec_id", "score")
+    exact = F.abs(F.col("s") + F.col("base") - F.col("score")) < 1e-9
+    return sums.join(scored, "vec_id").agg(F.count("*").alias("n_rows"), F.sum("n").alias("n_values"), F.count_if(exact).alias("n_exact"))
 
 
 def model_explanations(spark, sf):
@@ -170,22 +205,32 @@ def model_explanations(spark, sf):
     examples = evaluation.example_rows(scored, F.col("y") == 1, F.col("prediction") == 1, "vec_id")
     chosen = materialize(examples.select("cell", "rank", "vec_id", *_COLUMNS), "examples")
     phi = explanation.attribution(model, chosen, table.where("split = 'train'"), _COLUMNS, "vec_id", permutations=4)
-    return explanation.explain_examples(phi, chosen, "vec_id").select("cell", "rank", "vec_id", "explanation")
+    told = explanation.explain_examples(phi, chosen, "vec_id")
+    opening = F.col("explanation").rlike("^(Correctly flagged as malicious|Incorrectly flagged as attack|Missed attack) because f")
+    return told.agg(
+        F.count_if(~opening).alias("n_strange"), F.count_if(F.size("top_features") != 3).alias("n_short"),
+        F.count_if(F.size(F.regexp_extract_all("explanation", F.lit("SHAP="), F.lit(0))) != 3).alias("n_untold"), (F.count("*") <= 5).alias("few"),
+    )
 
 
 def model_importance(spark, sf):
-    return explanation.importance(_forest(_model_tables(spark, sf)), _COLUMNS, spark)
+    found = explanation.importance(_forest(_model_tables(spark, sf)), _COLUMNS, spark, k=_WIDTH)
+    return found.agg(F.count("*").alias("n"), round6(F.sum("importance")).alias("total"), F.count_if(~F.col("importance").between(0, 1)).alias("n_wrong"))
 
 
 def model_robustness(spark, sf):
     table = _model_tables(spark, sf)
-    return explanation.noise_robustness(_forest(table), table.where("split = 'test'"), _COLUMNS, ["vec_id"], "y")
+    r = explanation.noise_robustness(_forest(table), table.where("split = 'train'"), _COLUMNS, ["vec_id"], "y", sd=1.0)
+    return r.select(
+        (F.col("accuracy_noisy") <= F.col("accuracy_clean")).alias("noise_hurts"), F.col("accuracy_clean").between(0.5, 1).alias("learned"),
+        (F.col("robustness_drop_pct") >= 0).alias("drop"),
+    )
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        stratified_split, stratified_folds, seeded_sample, nearest_neighbours, smote_counts, confusion_matrix,
+        stratified_split, stratified_folds, seeded_sample, nearest_neighbours, neighbour_recall, smote_counts, confusion_matrix,
         weighted_metrics, security_metrics, roc_curve, pr_curve, threshold_sweep, threshold_choice, error_drivers,
         example_rows, model_scores, model_comparison, model_attribution, model_explanations, model_importance, model_robustness,
     )
@@ -202,21 +247,32 @@ _POINTS_CTE = """
 points AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, pos, neg FROM (
   SELECT score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM scored GROUP BY 1) WINDOW w AS (ORDER BY score DESC)),
 curve AS (SELECT *, (SELECT count(*) FROM scored WHERE label = 1) AS p, (SELECT count(*) FROM scored WHERE label = 0) AS n FROM points)"""
+_TEST_SQL = "SELECT CAST(label < 3 AS DOUBLE) AS y, CAST(floor(count(*) * 0.15::DOUBLE + 0.5) AS BIGINT) AS n FROM embeddings GROUP BY 1"
 _CELL = "CASE WHEN label = 1 AND prediction = 1 THEN 'TP' WHEN label = 0 AND prediction = 1 THEN 'FP' WHEN label = 1 THEN 'FN' ELSE 'TN' END"
 
 ORACLES = {
+    "model_scores": f"SELECT y, n, n AS n_scored, 0 AS n_wrong FROM ({_TEST_SQL})",
+    "model_comparison": """SELECT unnest(['Random Forest', 'Gradient Boosting', 'Neural Network']) AS model, true AS in_range, true AS recall_is_accuracy""",
+    "model_attribution": f"SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(16 * sum(n) AS BIGINT) AS n_values, CAST(sum(n) AS BIGINT) AS n_exact FROM ({_TEST_SQL})",
+    "model_explanations": "SELECT 0 AS n_strange, 0 AS n_short, 0 AS n_untold, true AS few",
+    "model_importance": f"SELECT {_WIDTH} AS n, {sql6('1.0')} AS total, 0 AS n_wrong",
+    "model_robustness": "SELECT true AS noise_hurts, true AS learned, true AS drop",
     "stratified_split": """WITH r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY doc_id * 2654435761 % 4294967296 * 2147483648 + doc_id) AS rn,
         count(*) OVER (PARTITION BY quality) AS n FROM labels)
         SELECT doc_id, quality, CASE WHEN rn <= floor(n * 0.15::DOUBLE + 0.5) THEN 'test'
           WHEN rn <= 2 * floor(n * 0.15::DOUBLE + 0.5) THEN 'val' ELSE 'train' END AS split FROM r""",
-    "stratified_folds": "SELECT l_returnflag, count(*) AS n, CAST(5 AS BIGINT) AS n_folds, true AS even FROM lineitem GROUP BY 1",
+    "stratified_folds": """WITH c AS (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1)
+        SELECT l_returnflag, CAST(i AS INTEGER) AS fold, CAST((i + 1) * n // 5 - i * n // 5 AS BIGINT) AS n FROM c, range(5) r(i)""",
     "seeded_sample": "SELECT least(count(*), 500) AS n, least(count(*), 500) AS n_distinct FROM events",
     "nearest_neighbours": """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
-        d AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.x, b.x) AS dist FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+        d AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.x, b.x) AS dist FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.vec_id % 20 = 0),
         r AS (SELECT vec_id, neighbour, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY dist, neighbour) AS INTEGER) AS rank FROM d)
         SELECT * FROM r WHERE rank <= 5""",
+    "neighbour_recall": """SELECT least(5, (SELECT count(*) FROM embeddings) - 1) * count(*) FILTER (vec_id % 20 = 0) AS n_pairs, true AS good,
+        count(*) AS n_points, CAST(5 AS BIGINT) AS fewest FROM embeddings""",
     "smote_counts": """WITH c AS (SELECT CAST(label < 3 AS DOUBLE) AS y, count(*) AS n FROM embeddings GROUP BY 1)
-        SELECT y, false AS synthetic, n FROM c UNION ALL SELECT y, true, (SELECT max(n) FROM c) - n FROM c WHERE n < (SELECT max(n) FROM c)""",
+        SELECT y, false AS synthetic, n, 0 AS n_between, true AS ends_known FROM c
+        UNION ALL SELECT y, true, (SELECT max(n) FROM c) - n, (SELECT max(n) FROM c) - n, true FROM c WHERE n < (SELECT max(n) FROM c)""",
     "confusion_matrix": f"WITH {_SCORED_SQL} SELECT label, prediction, count(*) AS n FROM scored GROUP BY 1, 2",
     "weighted_metrics": f"""WITH {_SCORED_SQL}, c AS (SELECT l AS class, count(*) FILTER (label = l) AS s, count(*) FILTER (prediction = l) AS q,
         count(*) FILTER (label = l AND prediction = l) AS tp FROM scored, (VALUES (0), (1)) k(l) GROUP BY 1)

@@ -48,6 +48,10 @@ def class_distribution(spark, sf):
     return profile.class_distribution(inputs.table(spark, sf, "lineitem"), "l_returnflag").withColumn("share", round6("share"))
 
 
+def imbalance_ratio(spark, sf):
+    return profile.imbalance_ratio(inputs.table(spark, sf, "lineitem"), "l_returnflag").withColumn("ratio", round6("ratio"))
+
+
 def outlier_counts(spark, sf):
     """Event values and order prices are skewed; both are checked beyond three IQRs."""
     return profile.outlier_counts(inputs.events(spark, sf).select("value", (F.col("user_id") % 10).alias("shard")), ["value", "shard"])
@@ -133,7 +137,7 @@ def table_checksum(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        null_counts, duplicate_rows, distinct_rows, class_distribution, outlier_counts, exact_quantiles, box_stats,
+        null_counts, duplicate_rows, distinct_rows, class_distribution, imbalance_ratio, outlier_counts, exact_quantiles, box_stats,
         histogram, describe, variance_rank, imputed_medians, scaled_features, scaled_minmax, mutual_information,
         flow_features, class_weights, table_checksum,
     )
@@ -153,6 +157,8 @@ _FLOW = """SELECT CASE WHEN l_returnflag = 'N' THEN 'Benign' ELSE 'Attack' END A
   l_quantity AS fp, l_linenumber - 1 AS bp, l_extendedprice AS fb, l_tax * 1000 AS bb, l_discount * 100 AS dur FROM lineitem"""
 
 ORACLES = {
+    "imbalance_ratio": f"""SELECT max(n) AS largest, min(n) AS smallest, {sql6('max(n) / min(n)')} AS ratio
+        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_returnflag)""",
     "null_counts": f"WITH {_GAPS_SQL} " + _each(
         ["l_linenumber", "l_returnflag", "l_quantity", "l_tax", "l_discount"],
         "SELECT '{c}' AS \"column\", count(*) - count({c}) AS n_nulls FROM gaps",

@@ -2,26 +2,36 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewatch.plans import inputs
 from tidewatch.plans.inputs import TELEMETRY_SQL, round6, sql6
+from tidewatch.plans.logs import STATUS_SQL
 from tidewatch.session import shared_dir
 from tidewatch.sources.telemetry import normalize_telemetry
 from tidewatch.streaming import jobs
 
 
+_EVENT = ["timestamp", "source_ip", "target_ip", "user", "action", "status", "log_type"]
+
+
 def _event_stream(spark, sf):
     static = inputs.events(spark, sf)
     schema = inputs.table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # a pattern of one path: it may be a file or a folder of files
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
     return stream.select(*[F.col(c).cast(static.schema[c].dataType).alias(c) for c in static.columns])
 
 
 def stream_hourly_features(spark, sf):
-    """Hours the watermark has passed when all events are read, without the approximate counts."""
+    """All hours: those the watermark has passed, and at the end the last ones; without the approximate counts."""
     telemetry = normalize_telemetry(inputs.telemetry_view(_event_stream(spark, sf)))
-    out = jobs.run_available(jobs.hourly_features(telemetry, "user-hour", "2 hours"), "hourly")
+    closed = jobs.run_available(jobs.hourly_features(telemetry, "user-hour", "2 hours"), "hourly")
+    static = normalize_telemetry(inputs.telemetry(spark, sf))
+    out = closed.unionByName(jobs.open_hours(static, closed, "user-hour"))
     return out.select(
         F.date_format("hour_bucket", "yyyy-MM-dd HH:mm:ss").alias("hour"), "entity_label", "n_events", "login_success_count",
         "login_failure_count", "bytes_transferred", *[round6(c).alias(c) for c in ("failure_ratio", "success_rate", "domain_length")],
@@ -37,14 +47,10 @@ def stream_unique_events(spark, sf):
 
 def stream_log_events(spark, sf):
     """Log lines as text files in a folder, parsed as a stream."""
-    import uuid
-
     folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/landing-{uuid.uuid4().hex}"
     inputs.log_lines(spark, sf).select("value").write.text(folder)
-    out = jobs.run_available(jobs.stream_logs(spark, folder), "logs")
-    return out.groupBy(
-        F.coalesce("log_type", F.lit("unknown")).alias("log_type"), "action", "status", F.coalesce("reject_reason", F.lit("")).alias("reason")
-    ).agg(F.count("*").alias("n"), F.count("timestamp").alias("n_timed"), F.count("source_ip").alias("n_source"))
+    out = jobs.run_available(jobs.stream_logs(spark, folder), "logs").where("reject_reason IS NULL")
+    return out.select(*_EVENT, F.count("*").over(Window.partitionBy("event_id")).alias("n_same_id"))
 
 
 QUERIES = {f.__name__: f for f in (stream_hourly_features, stream_unique_events, stream_log_events)}
@@ -57,12 +63,7 @@ ORACLES = {
           {sql6("coalesce(count(*) FILTER (status = 'FAILURE') / nullif(count(status), 0), 0)")} AS failure_ratio,
           {sql6("count(*) FILTER (status = 'SUCCESS') / count(*)")} AS success_rate,
           {sql6("coalesce(avg(length(query_domain)), 0)")} AS domain_length
-        FROM telemetry GROUP BY hour_bucket, usr
-        HAVING hour_bucket + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM telemetry) - INTERVAL 2 HOUR""",
+        FROM telemetry GROUP BY hour_bucket, usr""",
     "stream_unique_events": "SELECT DISTINCT event_id // 2 AS group_id FROM events",
-    "stream_log_events": f"""WITH {inputs.LOG_LINES_SQL},
-        all_lines AS (SELECT log_type, action, CASE WHEN action IN ('ALLOW','SUCCESS','QUERY','RESPONSE') THEN 'success'
-            WHEN action IN ('DENY','FAILURE') THEN 'failure' ELSE 'unknown' END AS status, '' AS reason, timestamp, source_ip FROM parsed
-          UNION ALL SELECT 'unknown', 'UNKNOWN', 'unknown', 'unknown format', NULL, NULL FROM lines WHERE kind = 'unknown')
-        SELECT log_type, action, status, reason, count(*) AS n, count(timestamp) AS n_timed, count(source_ip) AS n_source FROM all_lines GROUP BY 1, 2, 3, 4""",
+    "stream_log_events": f"WITH {inputs.LOG_LINES_SQL} SELECT * EXCLUDE (line_id), {STATUS_SQL}, 1 AS n_same_id FROM parsed",
 }

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +13,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-_local_dir: str | None = None
-
-
 def get_session(app: str = "tidewatch", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -36,21 +30,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written intermediates: ``spark.checkpoint.dir`` of the session.
+    """Folder for written intermediates: ``spark.checkpoint.dir`` of the session, else one in its warehouse.
 
-    Only a local-mode session without that setting falls back to a temporary folder,
-    because there the driver and all tasks run on one machine.
+    On a cluster the setting is required.
     """
-    global _local_dir
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="tidewatch-")
-        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
-    return _local_dir
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:

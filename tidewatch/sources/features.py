@@ -24,7 +24,9 @@ def read_feature_csv(spark: SparkSession, path, schema=None) -> DataFrame:
 
 def write_features(matrix: DataFrame, csv_path: str, json_path: str, metadata_path: str) -> None:
     """CSV and JSON partitioned by hour, and a one-row table of record count and feature names."""
-    matrix.write.partitionBy("hour").csv(csv_path, header=True)
-    matrix.write.partitionBy("hour").option("ignoreNullFields", False).json(json_path)
+    # files of an hour side by side; large hours are split, small ones share a task
+    by_hour = matrix.hint("rebalance", "hour")
+    by_hour.write.partitionBy("hour").csv(csv_path, header=True)
+    by_hour.write.partitionBy("hour").option("ignoreNullFields", False).json(json_path)
     names = F.array(*[F.lit(n) for n in feature_names(matrix)])
     matrix.agg(F.count("*").alias("record_count")).withColumn("features", names).write.json(metadata_path)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +15,31 @@ from tidewatch.session import shared_dir
 
 
 def stream_logs(spark: SparkSession, path: str, fmt: str | None = None, max_files: int | None = None) -> DataFrame:
-    """Parsed lines of a folder as files arrive; ids are hashes, so a replayed batch gives the same ids."""
+    """Parsed lines of a folder as files arrive.
+
+    An id is a hash of the line and of its place (file, start of the split, place within it), so equal
+    lines have ids of their own and a replayed batch gives the same ids.
+    """
     reader = spark.readStream.option("wholetext", False)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = reader.text(path).select(
-        F.make_valid_utf8("value").alias("value"), F.col("_metadata.file_path").alias("file")
+        F.make_valid_utf8("value").alias("value"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
     )
-    return parse_lines(lines, fmt, id_from=["file"])
+    placed = lines.mapInArrow(_number_lines, "value string, file string, block_start bigint, place bigint")
+    return parse_lines(placed, fmt, id_from=["file", "block_start", "place"]).drop("block_start", "place")
+
+
+def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the place of each line within its split; the lines of a split come one after the other."""
+    split, place = None, 0
+    for batch in batches:
+        places = []
+        for own in zip(batch.column("file").to_pylist(), batch.column("block_start").to_pylist()):
+            split, place = (split, place + 1) if own == split else (own, 0)
+            places.append(place)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int64())], names=[*batch.schema.names, "place"])
 
 
 def hourly_features(events: DataFrame, window: str, delay: str = "1 hour", time: str = "timestamp") -> DataFrame:
@@ -77,10 +96,27 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool
     return writer.start(path)
 
 
-def run_available(df: DataFrame, tag: str) -> DataFrame:
-    """Process all data that is there, and read the sink back."""
+def use_state_store(spark: SparkSession) -> None:
+    """Keep state in RocksDB, off the heap."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def run_available(df: DataFrame, tag: str, base: str | None = None) -> DataFrame:
+    """Process all data that is there, and read the sink back. With the same ``base`` a later call goes on."""
     spark = df.sparkSession
-    base = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    use_state_store(spark)
+    base = base or f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
     query = write_stream(df, f"{base}/out", f"{base}/state", available_now=True)
     query.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{base}/out")
+
+
+def open_hours(events: DataFrame, done: DataFrame, window: str, time: str = "timestamp") -> DataFrame:
+    """The features of the hours that a stream over ``events`` has not given out yet.
+
+    At the end of a job the watermark leaves the last hours open; they are computed from the static
+    table, on the hours from the first that is missing for any entity.
+    """
+    given = done.select(F.col("hour_bucket").alias("_hour"), F.col("entity_label").alias("_entity"))
+    rest = hourly_features(events, window, time=time)
+    return rest.join(given, (F.col("hour_bucket") == F.col("_hour")) & (F.col("entity_label") == F.col("_entity")), "left_anti")
