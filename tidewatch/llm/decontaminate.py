@@ -3,7 +3,8 @@
 Numbers, names and units become typed placeholders. Windows of ``width`` canonical tokens are hash-joined; an item that is
 shorter is one window of its own length. Matches on one alignment of item and document (the difference of the token
 positions) belong together: their slots must map one item value to one document value and back, and they must cover enough
-tokens. Windows with fewer than half literal tokens say nothing and are not used, nor are items without any other window.
+tokens. Windows with fewer than half literal tokens say nothing and are not used, nor are items without any other window or with fewer
+than ``min_item`` tokens.
 
 Only windows whose hash an item has leave the scan. The item hashes are sent to the tasks in blocks of at most
 ``BLOCK_HASHES``; a larger benchmark takes more blocks, each a pass over the documents, with the same result.
@@ -130,12 +131,12 @@ def _doc_windows(wanted: dict[int, np.ndarray]):
 
 
 def find_items(
-    docs: DataFrame, items: DataFrame, width: int = 8, min_tokens: int = 13, min_share: float = 0.8,
+    docs: DataFrame, items: DataFrame, width: int = 8, min_tokens: int = 13, min_share: float = 0.8, min_item: int = 5,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """(_id, _text_hash, item, n_windows): items whose aligned, slot-consistent windows cover ``min_tokens`` tokens, or the share of a shorter item."""
     own = items.select(F.col(item_col).cast("long").alias("_row"), F.col(item_text).alias("_text")).where("_text IS NOT NULL")
-    windows = materialize(own.mapInArrow(_item_windows(width), "_row long, _width int, _at long, _hash long, _size long, _slots array<string>"), "item-windows")
+    windows = materialize(own.mapInArrow(_item_windows(width), "_row long, _width int, _at long, _hash long, _size long, _slots array<string>").where(F.col("_size") >= min_item), "item-windows")
     slim = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_text_hash"), F.col(text_col).alias("_text")).where("length(_text) > 0")
     distinct = windows.select("_width", "_hash").distinct()
     n_blocks = max(1, -(-distinct.count() // BLOCK_HASHES))
