@@ -2,8 +2,8 @@
 
 A run is a table (h1, h2, n) of distinct line hashes and the number of documents that have them, hashed into buckets
 and sorted there. Each new batch is anti-joined with the keys that a run already shows to be common, counted, and added as a
-run of level 0. When a level holds ``fanout`` runs they are merged into one of the next level. Runs of one bucket count
-merge without a shuffle. Everything is DataFrame operations.
+run of level 0. When a level holds ``fanout`` runs they are merged into one of the next level, by merge joins of equal buckets
+without a shuffle. Everything is DataFrame operations.
 
 Defined results: a null or empty text is one empty line; keys shorter than ``min_chars`` never go. A document is a distinct
 doc_id (null counts as one id): repeated rows and equal ids count once, and every row of the input has its row in the result.
@@ -42,7 +42,7 @@ class LineRuns:
     def _write(self, counts: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
         (
-            counts.repartition(self.buckets, "h1").write.bucketBy(self.buckets, "h1").sortBy("h1", "h2")
+            counts.repartition(self.buckets, "h1", "h2").write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
             .option("path", f"{self.folder}/{name}").format("parquet").saveAsTable(name)
         )
         return name
@@ -53,8 +53,10 @@ class LineRuns:
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
         out = runs[0]
         for run in runs[1:]:
-            out = out.unionAll(run)
-        return out.groupBy("h1", "h2").agg(F.sum("n").alias("n"))
+            other = run.withColumnRenamed("n", "_more").hint("merge")
+            both = F.coalesce("n", F.lit(0)) + F.coalesce("_more", F.lit(0))
+            out = out.join(other, ["h1", "h2"], "full").select("h1", "h2", both.alias("n"))
+        return out
 
     def add(self, lines: DataFrame) -> None:
         """A batch of (doc, h1, h2); no document may be in two batches."""
