@@ -238,8 +238,9 @@ def lookup(index: DataFrame, folder: str, urls: DataFrame, url_col: str = "url")
             rows = []
             for url in batch.column(0).to_pylist():
                 key = host_key(url)
-                # a key may go over into the ranges that begin with it
-                low, high = max(bisect.bisect_left(firsts, key) - 1, 0), bisect.bisect_right(firsts, key)
+                # a key may begin in any of the ranges with the last first key before it, and go over into those that begin with it
+                low, high = bisect.bisect_left(firsts, key), bisect.bisect_right(firsts, key)
+                low = bisect.bisect_left(firsts, firsts[low - 1]) if low else 0
                 rows += [{"part": names[k], "_asked": key} for k in range(low, high)]
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("part", pa.string()), ("_asked", pa.string())]))
 
