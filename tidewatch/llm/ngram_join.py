@@ -207,9 +207,12 @@ def similar(
     ties = buckets.join(tied, (F.col("band") == F.col("_band")) & (F.col("value") == F.col("_value"))).where("class <> hub").select(F.col("class").alias("a"), F.col("hub").alias("b"))
     places = components(ties)
     sized = places.join(classes.select(F.col("class").alias("node"), "n"), "node").groupBy("component").agg(
-        F.greatest(F.ceil(F.sum("n") / BLOCK_GRAMS), F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES)).cast("int").alias("blocks")
+        F.greatest(F.ceil(F.sum("n") / BLOCK_GRAMS), F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES)).cast("int").alias("_blocks")
     )
-    members = places.join(sized, "component").join(classes.select(F.col("class").alias("node"), "copies", "first"), "node").select(
+    # the few sets of several blocks; written, so that the join can split or broadcast
+    large = materialize(sized.where("_blocks > 1"), "large-sets")
+    sets = places.join(large, "component", "left").withColumn("blocks", F.coalesce("_blocks", F.lit(1)))
+    members = sets.join(classes.select(F.col("class").alias("node"), "copies", "first"), "node").select(
         F.col("node").alias("class"), "component", "copies", "blocks", F.col("first._id").alias("_first_id"), F.col("first._text_hash").alias("_first_hash"),
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
     )
