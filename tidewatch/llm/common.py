@@ -76,10 +76,9 @@ def pack(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "text")) -> DataFra
     return docs.select(*keep, *own)
 
 
-def unpack(packed: DataFrame, columns: list[str]) -> DataFrame:
+def unpack(packed: DataFrame, columns: list[str], keep: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
     """The columns as they were before ``pack``."""
-    plain = set(packed.columns)
-    return packed.select(*[F.col(c) if c in plain else F.col("_row").getField(c).alias(c) for c in columns])
+    return packed.select(*[F.col(c) if c in keep else F.col("_row").getField(c).alias(c) for c in columns])
 
 
 def widened(fields: list[StructField], more: str) -> StructType:
