@@ -1,4 +1,7 @@
-"""Time the headline queries on the tables of $BENCH_SF_DIR and print one JSON line."""
+"""Time the headline queries on the tables of $BENCH_SF_DIR and print one JSON line.
+
+``more`` has the costly operators, each run once; BENCH_TRAIN=1 adds the model search on 60,060 rows of 35 columns.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +14,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidewatch.operators import event_checks, log_parsing  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidewatch.operators import event_checks, log_parsing, sampling, training  # noqa: E402
 from tidewatch.operators.ordering import with_line_numbers  # noqa: E402
 from tidewatch.plans import QUERIES, inputs  # noqa: E402
 from tidewatch.session import get_session, materialize  # noqa: E402
@@ -25,6 +30,11 @@ HEADLINE = [
     "threshold_sweep", "network_matches",
 ]
 
+MORE = [
+    "neighbour_recall", "smote_counts", "model_attribution", "model_comparison", "prepared_chain", "stream_log_events",
+    "stream_hourly_features", "stream_unique_events",
+]
+
 
 def timed(run) -> float:
     start = time.perf_counter()
@@ -52,7 +62,36 @@ def rates(spark) -> dict[str, float]:
     n_events = numbered.count()
     as_of = dt.datetime.fromisoformat(inputs.AS_OF)
     check = best(lambda: consume(event_checks.run_event_checks(numbered, as_of)), 3)
-    return {"parser_rows_per_sec": round(n_lines / parse), "validator_rows_per_sec": round(n_events / check)}
+    found = {"parser_rows_per_sec": round(n_lines / parse), "validator_rows_per_sec": round(n_events / check)}
+    return found | {f"{name}_per_core": round(rate / int(CPUS)) for name, rate in found.items()}
+
+
+def training_table(spark, n_rows: int, columns: list[str]):
+    """Two classes that some of the columns tell apart, from hashes of the row number."""
+    from tidewatch.operators.sampling import seeded_uniform
+
+    noise = {c: seeded_uniform(i, "id") for i, c in enumerate(columns)}
+    rows = spark.range(n_rows).withColumn("y", (seeded_uniform(99, "id") < 0.3).cast("double"))
+    return rows.withColumns({c: v + F.col("y") * (0.3 if i < 8 else 0.0) for i, (c, v) in enumerate(noise.items())})
+
+
+def model_times(spark) -> dict[str, float]:
+    """Inference in milliseconds a row, and with BENCH_TRAIN=1 the seconds of each model search."""
+    columns = [f"c{i}" for i in range(35)]
+    split = sampling.stratified_split(training_table(spark, 60_060, columns), "y", ["id"])
+    table = materialize(training.assembled(split, columns), "flows")
+    train, test = table.where("split = 'train'"), table.where("split = 'test'")
+    out = {}
+    for name in training.SEARCH_SPACE:
+        model = training.base_model(name, len(columns), 2, "y")
+        model = (model.setMaxIter(20) if hasattr(model, "setMaxIter") else model.setNumTrees(50)).fit(train)
+        scored = best(lambda model=model: consume(training.score_batch(model, test)), 1)
+        out[f"{name}_ms_per_row"] = round(scored * 1000 / test.count(), 5)
+    if os.environ.get("BENCH_TRAIN"):
+        folds = sampling.stratified_folds(train, "y", ["id"], 5)
+        results = training.train_models(folds, table.where("split = 'val'"), "y", columns)
+        out |= {f"{name}_search_sec": round(r["training_time"], 1) for name, r in results.items()}
+    return out
 
 
 def main() -> None:
@@ -63,12 +102,14 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     times = {n: round(best(lambda: consume(QUERIES[n](spark, SF_DIR)), 1), 3) for n in names}
+    more = {n: round(timed(lambda n=n: consume(QUERIES[n](spark, SF_DIR))), 3) for n in MORE} if names == HEADLINE else {}
+    models = model_times(spark) if names == HEADLINE else {}
     scale = re.search(r"sf([\d.]+)", SF_DIR)
     print(
         json.dumps(
             {
                 "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
-                "sf": float(scale.group(1)) if scale else SF_DIR, "cpus": int(CPUS), **rates(spark),
+                "sf": float(scale.group(1)) if scale else SF_DIR, "cpus": int(CPUS), **rates(spark), "more": more, "models": models,
             }
         )
     )
