@@ -65,7 +65,7 @@ class SeverityModel:
         return 1 / (1 + np.exp(self.thresholds[None, :] - score[:, None]))
 
 
-def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_cols: int, penalty: float = 1.0, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_cols: int, penalty: float = 0.1, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds of the proportional odds model, by Adam on the whole (sparse, binary) matrix."""
     n, k = len(grades), int(grades.max())
     share = np.array([(grades > j).mean() for j in range(k)])
@@ -105,7 +105,7 @@ def bounded_labels(labels: DataFrame, max_rows: int, id_col: str, grade_col: str
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", spread: bool = True, max_rows: int = 8_000, max_features: int = 4_096,
+    docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", spread: bool = True, max_rows: int = 8_000, max_features: int = 4_096, min_chi: float = 15.0,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> SeverityModel:
     sample = bounded_labels(labels, max_rows, id_col, grade_col)
@@ -136,7 +136,7 @@ def fit(
     n = n_toxic + n_clean
     chance = (a + b) * n_toxic / n
     chi = (a - chance) ** 2 / np.maximum(chance, 1e-9) + (b - (a + b - chance)) ** 2 / np.maximum(a + b - chance, 1e-9)
-    good = np.flatnonzero((chi > 10.83) & (a + b >= 3))  # one in a thousand by chance
+    good = np.flatnonzero((chi > min_chi) & (a + b >= 3))  # at 15 one in ten thousand by chance
     good = good[np.argsort(-chi[good], kind="stable")[:max_features]]
     if not len(good):
         return SeverityModel(np.zeros(1 << BITS), np.array([np.log(n_clean / n_toxic)]))
