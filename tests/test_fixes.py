@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import entropy_by_row, shannon_entropy
-from tidewatch.operators import event_checks, evaluation, preparation, sampling, training
+from tidewatch.operators import event_checks, evaluation, ordering, preparation, sampling, training
 from tidewatch.operators.ordering import with_line_numbers
 from tidewatch.plans import streams
 from tidewatch.sources.logs import file_fingerprints
@@ -133,6 +133,14 @@ def test_threshold_details_come_from_one_sweep(spark):
     assert scans == 1
 
 
+def test_the_row_before_across_blocks_and_groups(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "GROUP_BLOCKS", 3)
+    df = spark.range(1, 400).selectExpr("id AS line", "id % 7 = 0 OR id BETWEEN 100 AND 130 AS here")
+    found = {r.line: r.prev_line for r in ordering.previous_row(df, "line", F.col("here"), ["line"], 10).collect()}
+    lines = [i for i in range(1, 400) if i % 7 == 0 or 100 <= i <= 130]
+    assert found == dict(zip(lines, [None, *lines[:-1]]))
+
+
 def test_entropy_by_row(spark):
     rows = [(1, "aab"), (2, ""), (3, None), (4, "x" * 50000 + "y" * 50000), (5, "日本日本")]
     df = spark.createDataFrame(rows, "i int, t string")

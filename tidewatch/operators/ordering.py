@@ -185,20 +185,28 @@ def unpivot(df: DataFrame, columns: list[str], keep: list[str] | None = None) ->
     return wide.unpivot(kept, [F.col(f"`{c}`") for c in columns], "feature", "value")
 
 
+GROUP_BLOCKS = 1000
+
+
 def previous_row(
     df: DataFrame, line: str, present: Column, carried: list[str], block_rows: int = 1_000_000
 ) -> DataFrame:
     """Rows where ``present`` holds, with ``prev_<c>`` of the row before by line number.
 
-    Lines are unique, so a block of ``block_rows`` lines is a bounded sort, and one row per block
-    is carried over the block borders.
+    Lines are unique, so a block of ``block_rows`` lines is a bounded sort. One row per block is carried
+    over the block borders, and one per ``GROUP_BLOCKS`` blocks over the borders of these groups.
     """
     kept = df.where(present).withColumn("_block", F.floor((F.col(line) - 1) / block_rows))
     last = kept.groupBy("_block").agg(
         F.max_by(F.struct(*carried), line).alias("_last")
     )
-    carry = last.select(
-        "_block", F.lag("_last").over(Window.orderBy("_block")).alias("_carry")
+    last = last.withColumn("_group", F.floor(F.col("_block") / GROUP_BLOCKS))
+    ends = last.groupBy("_group").agg(F.max_by("_last", "_block").alias("_end"))
+    # a row per block_rows * GROUP_BLOCKS lines
+    before = ends.select("_group", F.lag("_end").over(Window.orderBy("_group")).alias("_before"))
+    within = F.lag("_last").over(Window.partitionBy("_group").orderBy("_block"))
+    carry = last.withColumn("_within", within).join(before, "_group").select(
+        "_block", F.coalesce("_within", "_before").alias("_carry")
     )
     inside = Window.partitionBy("_block").orderBy(line)
     local = kept.withColumn("_prev", F.lag(F.struct(*carried)).over(inside))

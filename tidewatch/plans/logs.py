@@ -88,7 +88,7 @@ def rapid_events(spark, sf):
     """Time since the record before, for every record with a valid time."""
     noisy = inputs.noisy_events(spark, sf)
     timed = noisy.select("line_number", times.parse_event_time(F.col("timestamp")).alias("t"))
-    pairs = previous_row(timed, "line_number", F.col("t").isNotNull(), ["t", "line_number"], block_rows=1000)
+    pairs = previous_row(timed, "line_number", F.col("t").isNotNull(), ["t", "line_number"])
     return pairs.select(
         "line_number", F.col("prev_line_number").alias("prev_line"),
         ((F.unix_micros("t") - F.unix_micros("prev_t")) / F.lit(1000000)).alias("gap_sec"),
