@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidewatch.operators import contract
 from tidewatch.plans import inputs
 
@@ -20,6 +22,16 @@ def contract_valid_events(spark, sf):
     return contract.valid_events(inputs.event_documents(spark, sf), "doc", ["event_id"]).select("event_id")
 
 
+def contract_inner_faults(spark, sf):
+    """Documents that lack an inner mandatory field, or hold a number for a text and a null for a text."""
+    docs = inputs.event_documents(spark, sf)
+    lacking = F.replace("doc", F.lit('"scale":"0-100",'), F.lit(""))
+    wrong = F.replace(F.replace("doc", F.lit('"severity":"high"'), F.lit('"severity":7')), F.lit('"criticality":"low"'), F.lit('"criticality":null'))
+    part = F.col("event_id") % 3
+    docs = docs.select("event_id", F.when(part == 0, lacking).when(part == 1, wrong).otherwise(F.col("doc")).alias("doc"))
+    return contract.validate_events(docs, "doc", ["event_id"]).select("event_id", "path", "keyword", "message")
+
+
 def contract_property_events(spark, sf):
     """The property strings of events, which are JSON but no event documents."""
     found = contract.validate_events(inputs.events(spark, sf).select("event_id", "props"), "props", ["event_id"])
@@ -27,7 +39,7 @@ def contract_property_events(spark, sf):
 
 
 QUERIES = {
-    f.__name__: f for f in (contract_findings, contract_summary, contract_valid_events, contract_property_events)
+    f.__name__: f for f in (contract_findings, contract_summary, contract_valid_events, contract_inner_faults, contract_property_events)
 }
 
 _JSON = "event_id % 41 <> 0"
@@ -59,6 +71,16 @@ ORACLES = {
     "contract_summary": f"""WITH {_FOUND}, bad AS (SELECT count(DISTINCT event_id) AS n FROM found)
         SELECT (SELECT count(*) FROM events) AS n_records, (SELECT count(*) FROM events) - n AS n_valid, n AS n_invalid FROM bad""",
     "contract_valid_events": f"WITH {_FOUND} SELECT event_id FROM events WHERE event_id NOT IN (SELECT event_id FROM found)",
+    "contract_inner_faults": f"WITH {_FOUND}, inner_faults AS (SELECT * FROM (VALUES "
+        "(0, '(root)', 'mandatory', 'Missing required confidence field(s): scale'), "
+        "(0, 'confidence', 'required', '[confidence] ''scale'' is a required property'), "
+        "(1, 'event.severity', 'type', '[event.severity] 7 is not of type ''string'''), "
+        "(1, 'event.severity', 'enum', '[event.severity] 7 is not one of [''informational'', ''low'', ''medium'', ''high'', ''critical'']'), "
+        "(1, 'enrichment.asset_context.criticality', 'type', '[enrichment.asset_context.criticality] None is not of type ''string'''), "
+        "(1, 'enrichment.asset_context.criticality', 'enum', "
+        "'[enrichment.asset_context.criticality] None is not one of [''low'', ''medium'', ''high'', ''mission_critical'']')) f(part, path, keyword, message)) "
+        f"SELECT event_id, path, keyword, message FROM found UNION ALL SELECT event_id, path, keyword, message FROM events "
+        f"JOIN inner_faults ON event_id % 3 = part WHERE {_JSON} AND (part = 1 OR event_id % 17 <> 0)",
     "contract_property_events": " UNION ALL ".join(
         f"SELECT '(root)' AS path, '{k}' AS keyword, '{m}' AS message, count(*) AS n FROM events"
         for k, m in [("mandatory", "Missing required top-level field(s): confidence, approval")]
