@@ -26,7 +26,7 @@ from tidewatch.llm.common import WORD, components, hash_strings, mix, slices, to
 from tidewatch.session import materialize
 
 BLOCK_GRAMS = 200_000
-BLOCK_CLASSES = 1024
+BLOCK_CLASSES = 256
 COLUMN_CHUNK = 4096
 
 
