@@ -30,6 +30,8 @@ CELL_SIZE = 2000
 MAX_PIVOTS = 32
 ROUNDS = 24
 SLACK = 1e-7
+MAX_PRODUCTS = 4096
+KEPT_TREES = 8
 
 
 def units(vectors: np.ndarray) -> np.ndarray:
@@ -37,11 +39,13 @@ def units(vectors: np.ndarray) -> np.ndarray:
 
 
 class CoverTree:
-    """Nested levels: the nodes of a level lie within ``radius`` of their parent's centre, and the radius halves from level to level."""
+    """Nested levels over unit vectors: the nodes of a level lie within ``radius`` of their parent's centre, and the radius halves."""
 
     def __init__(self, x: np.ndarray, last_radius: float):
         n = len(x)
+        self.x = x
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # by node: centre (a point), parent in the level above, covering radius
+        products = x @ x.T if n <= MAX_PRODUCTS else None
         node = np.zeros(n, dtype=np.int64)
         centres, parents, radius = np.zeros(min(n, 1), np.int64), np.zeros(min(n, 1), np.int64), 2.0
         while n:
@@ -49,28 +53,34 @@ class CoverTree:
             if radius <= last_radius or len(centres) == n:
                 break
             radius /= 2
-            centres, parents, node = self._split(x, centres, node, radius)
+            centres, parents, node = self._split(x, products, centres, node, radius)
         self.node = node  # of each point, in the last level
 
     @staticmethod
     def _cover(x: np.ndarray, centres: np.ndarray, node: np.ndarray) -> np.ndarray:
         out = np.zeros(len(centres))
-        np.maximum.at(out, node, np.sqrt(np.maximum(((x - x[centres[node]]) ** 2).sum(axis=1), 0)))
+        np.maximum.at(out, node, np.sqrt(((x - x[centres[node]]) ** 2).sum(axis=1)))
         return out
 
     @staticmethod
-    def _split(x: np.ndarray, centres: np.ndarray, node: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _split(x: np.ndarray, products: np.ndarray | None, centres: np.ndarray, node: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.argsort(node, kind="stable")
         cuts = np.searchsorted(node[order], np.arange(len(centres) + 1))
-        new_centres, new_parents, new_node = [], [], np.empty(len(x), np.int64)
-        for parent in range(len(centres)):
+        sizes = np.diff(cuts)
+        alone = np.flatnonzero(sizes == 1)  # their only point stays their centre
+        new_node = np.empty(len(x), np.int64)
+        new_node[order[cuts[alone]]] = np.arange(len(alone))
+        new_centres, new_parents = centres[alone].tolist(), alone.tolist()
+        near_enough = 1 - radius * radius / 2
+        for parent in np.flatnonzero(sizes > 1):
             left = order[cuts[parent] : cuts[parent + 1]]
             pick = int(centres[parent])  # a centre stays one in the next level
             while True:
-                near = ((x[left] - x[pick]) ** 2).sum(axis=1) <= radius * radius
+                near = (products[pick, left] if products is not None else x[left] @ x[pick]) >= near_enough
+                near |= left == pick
                 new_node[left[near]] = len(new_centres)
                 new_centres.append(pick)
-                new_parents.append(parent)
+                new_parents.append(int(parent))
                 left = left[~near]
                 if not len(left):
                     break
@@ -78,14 +88,18 @@ class CoverTree:
         return np.array(new_centres), np.array(new_parents), new_node
 
 
-def close_pairs(x: np.ndarray, y: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def search_distance(threshold: float) -> float:
+    return math.sqrt(max(0.0, 2 - 2 * threshold))
+
+
+def close_pairs(
+    x: np.ndarray, y: np.ndarray | None, threshold: float, tx: CoverTree | None = None, ty: CoverTree | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(i, j) with cosine at the threshold or above, i of ``x`` and j of ``y``; with ``y`` None pairs i < j of ``x``."""
-    distance = math.sqrt(max(0.0, 2 - 2 * threshold))
-    ux = units(x)
-    tx = CoverTree(ux, distance / 2)
-    uy, ty = (ux, tx) if y is None else (units(y), CoverTree(other := units(y), distance / 2))
-    if y is not None:
-        uy = other
+    distance = search_distance(threshold)
+    tx = tx or CoverTree(units(x), distance / 2)
+    ty = tx if y is None else ty or CoverTree(units(y), distance / 2)
+    ux, uy = tx.x, ty.x
     near = np.ones((1, 1), bool)
     for level in range(max(len(tx.levels), len(ty.levels))):
         (cx, px, rx), (cy, py, ry) = tx.levels[min(level, len(tx.levels) - 1)], ty.levels[min(level, len(ty.levels) - 1)]
@@ -97,8 +111,9 @@ def close_pairs(x: np.ndarray, y: np.ndarray | None, threshold: float) -> tuple[
         kx, ky = np.flatnonzero(some_x), np.flatnonzero(some_y)
         if not len(kx) or not len(ky):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        apart = np.sqrt(np.maximum(0, 2 - 2 * (ux[cx[kx]] @ uy[cy[ky]].T)))
-        after[np.ix_(kx, ky)] = near[np.ix_(px[kx], py[ky])] & (apart <= rx[kx][:, None] + ry[ky][None, :] + distance + SLACK)
+        reach = rx[kx][:, None] + ry[ky][None, :] + (distance + SLACK)
+        # distance <= reach, as a bound of the cosine
+        after[np.ix_(kx, ky)] = near[np.ix_(px[kx], py[ky])] & (ux[cx[kx]] @ uy[cy[ky]].T >= 1 - reach * reach / 2)
         near = after
     at_x, at_y = np.flatnonzero(near.any(axis=1)[tx.node]), np.flatnonzero(near.any(axis=0)[ty.node])
     found_i, found_j = [], []
@@ -183,6 +198,15 @@ def _cell_pairs(levels: list[DataFrame], distance: float) -> DataFrame:
 def _traverse(threshold: float):
     schema = pa.schema([("class", pa.string()), ("links", pa.int64()), ("hub", pa.string())])
 
+    trees: dict[str, CoverTree] = {}  # the last ones of a task: a cell comes with many others
+
+    def tree(cell: str, x: np.ndarray) -> CoverTree:
+        if cell not in trees or len(trees[cell].x) != len(x):
+            if len(trees) >= KEPT_TREES:
+                del trees[next(iter(trees))]
+            trees[cell] = CoverTree(units(x), search_distance(threshold) / 2)
+        return trees[cell]
+
     def one(a: str, b: str, batch: pa.Table) -> pa.RecordBatch | None:
         batch = batch.sort_by([("node", "ascending"), ("class", "ascending")])
         node, names, copies = (batch.column(c).to_pylist() for c in ("node", "class", "copies"))
@@ -190,7 +214,10 @@ def _traverse(threshold: float):
         split = node.index(b) if a != b and b in node else None
         if a != b and (split is None or not split):
             return None
-        i, j = close_pairs(x, None, threshold) if split is None else close_pairs(x[:split], x[split:], threshold)
+        if split is None:
+            i, j = close_pairs(x, None, threshold, tree(a, x))
+        else:
+            i, j = close_pairs(x[:split], x[split:], threshold, tree(a, x[:split]), tree(b, x[split:]))
         if not len(i):
             return None
         j = j if split is None else j + split
@@ -225,7 +252,7 @@ def _traverse(threshold: float):
 
 def similar(vectors: DataFrame, threshold: float = 0.93, cell_size: int = CELL_SIZE, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``vectors``."""
-    distance = math.sqrt(max(0.0, 2 - 2 * threshold))
+    distance = search_distance(threshold)
     plain = vectors.select(F.col(id_col).alias("_id"), F.col(label_col).cast("string").alias("_label"), F.col(vector_col).cast("array<double>").alias("_vector"))
     usable = F.col("_label").isNotNull() & F.coalesce(_usable(F.col("_vector")), F.lit(False))
     clean = F.transform("_vector", lambda v: v + 0.0)  # one zero
