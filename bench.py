@@ -1,6 +1,7 @@
 """Time the headline queries on the tables of $BENCH_SF_DIR and print one JSON line.
 
-``more`` has the costly operators, each run once; BENCH_TRAIN=1 adds the model search on 60,060 rows of 35 columns.
+BENCH_MORE=1 adds the costly operators, each run once, and the inference of the models; BENCH_TRAIN=1 the model search on 60,060
+rows of 35 columns too.
 """
 
 from __future__ import annotations
@@ -54,7 +55,8 @@ def best(run, repeats: int = 2) -> float:
 
 def rates(spark) -> dict[str, float]:
     """Records per second of the parser and of the validator on landed data."""
-    lines = inputs.log_lines(spark, SF_DIR)
+    # landed in as many files as there are cores
+    lines = materialize(inputs.log_lines(spark, SF_DIR).repartition(int(CPUS)), "lines")
     n_lines = lines.count()
     parse = best(lambda: consume(log_parsing.parse_lines(lines, id_from=["line_id"])), 3)
     events, _ = log_parsing.normalize_logs(lines, id_from=["line_id"])
@@ -102,8 +104,9 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     times = {n: round(best(lambda: consume(QUERIES[n](spark, SF_DIR)), 1), 3) for n in names}
-    more = {n: round(timed(lambda n=n: consume(QUERIES[n](spark, SF_DIR))), 3) for n in MORE} if names == HEADLINE else {}
-    models = model_times(spark) if names == HEADLINE else {}
+    wanted = bool(os.environ.get("BENCH_MORE") or os.environ.get("BENCH_TRAIN"))
+    more = {n: round(timed(lambda n=n: consume(QUERIES[n](spark, SF_DIR))), 3) for n in MORE} if wanted else {}
+    models = model_times(spark) if wanted else {}
     scale = re.search(r"sf([\d.]+)", SF_DIR)
     print(
         json.dumps(
