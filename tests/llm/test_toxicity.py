@@ -68,3 +68,27 @@ def test_the_sample_is_bounded(spark):
     labels = spark.range(20000).selectExpr("id AS doc_id", "cast(id % 10 = 0 AS int) AS toxic")
     sizes = {r._grade: r["count"] for r in toxicity.bounded_labels(labels, 500, "doc_id", "toxic").groupBy("_grade").count().collect()}
     assert 400 < sizes[0] < 600 and 400 < sizes[1] < 600
+
+
+def test_decisions_do_not_depend_on_the_bound(spark):
+    """Words that lean to one side only: where they balance, the mix of the labels decides."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(6000):
+        toxic = int(i % 10 == 0)
+        lean = rng.random(6) < (0.6 if toxic else 0.2)
+        rows.append((i, " ".join([f"lean{k}x" for k in np.flatnonzero(lean)] + [f"w{k}" for k in rng.integers(0, 40, 5)]), toxic))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    whole, bounded = (toxicity.fit(docs, labels, max_rows=n) for n in (6000, 600))
+    texts = [r[1] for r in rows]
+    p, q = whole.probabilities(texts)[:, 0], bounded.probabilities(texts)[:, 0]
+    assert np.mean((p >= 0.5) != (q >= 0.5)) < 0.03
+    assert abs(p.mean() - 0.1) < 0.01 and abs(q.mean() - 0.1) < 0.025
+
+
+def test_without_telling_words_the_mix_of_all_labels_remains(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'same words' AS text")
+    labels = spark.range(4000).selectExpr("id AS doc_id", "cast(id % 10 = 0 AS int) AS toxic")
+    model = toxicity.fit(docs, labels, max_rows=300)
+    assert abs(model.probabilities(["same words"])[0, 0] - 0.1) < 0.03

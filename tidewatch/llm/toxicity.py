@@ -5,7 +5,8 @@ these probabilities. Features are the words of a text and their beginnings of 4
 ``2**BITS`` slots; those that tell the grades apart best are kept.
 
 The model is fitted on at most ``max_rows`` labelled documents a grade (a share by a hash of the id, so the bound holds up to chance of a
-few hundredths); scoring reads every whole text. Where labels are only clean or toxic, ``spread`` makes two grades of toxic: the
+few hundredths); a row counts as many times as its share of the grade was cut, so the model sees the mix of all labels at every size.
+Scoring reads every whole text. Where labels are only clean or toxic, ``spread`` makes two grades of toxic: the
 documents with more distinct telling features than the median toxic document are severe.
 
 Defined results: null and empty texts have the severity of a text without features; rows without a label or text are not learned
@@ -65,10 +66,17 @@ class SeverityModel:
         return 1 / (1 + np.exp(self.thresholds[None, :] - score[:, None]))
 
 
-def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_cols: int, penalty: float = 0.1, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and increasing thresholds of the proportional odds model, by Adam on the whole (sparse, binary) matrix."""
+def fit_ordinal(
+    rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_cols: int, penalty: float = 0.1, steps: int = 400, counts: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and increasing thresholds of the proportional odds model, by Adam on the whole (sparse, binary) matrix.
+
+    A row stands for ``counts`` labelled rows, by default for itself.
+    """
     n, k = len(grades), int(grades.max())
-    share = np.array([(grades > j).mean() for j in range(k)])
+    counts = np.ones(n) if counts is None else counts
+    total = counts.sum()
+    share = np.array([counts[grades > j].sum() / total for j in range(k)])
     free = np.log((1 - share) / share)
     free[1:] = np.log(np.maximum(np.diff(free), 1e-2))  # gaps, so that thresholds stay in order
     params = np.concatenate((np.zeros(n_cols), free))
@@ -81,12 +89,12 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_cols:
         score = np.bincount(rows, weights=weights[cols], minlength=n)
         upper, lower = sigmoid(bounds[grades + 1] - score), sigmoid(bounds[grades] - score)
         p = np.maximum(upper - lower, 1e-12)
-        d_score = -(upper + lower - 1)
+        d_score = -(upper + lower - 1) * counts
         d_bounds = np.zeros(k)
-        np.add.at(d_bounds, np.minimum(grades, k - 1), np.where(grades < k, -(upper * (1 - upper)) / p, 0))
-        np.add.at(d_bounds, np.maximum(grades - 1, 0), np.where(grades > 0, lower * (1 - lower) / p, 0))
+        np.add.at(d_bounds, np.minimum(grades, k - 1), np.where(grades < k, -(upper * (1 - upper)) / p, 0) * counts)
+        np.add.at(d_bounds, np.maximum(grades - 1, 0), np.where(grades > 0, lower * (1 - lower) / p, 0) * counts)
         d_free = np.cumsum(d_bounds[::-1])[::-1] * np.concatenate(([1.0], np.exp(free[1:])))
-        grad = np.concatenate((np.bincount(cols, weights=d_score[rows], minlength=n_cols) + penalty * weights, d_free)) / n
+        grad = np.concatenate((np.bincount(cols, weights=d_score[rows], minlength=n_cols) + penalty * weights, d_free)) / total
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         params = params - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     free = params[n_cols:]
@@ -94,14 +102,16 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_cols:
 
 
 def bounded_labels(labels: DataFrame, max_rows: int, id_col: str, grade_col: str) -> DataFrame:
-    """At most about ``max_rows`` labelled ids a grade, taken by a hash of the id."""
+    """At most about ``max_rows`` labelled ids a grade, taken by a hash of the id; ``_count`` is how many rows of the grade each stands for."""
     own = labels.select(F.col(id_col).alias("_id"), F.col(grade_col).cast("int").alias("_grade")).where("_id IS NOT NULL AND _grade >= 0")
     counts = {r["_grade"]: r["count"] for r in own.groupBy("_grade").count().orderBy("_grade").limit(64).collect()}
     unit = F.pmod(F.xxhash64(F.lit(7), "_id"), F.lit(1_000_000))
-    keep = F.lit(False)
+    keep, stands = F.lit(False), F.lit(1.0)
     for grade, count in counts.items():
-        keep = keep | ((F.col("_grade") == grade) & (unit < int(min(1.0, max_rows / count) * 1_000_000)))
-    return own.where(keep)
+        cut = max(1, int(min(1.0, max_rows / count) * 1_000_000))
+        keep = keep | ((F.col("_grade") == grade) & (unit < cut))
+        stands = F.when(F.col("_grade") == grade, 1_000_000 / cut).otherwise(stands)
+    return own.where(keep).withColumn("_count", stands)
 
 
 def fit(
@@ -110,27 +120,30 @@ def fit(
 ) -> SeverityModel:
     sample = bounded_labels(labels, max_rows, id_col, grade_col)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).where("_text IS NOT NULL")
-    labelled = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select("_text", "_grade")  # at most max_rows a grade
+    labelled = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select("_text", "_grade", "_count")  # at most max_rows a grade
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, clean, n = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64), np.zeros(2, np.int64)
+        toxic, clean, n = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64), np.zeros((2, 2))
         for batch, part in slices(batches, "_text"):
             bad = batch.column("_grade").to_numpy() > 0
             text, slot = _present(part)
             toxic += np.bincount(slot[bad[text]], minlength=1 << BITS)
             clean += np.bincount(slot[~bad[text]], minlength=1 << BITS)
-            n += (bad.sum(), (~bad).sum())
+            full = batch.column("_count").to_numpy()
+            n += [(bad.sum(), (~bad).sum()), (full[bad].sum(), full[~bad].sum())]
         some = np.flatnonzero(toxic + clean)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(some, -1)), pa.array(np.append(toxic[some], n[0])), pa.array(np.append(clean[some], n[1]))], names=["slot", "toxic", "clean"]
+            [pa.array(np.append(some, (-1, -2))), pa.array(np.append(toxic[some], n[:, 0])), pa.array(np.append(clean[some], n[:, 1]))], names=["slot", "toxic", "clean"]
         )
 
-    counted = labelled.mapInArrow(count, "slot long, toxic long, clean long").groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    table = counted.toPandas()  # at most 2**BITS + 1 rows
+    counted = labelled.mapInArrow(count, "slot long, toxic double, clean double").groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    table = counted.toPandas()  # at most 2**BITS + 2 rows
     total = table[table["slot"] == -1]
     n_toxic, n_clean = (int(total["toxic"].sum()), int(total["clean"].sum())) if len(total) else (0, 0)
     if not n_toxic or not n_clean:
         return SeverityModel(np.zeros(1 << BITS), np.array([np.inf]))
+    full = table[table["slot"] == -2]  # of all labels
+    odds = float(full["clean"].sum() / full["toxic"].sum())
     table = table[table["slot"] >= 0].sort_values("slot")
     a, b = table["toxic"].to_numpy(float), table["clean"].to_numpy(float)
     n = n_toxic + n_clean
@@ -139,7 +152,7 @@ def fit(
     good = np.flatnonzero((chi > min_chi) & (a + b >= 3))  # at 15 one in ten thousand by chance
     good = good[np.argsort(-chi[good], kind="stable")[:max_features]]
     if not len(good):
-        return SeverityModel(np.zeros(1 << BITS), np.array([np.log(n_clean / n_toxic)]))
+        return SeverityModel(np.zeros(1 << BITS), np.array([np.log(odds)]))
     chosen = np.sort(table["slot"].to_numpy()[good])
     telling = np.zeros(1 << BITS, dtype=bool)
     telling[table["slot"].to_numpy()[good[a[good] > chance[good]]]] = True
@@ -151,10 +164,11 @@ def fit(
             text, slot = _present(part, known)
             cuts = np.searchsorted(text, np.arange(len(part) + 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_grade"), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(slot, pa.int32()))], names=["_grade", "slots"]
+                [batch.column("_grade"), batch.column("_count"), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(slot, pa.int32()))],
+                names=["_grade", "_count", "slots"],
             )
 
-    sparse = labelled.mapInArrow(vectors, "_grade int, slots array<int>").toPandas().sort_values("_grade", kind="stable")  # chosen slots of the bounded sample
+    sparse = labelled.mapInArrow(vectors, "_grade int, _count double, slots array<int>").toPandas().sort_values("_grade", kind="stable")  # chosen slots of the bounded sample
     lists = [np.asarray(x, dtype=np.int64) for x in sparse["slots"]]
     grades = sparse["_grade"].to_numpy(np.int64)
     _, grades = np.unique(grades, return_inverse=True)
@@ -163,7 +177,7 @@ def fit(
         grades = np.where((grades == 1) & (dose > np.median(dose[grades == 1])), 2, grades)
     rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     cols = np.searchsorted(chosen, np.concatenate(lists) if lists else np.zeros(0, np.int64))
-    weights, thresholds = fit_ordinal(rows, cols, grades, len(chosen))
+    weights, thresholds = fit_ordinal(rows, cols, grades, len(chosen), counts=sparse["_count"].to_numpy(float))
     full = np.zeros(1 << BITS)
     full[chosen] = weights
     return SeverityModel(full, thresholds)
