@@ -75,3 +75,15 @@ def test_repeated_rows_and_empty_tables(spark):
     assert d.flag(twice.limit(0), table).collect() == []
     again = table.unionAll(table.where("item_id = 2")).unionAll(table.selectExpr("item_id + 100", "text").where("`(item_id + 100)` = 102"))
     assert [r._items for r in d.flag(twice.where("doc_id is null"), again).collect()] == [[2, 102]]
+
+
+def test_verbatim_copies_of_numbers_names_and_capitals(spark):
+    items = [
+        (1, "What is 12 + 45 - 7?"), (2, prose(30)), (3, "Ann Lee Bob Ray Cy Dee Eve Fay and Gus Hal Ida Joe Kim Leo Max Ned"), (4, "Sum: " + " ".join(str(n) for n in range(30, 60))),
+    ]
+    text = dict(items)
+    docs = [
+        (1, f"{prose(9)} what is 12 + 45 - 7? {prose(9)}"), (2, f"{prose(50)} {text[2].upper()} {prose(9)}"), (3, f"{prose(9)}. {text[3]}"), (4, f"{prose(9)} {text[4]}"),
+        (5, text[2].title()), (6, "What is 13 + 46 - 8?"), (7, text[4].replace("45", "99").replace("52", "99").replace("38", "99")), (8, text[3].replace("Ann", "Zoe").replace("Gus", "Yan")),
+    ]
+    assert found(spark, docs, items) == {1: [1], 2: [2], 3: [3], 4: [4], 5: [2], 6: [], 7: [], 8: []}
