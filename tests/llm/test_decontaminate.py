@@ -87,3 +87,16 @@ def test_verbatim_copies_of_numbers_names_and_capitals(spark):
         (5, text[2].title()), (6, "What is 13 + 46 - 8?"), (7, text[4].replace("45", "99").replace("52", "99").replace("38", "99")), (8, text[3].replace("Ann", "Zoe").replace("Gus", "Yan")),
     ]
     assert found(spark, docs, items) == {1: [1], 2: [2], 3: [3], 4: [4], 5: [2], 6: [], 7: [], 8: []}
+
+
+def test_other_names_at_sentence_starts_and_separate_runs(spark):
+    tom = "Tom has 5 apples. Tom gives 2 apples to Ann. How many apples does Tom have left?"
+    a, b = prose(8), prose(8)
+    items = [(1, tom), (2, f"{a} {prose(3)} {b}")]
+    eve = "Eve has 9 apples. Eve gives 4 apples to Bob. How many apples does Eve have left?"
+    docs = [
+        (1, f"{prose(9)}. {eve} {prose(9)}"), (2, f"{prose(9)}. {eve.replace('Bob', 'Bob Lee')} {prose(9)}"), (3, f"{prose(9)}: {eve}"),
+        (4, f"{prose(9)}. {eve.replace('9', '8').replace('Eve have', 'Bob have')} {prose(9)}"), (5, f"{prose(9)} {a} {prose(3)} {b} {prose(9)}"),
+        (6, f"{prose(9)} {a} {prose(9)}"),
+    ]
+    assert found(spark, docs, items) == {1: [1], 2: [1], 3: [1], 4: [], 5: [2], 6: []}

@@ -8,6 +8,9 @@ tokens. Typed windows with fewer than half literal tokens say nothing and are no
 Beside them windows of the lower-cased tokens as written are joined, whatever they hold, so that verbatim copies are found
 in any case and however many numbers and names they have. Evidence is what either kind covers, or both where their slots agree; where
 typed slots of the same alignment contradict each other, only a copy of the whole item as written is.
+A third kind takes every capitalised token for a name, at the start of a sentence as inside, and a run of names for one placeholder, so
+other names in their place change neither the windows nor the alignment; it is aligned and judged apart. All kinds count the positions of
+the item that their windows cover.
 Items with fewer than ``min_item`` tokens, and items that are numbers and signs only, are not looked for.
 
 Only windows whose hash an item has leave the scan. The item hashes are sent to the tasks in blocks of at most
@@ -41,24 +44,25 @@ UNITS = frozenset(
 )
 BLOCK_HASHES = 2_000_000
 #: Kinds of windows.
-TYPED, WRITTEN = range(2)
+TYPED, WRITTEN, RUNS = range(3)
 NUMBER, UNIT, NAME = hash_strings(np.array(["<number>", "<unit>", "<name>"], dtype=object))
 
 
 class Reading(NamedTuple):
-    """Hashes of the tokens, whether each is a slot, and where each text starts."""
+    """Hashes of the tokens, whether each is a slot, where each text starts, and the first word of each token and of the end."""
 
     hashes: np.ndarray
     slots: np.ndarray
     starts: np.ndarray
+    first: np.ndarray
 
 
 def readings(texts: list[str | None]) -> tuple[dict[int, Reading], np.ndarray, np.ndarray]:
-    """The texts with typed placeholders and as written, by kind; the tokens as written; whether each is a word."""
+    """The texts with typed placeholders, as written, and with runs of names, by kind; the tokens as written; whether each is a word."""
     codes, distinct, starts = tokens([TOKEN.findall(t) if t else [] for t in texts])
     if not len(codes):
-        nothing = Reading(np.zeros(0, np.uint64), np.zeros(0, bool), starts)
-        return {TYPED: nothing, WRITTEN: nothing}, np.zeros(0, object), np.zeros(0, bool)
+        nothing = Reading(np.zeros(0, np.uint64), np.zeros(0, bool), starts, np.zeros(1, np.int64))
+        return {TYPED: nothing, WRITTEN: nothing, RUNS: nothing}, np.zeros(0, object), np.zeros(0, bool)
     ends = np.array([x in ENDS for x in distinct])
     number = np.array([x[0].isdigit() for x in distinct])
     sign = np.array([x in SIGNS for x in distinct])
@@ -74,10 +78,18 @@ def readings(texts: list[str | None]) -> tuple[dict[int, Reading], np.ndarray, n
     is_unit = sign[codes] | (unit[codes] & np.roll(is_number, 1) & ~first)
     is_name = capital[codes] & ~first & ~ends[after] & ~is_unit
     hashes[is_number], hashes[is_unit], hashes[is_name] = NUMBER, UNIT, NAME
+    any_name = capital[codes] & ~is_unit
+    runs = hashes.copy()
+    runs[any_name] = NAME
+    head = ~(any_name & np.roll(any_name, 1) & ~first)
     slots = is_number | is_unit | is_name
     keep = ~ends[codes]
     kept = np.concatenate(([0], np.cumsum(keep)))
-    found = {TYPED: Reading(hashes[keep], slots[keep], kept[starts]), WRITTEN: Reading(written[keep], slots[keep], kept[starts])}
+    each = np.arange(kept[-1] + 1)
+    found = {TYPED: Reading(hashes[keep], slots[keep], kept[starts], each), WRITTEN: Reading(written[keep], slots[keep], kept[starts], each)}
+    one = keep & head
+    placed = np.concatenate(([0], np.cumsum(one)))
+    found[RUNS] = Reading(runs[one], (slots | any_name)[one], placed[starts], np.append(kept[:-1][one], kept[-1]))
     return found, distinct[codes[keep]], ~(number | sign)[codes[keep]]
 
 
@@ -95,13 +107,14 @@ def _windows(reading: Reading, kind: int, width: int) -> tuple[np.ndarray, np.nd
 
 
 def _slot_words(reading: Reading, words: np.ndarray, at: np.ndarray, width: int) -> pa.Array:
-    return pa.array([words[a : a + width][reading.slots[a : a + width]].tolist() for a in at], pa.list_(pa.string()))
+    first, slots = reading.first, reading.slots
+    return pa.array([[" ".join(words[first[i] : first[i + 1]]) for i in range(a, a + width) if slots[i]] for a in at], pa.list_(pa.string()))
 
 
 WINDOW_TYPE = pa.schema(
     [
         ("_row", pa.int64()), ("_kind", pa.int32()), ("_width", pa.int32()), ("_at", pa.int64()), ("_hash", pa.int64()), ("_size", pa.int64()),
-        ("_slots", pa.list_(pa.string())),
+        ("_length", pa.int64()), ("_from", pa.int64()), ("_to", pa.int64()), ("_slots", pa.list_(pa.string())),
     ]
 )
 
@@ -113,8 +126,9 @@ def _item_windows(width: int):
             rows = batch.column("_row").to_pylist()
             for kind, reading in found_readings.items():
                 starts = reading.starts
-                sizes = np.diff(starts)
-                worded = np.diff(np.concatenate(([0], np.cumsum(word)))[starts]) > 0
+                sizes, begin = np.diff(starts), reading.first[starts]
+                whole = np.diff(begin)
+                worded = np.diff(np.concatenate(([0], np.cumsum(word)))[begin]) > 0
                 for w in np.unique(np.minimum(sizes, width)):
                     if not w:
                         continue
@@ -124,7 +138,9 @@ def _item_windows(width: int):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([rows[i] for i in text], pa.int64()), pa.array(np.full(len(at), kind), pa.int32()), pa.array(np.full(len(at), w), pa.int32()),
-                            pa.array(at - starts[text], pa.int64()), pa.array(found.view(np.int64)), pa.array(sizes[text], pa.int64()), _slot_words(reading, words, at, int(w)),
+                            pa.array(at - starts[text], pa.int64()), pa.array(found.view(np.int64)), pa.array(whole[text], pa.int64()),
+                            pa.array(sizes[text], pa.int64()), pa.array(reading.first[at] - begin[text], pa.int64()), pa.array(reading.first[at + w] - begin[text], pa.int64()),
+                            _slot_words(reading, words, at, int(w)),
                         ],
                         schema=WINDOW_TYPE,
                     )
@@ -175,7 +191,7 @@ def find_items(
 ) -> DataFrame:
     """(_id, _text_hash, item, n_windows): items whose aligned, slot-consistent windows cover ``min_tokens`` tokens, or the share of a shorter item."""
     own = items.select(F.col(item_col).cast("long").alias("_row"), F.col(item_text).alias("_text")).where("_text IS NOT NULL")
-    windows = materialize(own.mapInArrow(_item_windows(width), "_row long, _kind int, _width int, _at long, _hash long, _size long, _slots array<string>").where(F.col("_size") >= min_item), "item-windows")
+    windows = materialize(own.mapInArrow(_item_windows(width), "_row long, _kind int, _width int, _at long, _hash long, _size long, _length long, _from long, _to long, _slots array<string>").where(F.col("_length") >= min_item), "item-windows")
     slim = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_text_hash"), F.col(text_col).alias("_text")).where("length(_text) > 0")
     distinct = windows.select("_kind", "_width", "_hash").distinct()
     n_blocks = max(1, -(-distinct.count() // BLOCK_HASHES))
@@ -193,14 +209,15 @@ def find_items(
     aligned = hits.distinct().join(windows, "_hash").withColumn("_shift", F.col("_doc_at") - F.col("_at"))
     aligned = aligned.withColumn("_zip", F.arrays_zip(F.col("_slots").alias("i"), F.when(written, F.col("_slots")).otherwise(F.col("_doc_slots")).alias("d")))
     merged = lambda c: F.array_distinct(F.flatten(F.collect_set(c)))
-    runs = aligned.groupBy("_id", "_text_hash", F.col("_row").alias("item"), "_shift").agg(
-        F.size(F.collect_set("_at")).cast("long").alias("n_windows"), F.first("_width").alias("_width"), F.first(need).alias("_need"), F.first("_size").alias("_size"),
-        F.size(F.collect_set(F.when(~written, F.col("_at")))).alias("_n_typed"), F.size(F.collect_set(F.when(written, F.col("_at")))).alias("_n_written"),
+    places = F.sequence("_from", F.col("_to") - 1)
+    runs = aligned.groupBy("_id", "_text_hash", F.col("_row").alias("item"), (F.col("_kind") == RUNS).alias("_apart"), "_shift").agg(
+        F.size(F.collect_set("_at")).cast("long").alias("n_windows"), F.first(need).alias("_need"), F.first("_size").alias("_size"),
+        F.size(merged(places)).alias("_n_all"), F.size(merged(F.when(~written, places))).alias("_n_typed"), F.size(merged(F.when(written, places))).alias("_n_written"),
         merged("_zip").alias("_pairs"), merged(F.when(~written, F.col("_zip"))).alias("_typed_pairs"),
     )
-    covers = lambda n: (F.col(n) > 0) & (F.col(n) + F.col("_width") - 1 >= F.col("_need"))
-    whole = (F.col("_n_written") > 0) & (F.col("_n_written") + F.col("_width") - 1 >= F.col("_size"))
-    holds = whole | (_one_to_one("_typed_pairs") & (covers("_n_typed") | covers("_n_written"))) | (_one_to_one("_pairs") & covers("n_windows"))
+    covers = lambda n: F.col(n) >= F.col("_need")
+    whole = F.col("_n_written") >= F.col("_size")
+    holds = whole | (_one_to_one("_typed_pairs") & (covers("_n_typed") | covers("_n_written"))) | (_one_to_one("_pairs") & covers("_n_all"))
     return runs.where(holds).groupBy("_id", "_text_hash", "item").agg(F.max("n_windows").alias("n_windows"))
 
 
