@@ -23,7 +23,7 @@ def docs(spark):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -97,3 +97,44 @@ def test_archives(spark):
     pages = {r.page_id: (r.html or "").encode() for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
     for r in QUERIES["op9_warc"](spark, SF_DIR).collect():
         assert (r.payload_bytes, r.payload_digest) == (len(pages[r.page_id]), hashlib.sha256(pages[r.page_id]).hexdigest())
+
+
+def test_token_files(spark, docs):
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file("/opt/tokenizers/word_bpe_49k.json")
+    start, wanted = 0, []
+    for r in docs.orderBy("doc_id").collect():
+        ids = model.encode(r.text or "", add_special_tokens=False).ids + [2]
+        wanted.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert [tuple(r) for r in QUERIES["op11_token_files"](spark, SF_DIR).select("doc_id", "start", "n_tokens", "ids_crc32").orderBy("start").collect()] == wanted
+
+
+def test_periodic_runs(spark, docs):
+    from test_periodic_runs import row
+
+    found = {r.doc_id: tuple(r)[1:] for r in QUERIES["op12_periodic_runs"](spark, SF_DIR).collect()}
+    some = 0
+    for r in docs.collect():
+        n, h = len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")), zlib.crc32(str(r.doc_id).encode())
+        if n > 600:  # the search of all periods takes the square
+            continue
+        g = h // 10
+        a = g % n if n else 0
+        n_runs, best, runs, kept, _ = row(r.text, (a, 1 + (n - a) // (3 + g % 8)) if h % 10 == 0 and n else None)
+        numbers = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        assert found[r.doc_id] == (n_runs, *numbers, runs, kept)
+        some += n_runs > 0
+    assert some and len(found) == docs.count()
+
+
+def test_token_alignment(spark, docs):
+    from test_token_alignment import brute
+
+    rows = docs.collect()
+    wanted, _ = brute([r.text for r in rows])
+    found = {r.doc_id: tuple(r)[1:] for r in QUERIES["op13_token_alignment"](spark, SF_DIR).collect()}
+    for r, (*numbers, groups) in zip(rows, wanted, strict=True):
+        assert found[r.doc_id] == (*numbers, hashlib.sha256(groups.encode()).hexdigest() if groups else "")

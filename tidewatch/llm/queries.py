@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, lm_scoring, ngram_join, sentencepiece_codec, toxicity, warc
+from tidewatch.llm import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, lm_scoring, ngram_join, periodic_runs, sentencepiece_codec, token_alignment, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,27 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select("doc_id", (F.size("_items") > 0).alias("contaminated"), F.col("_items").alias("item_ids"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = token_files.new_folder(spark)
+    token_files.write(docs, folder, token_files.train(docs))
+    return token_files.read(spark, folder, ids=False)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find(docs, repeat=lambda row, n: periodic_runs.planted(row["doc_id"], n))
+    return found.select(
+        "doc_id", F.col("_n_runs").alias("n_runs"), F.col("_best.start").alias("start"), F.col("_best.length").alias("length"), F.col("_best.period").alias("period"),
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"), F.col("_runs_sha256").alias("runs_sha256"), F.col("_collapsed_sha256").alias("collapsed_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.align(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")])
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_toxicity": op2_toxicity,
@@ -82,6 +103,9 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
+    "op11_token_files": op11_token_files,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {
