@@ -73,7 +73,7 @@ def rows(df):
 @pytest.mark.parametrize("limit", [2_000_000, 0])
 def test_brute_force(spark, limit):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(3)
-    found = ta.align(docs, texts=True, broadcast_pairs=limit)
+    found = ta.align(docs, groups=True, broadcast_pairs=limit)
     wanted, _ = brute(TEXTS)
     assert rows(found) == wanted
     for r in found.collect():
@@ -84,7 +84,7 @@ def test_brute_force(spark, limit):
 def test_counts(spark):
     docs = spark.createDataFrame([(1, "the cat"), (1, "the cat"), (None, "the dog")], "doc_id long, text string")
     _, counts = brute(["the cat", "the cat", "the dog"])
-    assert {(r.pair >> 32, r.pair & 0xFFFFFFFF): r.n for r in ta.pair_counts(docs).collect()} == counts
+    assert {(r.pair >> 32, r.pair & 0xFFFFFFFF): r.n for r in ta.pair_counts(ta.tokenize(docs)).collect()} == counts
 
 
 def test_columns_and_empty_tables(spark):
@@ -98,7 +98,7 @@ def test_columns_and_empty_tables(spark):
 def test_a_text_is_one_row_however_it_is_cut(spark, monkeypatch):
     text = "many words, with signs; " * 500
     both = ta.models(ta.BYTE_MODEL, ta.PIECE_MODEL)
-    short = ta.Merged([text, None, text], both)
+    short = ta.Merged.of([text, None, text], both)
     monkeypatch.setattr(ta, "PART_PIECES", 10**9)
-    long = ta.Merged([text, None, text], both)
+    long = ta.Merged.of([text, None, text], both)
     assert short.groups()[1] == long.groups()[1] and (sorted(zip(short.left, short.right)) == sorted(zip(long.left, long.right)))

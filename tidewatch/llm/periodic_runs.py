@@ -32,10 +32,18 @@ from pyspark.sql.types import StructType
 from tidewatch.llm.common import mix, slices, tokens, window_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: What only str.split takes for white space.
+FURTHER = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Least length of a run, and the words of a sequence that each run repeats.
 LEAST, WIDTH = 12, 6
 
 
+def words_of(text: str | None) -> list[str]:
+    if not text:
+        return []
+    return WORD.findall(text) if FURTHER.search(text) else text.split()
+
+
 def automaton(words: list[int]) -> tuple[array, array, array]:
     """(suffix link, longest length) of each state and the state of each prefix. ``words`` are numbers from 0 on."""
     link, size = array("i", [-1]), array("i", [0])
@@ -206,7 +214,7 @@ def find(docs: DataFrame, text_col: str = "text", repeat=None, least: int = LEAS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, text_col):
-            lists = [WORD.findall(t) if t else [] for t in texts]
+            lists = [words_of(t) for t in texts]
             if repeat is not None:
                 for k, row in enumerate(batch.drop_columns([text_col]).to_pylist()):
                     words = lists[k]

@@ -7,7 +7,7 @@ ids of all texts of a slice are gathered with numpy. The table of known pieces i
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -15,7 +15,13 @@ import pandas as pd
 TABLE_PIECES = 600_000
 TABLE_CHARS = 64
 
-Encoder = Callable[[list[str]], Sequence[Sequence[int]]]
+#: The ids of pieces, one after the other, and how many each has.
+Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+
+
+def flat(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes
 
 
 def gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -31,12 +37,11 @@ class Lists:
     def __init__(self) -> None:
         self.ids, self.n_ids, self.starts, self.counts = np.zeros(1024, np.int32), 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def put(self, found: Sequence[Sequence[int]]) -> None:
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        total = self.n_ids + int(sizes.sum())
+    def put(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        total = self.n_ids + len(ids)
         if total > len(self.ids):
-            self.ids = np.concatenate((self.ids[: self.n_ids], np.zeros(max(total, len(self.ids)) - self.n_ids + total, np.int32)))
-        self.ids[self.n_ids : total] = np.fromiter(chain.from_iterable(found), np.int32, total - self.n_ids)
+            self.ids = np.concatenate((self.ids[: self.n_ids], np.zeros(2 * total - self.n_ids, np.int32)))
+        self.ids[self.n_ids : total] = ids
         self.starts = np.concatenate((self.starts, self.n_ids + np.cumsum(sizes) - sizes))
         self.counts, self.n_ids = np.concatenate((self.counts, sizes)), total
 
@@ -49,7 +54,7 @@ class Lists:
 class PieceCache:
     """The ids that each of some encoders gives a piece; equal pieces must have equal ids.
 
-    ``sound`` may tell of pieces and their id lists of each encoder which are usable.
+    ``sound`` may tell of pieces and what each encoder gave for them which are usable.
     """
 
     def __init__(self, encoders: list[Encoder], sound: Callable[..., np.ndarray] | None = None, pieces: int = TABLE_PIECES):
@@ -65,23 +70,21 @@ class PieceCache:
         """The number of each piece, for ``lists`` and ``usable`` until the next call, and the first piece of each list."""
         first = np.zeros(len(lists) + 1, np.int64)
         np.cumsum([len(x) for x in lists], out=first[1:])
-        flat = np.empty(int(first[-1]), dtype=object)
-        flat[:] = [p for x in lists for p in x]
-        codes, distinct = pd.factorize(flat)
+        every = np.empty(int(first[-1]), dtype=object)
+        every[:] = list(chain.from_iterable(lists))
+        codes, distinct = pd.factorize(every)
         if len(self.usable) > self.pieces:
             self._clear()
-        rows = [self.known.get(p, -1) for p in distinct]
-        new = [k for k, row in enumerate(rows) if row < 0]
-        if new:
-            pieces = [distinct[k] for k in new]
+        rows = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            pieces = distinct[new].tolist()
             found = [encode(pieces) for encode in self.encoders]
             start = len(self.usable)
             for store, own in zip(self.lists, found, strict=True):
-                store.put(own)
+                store.put(*own)
             good = np.ones(len(new), bool) if self.sound is None else self.sound(pieces, *found)
             self.usable = np.concatenate((self.usable, good))
-            for place, (k, piece) in enumerate(zip(new, pieces, strict=True)):
-                rows[k] = start + place
-                if len(piece) <= TABLE_CHARS:
-                    self.known[piece] = start + place
-        return np.asarray(rows, np.int64)[codes] if len(codes) else np.zeros(0, np.int64), first
+            rows[new] = np.arange(start, start + len(new))
+            self.known.update((p, k) for k, p in enumerate(pieces, start) if len(p) <= TABLE_CHARS)
+        return rows[codes] if len(codes) else np.zeros(0, np.int64), first

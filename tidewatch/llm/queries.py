@@ -88,7 +88,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = token_alignment.align(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = token_alignment.align(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")])
 
 

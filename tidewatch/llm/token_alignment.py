@@ -5,7 +5,7 @@ of every pair of current tokens, a cut where both end, and advances the pointer
 out of the vector. So that one long document does not keep the vector going alone, documents are entered in parts of ``PART_PIECES``
 pieces: both tokenizers certainly begin anew before white space that follows another character, so both have an end there.
 
-How often an id pair is linked is counted over the corpus (partial sums in the tasks, one shuffle of id pairs), and the documents are merged again to sum the counts. The table of
+The tokens are written once. How often an id pair is linked is counted over the corpus (partial sums in the tasks, one shuffle of id pairs), and the documents are merged again to sum the counts. The table of
 pairs goes to the tasks if it has at most ``broadcast_pairs`` rows; a larger one is joined with the pairs of the documents, split where a pair is hot.
 
 Defined results: texts that are null or empty, or whose tokens do not give back their bytes (a literal U+2581), have no tokens: all
@@ -22,12 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewatch.llm.common import slices
-from tidewatch.llm.piece_cache import Encoder, PieceCache, gather
+from tidewatch.llm.piece_cache import Encoder, PieceCache, flat, gather
 from tidewatch.session import materialize
 
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
@@ -39,8 +40,14 @@ SPACE = r"\x20\x09-\x0D"
 PIECE = re.compile(rf"[ \n][{SPACE}]*[^{SPACE}]*(?:[\t\x0B-\r][{SPACE}]*[^{SPACE}]*)*")
 #: White space or its neighbours by some definition, beside the ASCII characters: a text with one of these is not cut.
 ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    ⁠　﻿]")
+#: A blank or line break with more white space behind, or the sign that is used to split.
+RUN = re.compile(rf"[ \n][{SPACE}]|[\t\x0B-\r\x00]")
 PART_PIECES = 64
 SLICE_CHARS = 1_000_000
+TABLE_PIECES = 250_000
+#: How ids are stored between the passes, and how many of one side are merged at once.
+ID = np.dtype("<u2")
+BATCH_IDS = 300_000
 _models: dict[tuple[str, str], Both] = {}
 #: How the byte-level vocabulary cuts a text before merging (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -59,6 +66,8 @@ class Side:
     def __init__(self, encode: Encoder, surface: list[bytes], splits: bool = True):
         self.encode, self.surface, self.splits = encode, surface, splits
         self.sizes = np.array([len(s) for s in surface], np.int64)
+        if len(surface) > np.iinfo(ID).max + 1:
+            raise ValueError(f"more than {np.iinfo(ID).max + 1} ids")
 
     def names(self, mark: str) -> np.ndarray:
         """All ids as text, with ``mark`` behind."""
@@ -78,7 +87,7 @@ def byte_side(path: str) -> Side:
     if any(x >= y for x, y in zip(made[:-1], made[1:], strict=True)) or sorted(ranks.values()) != list(range(len(ranks))):
         raise ValueError("the merges are not in the order of their ids")
     coder = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return Side(lambda pieces: [coder.encode_ordinary(p) for p in pieces], [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])])
+    return Side(lambda pieces: flat([coder.encode_ordinary(p) for p in pieces]), [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])])
 
 
 def piece_side(path: str) -> Side:
@@ -94,8 +103,8 @@ def piece_side(path: str) -> Side:
     if len(before) != 2 or any(BREAK in p for p in normal):
         raise ValueError("the model has pieces with line breaks")
 
-    def encode(pieces: list[str]) -> list[list[int]]:
-        return [x[len(before) :] for x in model.encode([BREAK + p for p in pieces], num_threads=1)]
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return flat([x[len(before) :] for x in model.encode([BREAK + p for p in pieces], num_threads=1)])
 
     return Side(encode, surface, not any(re.search(rf"[^{SPACE}] ", p) for p in normal))
 
@@ -105,17 +114,22 @@ class Both:
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b, self.splits = a, b, a.splits and b.splits
-        self.cache = PieceCache([a.encode, b.encode], self._given_back)
+        self.cache = PieceCache([a.encode, b.encode], self._given_back, TABLE_PIECES)
         self.names = {(side, mark): own.names(mark) for side, own, marks in (("a", a, ",|"), ("b", b, ",;")) for mark in marks}
 
 
-    def _given_back(self, pieces: list[str], *found: list[list[int]]) -> np.ndarray:
+    def _given_back(self, pieces: list[str], *found: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """Whether the tokens of either side have the bytes of a piece."""
-        good = np.ones(len(pieces), bool)
         raw = [p.encode() for p in pieces]
-        for side, lists in zip((self.a, self.b), found, strict=True):
-            surface = side.surface.__getitem__
-            good &= np.fromiter((b"".join(map(surface, ids)) == r for ids, r in zip(lists, raw, strict=True)), bool, len(raw))
+        whole, lengths = b"".join(raw), np.fromiter(map(len, raw), np.int64, len(raw))
+        good = np.ones(len(pieces), bool)
+        for side, (ids, sizes) in zip((self.a, self.b), found, strict=True):
+            own = list(map(side.surface.__getitem__, ids.tolist()))
+            bounds = np.concatenate(([0], np.cumsum(sizes)))
+            equal = lengths == np.diff(np.concatenate(([0], np.cumsum(side.sizes[ids])))[bounds])
+            if not equal.all() or b"".join(own) != whole:  # few slices come here
+                equal = np.array([b"".join(own[x:y]) == r for x, y, r in zip(bounds[:-1], bounds[1:], raw, strict=True)], bool)
+            good &= equal
         return good
 
 
@@ -132,7 +146,9 @@ def pieces_of(text: str | None, splits: bool) -> list[str]:
     if not text:
         return []
     text = " " + text
-    return PIECE.findall(text) if splits and not ODD.search(text) else [text]
+    if not splits or ODD.search(text):
+        return [text]
+    return PIECE.findall(text) if RUN.search(text) else text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")[1:]
 
 
 def lockstep(end_a: np.ndarray, end_b: np.ndarray, begin_a: np.ndarray, begin_b: np.ndarray, stop_a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -162,25 +178,49 @@ def lockstep(end_a: np.ndarray, end_b: np.ndarray, begin_a: np.ndarray, begin_b:
     return np.concatenate([none, *left]), np.concatenate([none, *right]), cut_a, cut_b
 
 
+def tokenized(texts: list[str | None], both: Both) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """For either side the ids of all texts and where each text's start; for both where the parts of the texts start, and the first part of each text."""
+    rows, first = both.cache.rows([pieces_of(t, both.splits) for t in texts])
+    usable = both.cache.usable[rows]
+    if not usable.all():  # a text with a piece that its tokens do not give back has none
+        bad = np.diff(np.concatenate(([0], np.cumsum(~usable)))[first]) > 0
+        sizes = np.diff(first)
+        rows = rows[~np.repeat(bad, sizes)]
+        first = np.concatenate(([0], np.cumsum(np.where(bad, 0, sizes))))
+    n_parts = -(-np.diff(first) // PART_PIECES)
+    parts = gather(np.zeros(len(first) - 1, np.int64), n_parts) * PART_PIECES + np.repeat(first[:-1], n_parts)
+    ids, bounds = zip(*(x.take(rows) for x in both.cache.lists), strict=True)
+    bounds = [np.concatenate(([0], np.cumsum(e))) for e in bounds]
+    return list(ids), [np.stack([b[parts] for b in bounds]), np.stack([b[first] for b in bounds])], np.concatenate(([0], np.cumsum(n_parts)))
+
+
 class Merged:
-    """The tokens of a slice of texts, their links and groups; ``first_a`` and ``first_b`` say where each text's tokens start."""
-
-    def __init__(self, texts: list[str | None], both: Both):
-        self.both = both
-        rows, first = both.cache.rows([pieces_of(t, both.splits) for t in texts])
-        usable = both.cache.usable[rows]
-        if not usable.all():  # a text with a piece that its tokens do not give back has none
-            bad = np.diff(np.concatenate(([0], np.cumsum(~usable)))[first]) > 0
-            sizes = np.diff(first)
-            rows = rows[~np.repeat(bad, sizes)]
-            first = np.concatenate(([0], np.cumsum(np.where(bad, 0, sizes))))
-        (self.a, each_a), (self.b, each_b) = (x.take(rows) for x in both.cache.lists)
-        bounds_a, bounds_b = (np.concatenate(([0], np.cumsum(e))) for e in (each_a, each_b))
-        self.first_a, self.first_b = bounds_a[first], bounds_b[first]
-        parts = gather(np.zeros(len(first) - 1, np.int64), n_parts := -(-np.diff(first) // PART_PIECES)) * PART_PIECES + np.repeat(first[:-1], n_parts)
-        begin_a = bounds_a[parts]
+    """The tokens of some texts, their links and groups; ``first_a`` and ``first_b`` say where each text's tokens start."""
+
+    def __init__(self, ids: list[np.ndarray], parts: np.ndarray, first: np.ndarray, both: Both):
+        self.both, (self.a, self.b), (self.first_a, self.first_b) = both, ids, first
+        begin_a, begin_b = parts
         end_a, end_b = np.cumsum(both.a.sizes[self.a]), np.cumsum(both.b.sizes[self.b])
-        self.left, self.right, self.cut_a, self.cut_b = lockstep(end_a, end_b, begin_a, bounds_b[parts], np.append(begin_a[1:], len(self.a))[: len(parts)])
+        self.left, self.right, self.cut_a, self.cut_b = lockstep(end_a, end_b, begin_a, begin_b, np.append(begin_a[1:], len(self.a))[: len(begin_a)])
+
+    @classmethod
+    def of(cls, texts: list[str | None], both: Both) -> Merged:
+        ids, (parts, first), _ = tokenized(texts, both)
+        return cls(ids, parts, first, both)
+
+    @classmethod
+    def stored(cls, batch: pa.RecordBatch, both: Both) -> Merged:
+        """From the columns that ``tokenize`` adds."""
+        ids, first = [], []
+        for side in "ab":
+            column = batch.column(f"_{side}")
+            raw = column.to_pylist()
+            ids.append(np.frombuffer(b"".join(raw), ID))
+            first.append(np.concatenate(([0], np.cumsum([len(x) for x in raw], dtype=np.int64) // ID.itemsize)))
+        inside = [batch.column(f"_parts_{side}") for side in "ab"]
+        n_parts = inside[0].value_lengths().to_numpy()
+        parts = [np.repeat(own[:-1], n_parts) + x.flatten().to_numpy() for own, x in zip(first, inside, strict=True)]
+        return cls(ids, np.stack(parts), np.stack(first), both)
 
     def pairs(self) -> np.ndarray:
         """The id pair of each link as one number."""
@@ -210,16 +250,44 @@ class Merged:
         return n_groups, ["".join(out[x:y].tolist())[:-1] for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def pair_counts(docs: DataFrame, byte_path: str = BYTE_MODEL, piece_path: str = PIECE_MODEL, text_col: str = "text") -> DataFrame:
+def tokenize(docs: DataFrame, byte_path: str = BYTE_MODEL, piece_path: str = PIECE_MODEL, text_col: str = "text") -> DataFrame:
+    """All columns of ``docs``, the ids of both sides (``_a``, ``_b``, little-endian) and where in them each part starts (``_parts_a``, ``_parts_b``)."""
+    schema = StructType([*docs.schema.fields, *StructType.fromDDL("_a binary, _b binary, _parts_a array<int>, _parts_b array<int>").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = models(byte_path, piece_path)
+        for batch, texts in slices(batches, text_col, SLICE_CHARS):
+            ids, (parts, first), first_part = tokenized(texts, both)
+            raw, inside = [], []
+            for own, part, start in zip(ids, parts, first, strict=True):
+                own = own.astype(ID)
+                raw.append(pa.array([own[x:y].tobytes() for x, y in zip(start[:-1], start[1:], strict=True)], pa.binary()))
+                inside.append(pa.ListArray.from_arrays(pa.array(first_part, pa.int32()), pa.array(part - np.repeat(start[:-1], np.diff(first_part)), pa.int32())))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *raw, *inside], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts with at most ``BATCH_IDS`` ids of the A side, or one row."""
+    for batch in batches:
+        if batch.num_rows:
+            sizes = np.cumsum(pc.binary_length(batch.column("_a")).to_numpy() // ID.itemsize)
+            cuts = np.flatnonzero(np.diff(sizes // BATCH_IDS, prepend=-1))
+            for x, y in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
+                yield batch.slice(x, y - x)
+
+
+def pair_counts(tokens: DataFrame, byte_path: str = BYTE_MODEL, piece_path: str = PIECE_MODEL) -> DataFrame:
     """(pair, n, best): how many links of all texts hold an A id (upper half of ``pair``) and a B id, and whether no A id is linked with the B id more often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = models(byte_path, piece_path)
-        for _, texts in slices(batches, "_text", SLICE_CHARS):
-            pair, n = np.unique(Merged(texts, both).pairs(), return_counts=True)
+        for batch in _batches(batches):
+            pair, n = np.unique(Merged.stored(batch, both).pairs(), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
 
-    found = docs.select(F.col(text_col).alias("_text")).mapInArrow(run, "pair long, n long")
+    found = tokens.select("_a", "_b", "_parts_a", "_parts_b").mapInArrow(run, "pair long, n long")
     totals = materialize(found.groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     b_id = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))
     most = totals.groupBy(b_id.alias("_b")).agg(F.max("n").alias("_most"))
@@ -231,62 +299,61 @@ SUMS = "_n_best long, _count_sum long"
 
 
 def align(
-    docs: DataFrame, byte_path: str = BYTE_MODEL, piece_path: str = PIECE_MODEL, text_col: str = "text", texts: bool = False, broadcast_pairs: int = 2_000_000
+    docs: DataFrame, byte_path: str = BYTE_MODEL, piece_path: str = PIECE_MODEL, text_col: str = "text", keep_text: bool = True, groups: bool = False, broadcast_pairs: int = 2_000_000
 ) -> DataFrame:
-    """All columns of ``docs``, the numbers of tokens, groups and links, ``_n_best``, ``_count_sum`` and ``_groups_sha256``; with ``texts`` also ``_groups``."""
+    """All columns of ``docs``, the numbers of tokens, groups and links, ``_n_best``, ``_count_sum`` and ``_groups_sha256``; with ``groups`` also ``_groups``.
+
+    The tokens are written once for the two passes over them; without ``keep_text`` the text is not, and is left out of the result.
+    """
     spark = docs.sparkSession
-    totals = pair_counts(docs, byte_path, piece_path, text_col)
+    results = StructType.fromDDL(f"{NUMBERS}, {SUMS}, _groups_sha256 string" + ", _groups string" * groups)
+    kept = [c for c in docs.columns if c not in results.names and (keep_text or c != text_col)]
+    # columns travel in a struct, so that no name of theirs meets one of the tokens
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col(text_col).alias("_text"))
+    tokens = materialize(tokenize(packed, byte_path, piece_path, "_text").drop("_text").withColumn("_place", F.monotonically_increasing_id()), "tokens")
+    totals = pair_counts(tokens, byte_path, piece_path)
     small = totals.count() <= broadcast_pairs
     shared = None
     if small:
         table = totals.toArrow().sort_by("pair")
         shared = spark.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("pair", "n", "best")))
-    results = StructType.fromDDL(f"{NUMBERS}, {SUMS}, _groups_sha256 string" + ", _groups string" * texts)
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in results.names])
     names = results.names if small else [c for c in results.names if c not in ("_n_best", "_count_sum")]
-    schema = StructType([*docs.schema.fields, *[results[c] for c in names]])
+    front = ["_row", "_place"]
+    schema = StructType([*[tokens.schema[c] for c in front], *[results[c] for c in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = models(byte_path, piece_path)
-        for batch, raw in slices(batches, text_col, SLICE_CHARS):
-            merged = Merged(raw, both)
-            n_groups, groups = merged.groups()
+        for batch in _batches(batches):
+            merged = Merged.stored(batch, both)
+            n_groups, texts = merged.groups()
             columns = [np.diff(merged.first_a), np.diff(merged.first_b), n_groups, merged.per_text()]
             if shared is not None:
                 pair, n, best = shared.value
-                at = np.searchsorted(pair, merged.pairs())
-                columns += [merged.per_text(best[at].astype(np.int64)), merged.per_text(n[at])]
-            more = [pa.array([hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]), *([pa.array(groups)] * texts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.int64()) for c in columns], *more], names=schema.names)
+                own, at = np.unique(merged.pairs(), return_inverse=True)
+                own = np.searchsorted(pair, own)
+                columns += [merged.per_text(best[own].astype(np.int64)[at]), merged.per_text(n[own][at])]
+            more = [pa.array([hashlib.sha256(g.encode()).hexdigest() if g else "" for g in texts]), *([pa.array(texts)] * groups)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in front], *[pa.array(c, pa.int64()) for c in columns], *more], names=schema.names)
 
-    out = docs.mapInArrow(run, schema)
-    if small:
-        return out
-    return _joined(docs, out, _sums(docs, totals, byte_path, piece_path, text_col), text_col, results.names)
+    out = tokens.mapInArrow(run, schema)
+    if not small:
+        sums = _sums(tokens, totals, byte_path, piece_path)
+        out = out.join(sums, F.col("_place") == F.col("_at"), "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("_n_best", "_count_sum")})
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in kept], *results.names)
 
 
-def _sums(docs: DataFrame, totals: DataFrame, byte_path: str, piece_path: str, text_col: str) -> DataFrame:
-    """(_key, _n_best, _count_sum) of each distinct text with links, through a join of its pairs with their counts."""
+def _sums(tokens: DataFrame, totals: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
+    """(_at, _n_best, _count_sum) of each row with links, through a join of its pairs with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = models(byte_path, piece_path)
-        for batch, raw in slices(batches, "_text", SLICE_CHARS):
-            merged = Merged(raw, both)
+        for batch in _batches(batches):
+            merged = Merged.stored(batch, both)
             text = np.searchsorted(merged.first_a, merged.left, side="right") - 1
             order = np.lexsort((pair := merged.pairs(), text))
             text, pair = text[order], pair[order]
             new = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])))) if len(text) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("_key").take(pa.array(text[new])), pa.array(pair[new]), pa.array(np.diff(np.append(new, len(text))))], names=["_key", "pair", "times"])
-
-    distinct = docs.select(_key(text_col).alias("_key"), F.col(text_col).alias("_text")).where("_text IS NOT NULL").dropDuplicates(["_key"])
-    pairs = distinct.mapInArrow(run, "_key string, pair long, times long")
-    return pairs.join(totals, "pair").groupBy("_key").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("_n_best"), F.sum(F.col("times") * F.col("n")).alias("_count_sum"))
-
-
-def _key(text_col: str):
-    return F.sha2(F.col(text_col), 256)
-
+            yield pa.RecordBatch.from_arrays([batch.column("_place").take(pa.array(text[new])), pa.array(pair[new]), pa.array(np.diff(np.append(new, len(text))))], names=["_at", "pair", "times"])
 
-def _joined(docs: DataFrame, out: DataFrame, sums: DataFrame, text_col: str, names: list[str]) -> DataFrame:
-    both = out.withColumn("_own_key", _key(text_col)).join(sums, F.col("_own_key") == F.col("_key"), "left")
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.coalesce(c, F.lit(0)).alias(c) if c in ("_n_best", "_count_sum") else F.col(c) for c in names])
+    pairs = tokens.mapInArrow(run, "_at long, pair long, times long")
+    return pairs.join(totals, "pair").groupBy("_at").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("_n_best"), F.sum(F.col("times") * F.col("n")).alias("_count_sum"))

@@ -36,7 +36,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tidewatch.llm.common import slices
 from tidewatch.llm.files import file_system
-from tidewatch.llm.piece_cache import PieceCache
+from tidewatch.llm.piece_cache import Encoder, PieceCache, flat
 from tidewatch.session import materialize, shared_dir
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
@@ -44,10 +44,20 @@ MAGIC = b"TWIDS001"
 HEAD = len(MAGIC) + 33
 LEVEL = 3
 READ_BYTES = 4_000_000
+TABLE_PIECES = 250_000
+JOINED_WORDS = 2000
+SLICE_CHARS = 1_000_000
 #: Between ASCII white space the vocabulary of words begins anew: its pattern matches no white space, and normalization crosses none.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: In lower-case ASCII it does so too between letters or digits and other signs, but for the apostrophe before a letter.
-PLAIN = re.compile(r"'?[a-z0-9]+(?:'[a-z0-9]+)*|[^\x20\x09-\x0Da-z0-9]+")
+#: In lower-case Latin texts it does so too between letters or digits and other signs, but for the apostrophe before a letter.
+LETTERS = r"a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+PLAIN = re.compile(rf"'?[{LETTERS}0-9]+(?:'[{LETTERS}0-9]+)*|[^\x20\x09-\x0D{LETTERS}0-9]+")
+ONE_WORD = re.compile(rf"[{LETTERS}]+")
+#: Other characters may be composed, or lower-cased by their neighbours.
+FURTHER = re.compile("[\u0130\u0250-\U0010ffff]")
+WORD_END = "</w>"
+#: Full stops and commas next to other signs go with these; elsewhere they can be set apart before the text is split.
+MARKED = re.compile(rf"[^\x20\x09-\x0D{LETTERS}0-9][.,]|[.,][^\x20\x09-\x0D{LETTERS}0-9]|[\x1c-\x1f]")
 SPECIAL = "<|"
 _caches: dict[str, PieceCache] = {}
 
@@ -60,16 +70,47 @@ def _cache(path: str) -> PieceCache:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(path)
-        _caches[path] = PieceCache([lambda pieces: [x.ids for x in model.encode_batch_fast(pieces, add_special_tokens=False)]])
+        _caches[path] = PieceCache([_encoder(Tokenizer.from_file(path))], pieces=TABLE_PIECES)
     return _caches[path]
 
 
+def _encoder(model) -> Encoder:
+    """Ids of pieces. Pieces of letters are one word each, lower-cased and composed, so many go to the vocabulary as one text, past the normalization, and are told apart by the ids that end a word."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    ends = np.array([(model.id_to_token(i) or "").endswith(WORD_END) for i in range(model.get_vocab_size())])
+    words = Tokenizer(model.model)
+    words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        single = [ONE_WORD.fullmatch(p) is not None and (p.isascii() or p.lower() == p) for p in pieces]
+        joined = [p for p, one in zip(pieces, single, strict=True) if one]
+        texts = [" ".join(joined[k : k + JOINED_WORDS]) for k in range(0, len(joined), JOINED_WORDS)]
+        word_ids, word_sizes = flat([x.ids for x in words.encode_batch_fast(texts, add_special_tokens=False)])
+        cuts = np.flatnonzero(ends[word_ids]) + 1
+        if len(cuts) != len(joined) or len(cuts) and cuts[-1] != len(word_ids):
+            raise ValueError("the vocabulary does not mark the ends of words")
+        word_sizes = np.diff(cuts, prepend=0)
+        other_ids, other_sizes = flat([x.ids for x in model.encode_batch_fast([p for p, one in zip(pieces, single, strict=True) if not one], add_special_tokens=False)])
+        mask = np.array(single, bool)
+        sizes = np.zeros(len(pieces), np.int64)
+        sizes[mask], sizes[~mask] = word_sizes, other_sizes
+        from_words = np.repeat(mask, sizes)
+        ids = np.zeros(int(sizes.sum()), np.int32)
+        ids[from_words], ids[~from_words] = word_ids, other_ids
+        return ids, sizes
+
+    return encode
+
+
 def pieces_of(text: str | None) -> list[str]:
-    """Parts of a text that are encoded alone; a text in ASCII is lower-cased, as the vocabulary does."""
+    """Parts of a text that are encoded alone; Latin letters are lower-cased, as the vocabulary does."""
     if not text:
         return []
-    return PLAIN.findall(text.lower()) if text.isascii() and SPECIAL not in text else WORD.findall(text)
+    if SPECIAL in text or FURTHER.search(text):
+        return WORD.findall(text)
+    text = text.lower()
+    return PLAIN.findall(text) if MARKED.search(text) else text.replace(".", " . ").replace(",", " , ").split()
 
 
 def id_width(path: str) -> int:
@@ -92,9 +133,10 @@ def serialized(texts: list[str | None], path: str, end_id: int, width: int) -> l
 
 def train(docs: DataFrame, path: str = VOCABULARY, end_id: int = 2, sample_docs: int = 2000, sample_chars: int = 4000, size: int = 65536, id_col: str = "doc_id", text_col: str = "text") -> bytes:
     """A dictionary from the documents with the ``sample_docs`` smallest hashes, the first ``sample_chars`` of each; empty if they are too few."""
-    order = [F.xxhash64(id_col, text_col), F.xxhash64(F.lit(1), id_col, text_col)]
-    some = docs.select(F.substring(text_col, 1, sample_chars).alias("_text"), *[o.alias(f"_o{k}") for k, o in enumerate(order)]).orderBy("_o0", "_o1").limit(sample_docs)
-    samples = serialized([r["_text"] for r in some.collect()], path, end_id, id_width(path))
+    rows = docs.select(F.xxhash64(id_col, text_col).alias("_o"), F.col(text_col).alias("_text"))
+    last = rows.select("_o").orderBy("_o").limit(sample_docs).agg(F.max("_o")).first()[0]  # the hashes first, so that only texts of the sample travel
+    some = rows.where(F.col("_o") <= F.lit(last)).dropDuplicates(["_o"]).select("_o", F.substring("_text", 1, sample_chars).alias("_text")) if last is not None else rows.limit(0)
+    samples = serialized([r["_text"] for r in sorted(some.collect(), key=lambda r: r["_o"])], path, end_id, id_width(path))
     try:
         return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 8), samples).as_bytes()
     except zstandard.ZstdError:
@@ -113,7 +155,7 @@ def _writer(folder: str, dictionary: bytes, path: str, end_id: int, width: int,
         store, root = file_system(folder)
         name, out, offset, total, index = f"ids-{uuid.uuid4().hex}.twids", None, HEAD, 0, []
         try:
-            for batch, texts in slices(batches, "_text"):
+            for batch, texts in slices(batches, "_text", SLICE_CHARS):
                 if out is None:
                     out = store.open_output_stream(posixpath.join(root, name), compression=None)
                     out.write(MAGIC + digest + bytes([width]))
