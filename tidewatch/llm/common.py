@@ -89,22 +89,29 @@ def widened(fields: list[StructField], more: str) -> StructType:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (a, b); a component is named by its smallest node.
 
-    Every node takes the smallest name among its neighbours, then the name of that node, until nothing
-    changes. Each round is written, so lost executors cost no more than a round.
+    In each round every node joins the first of its neighbours and itself, in the order of the nodes at first and of a new hash in later rounds, and then the one that
+    this one has joined. Edges are contracted to what their ends have joined, so rounds shrink. Each round is written, so lost executors cost no more than a round.
     """
-    both = materialize(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct(), "edges")
-    names = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "names")
-    while True:
-        near = (
-            both.join(names, both["b"] == names["node"]).groupBy("a").agg(F.min("component").alias("_near"))
-        )
-        step = names.join(near, names["node"] == near["a"]).select(
-            "node", F.col("component").alias("_old"), F.least("component", "_near").alias("_new")
-        )
-        jump = names.select(F.col("node").alias("_at"), F.col("component").alias("_there"))
-        after = materialize(
-            step.join(jump, F.col("_new") == F.col("_at"), "left").select("node", "_old", F.least(F.coalesce("_there", "_new"), "_new").alias("component")), "names"
-        )
-        names = after.select("node", "component")
-        if after.where("component != _old").isEmpty():
-            return names
+    edges = materialize(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    rounds: list[DataFrame] = []
+    while not edges.isEmpty():
+        place = F.lit(0) if not rounds else F.xxhash64(F.lit(len(rounds)), "node")
+        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("own", "node")
+        first = both.groupBy("own").agg(F.min(F.struct(place.alias("place"), "node")).alias("near")).withColumnRenamed("own", "node")
+        chosen = materialize(first.select("node", F.least("near", F.struct(place.alias("place"), "node"))["node"].alias("to")), "names")
+        further = chosen.select(F.col("node").alias("_at"), F.col("to").alias("_there"))
+        rounds.append(materialize(chosen.join(further, F.col("to") == F.col("_at")).select("node", F.col("_there").alias("to")), "names"))
+        for end in ("a", "b"):
+            edges = edges.join(rounds[-1].withColumnRenamed("to", "_to"), F.col(end) == F.col("node")).withColumn(end, F.col("_to")).drop("node", "_to")
+        edges = materialize(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    if not rounds:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    names = rounds[0]
+    for after in rounds[1:]:
+        moved = after.select(F.col("node").alias("_at"), F.col("to").alias("_there"))
+        names = names.join(moved, F.col("to") == F.col("_at"), "left").select("node", F.coalesce("_there", "to").alias("to"))
+    if len(rounds) == 1:  # the smallest node is the first one
+        return names.withColumnRenamed("to", "component")
+    names = materialize(names, "names")
+    least = materialize(names.groupBy(F.col("to").alias("_at")).agg(F.min("node").alias("component")), "names")
+    return names.join(least, F.col("to") == F.col("_at")).select("node", "component")

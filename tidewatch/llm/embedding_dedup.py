@@ -270,12 +270,15 @@ def similar(vectors: DataFrame, threshold: float = 0.93, cell_size: int = CELL_S
     found = materialize(dealt.mapInArrow(_traverse(threshold), "class string, links long, hub string"), "links")
     groups = components(found.select(F.col("class").alias("a"), F.col("hub").alias("b")))
     summed = found.groupBy(F.col("class").alias("_linked")).agg(F.sum("links").alias("links"))
-    joined = (
-        classes.select("class", "copies", "first").join(groups, F.col("class") == F.col("node"), "left").join(summed, F.col("class") == F.col("_linked"), "left")
-        .select("class", "copies", "first", F.coalesce("component", "class").alias("group"), F.coalesce("links", F.lit(0)).alias("links"))
+    # both sides are written, so that the join can split a large group
+    grouped = materialize(groups.join(classes.select("class", "first"), F.col("class") == F.col("node")).select("node", "first", F.col("component").alias("group")), "vector-groups")
+    heads = materialize(grouped.groupBy(F.col("group").alias("_group")).agg(F.min("first").alias("head")), "heads")
+    headed = materialize(grouped.join(heads, F.col("group") == F.col("_group")).select("node", "head"), "vector-groups")
+    named = (
+        classes.select("class", "copies", "first").join(headed, F.col("class") == F.col("node"), "left").join(summed, F.col("class") == F.col("_linked"), "left")
+        .select("class", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("head", "first").alias("head"))
     )
-    heads = joined.groupBy(F.col("group").alias("_group")).agg(F.min("first").alias("head"))
-    named = materialize(joined.join(heads, F.col("group") == F.col("_group")).select("class", "copies", "links", "head"), "vector-groups")
+    named = materialize(named, "vector-groups")
     return keyed.select("_id", "_class").join(named, F.col("_class") == F.col("class"), "left").select(
         F.col("_id").alias("vec_id"), F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("head", "_id").alias("component_id"), F.coalesce(F.col("_id").eqNullSafe(F.coalesce("head", "_id")), F.lit(True)).alias("kept"),

@@ -2,7 +2,7 @@
 
 Documents with equal n-gram sets are a class, and only one of a class is compared. Bands and rows are chosen so that a pair at the
 threshold shares a band with at least the target recall. A class that shares a band bucket with others is tied to the
-smallest class of the bucket (no pairs are made), and the connected sets of such ties are the places where links can be. Inside each,
+smallest class of the bucket (no pairs are made; the bands are tied in two steps, the second with the names that the first gave), and the connected sets of such ties are the places where links can be. Inside each,
 all pairs are verified on the full n-gram sets, in blocks of bounded size, with no pair ever written as a row: a block gives
 every class its number of links and one tie. So buckets and groups of any size are complete, beyond the recall of the bands even.
 
@@ -28,6 +28,8 @@ from tidewatch.session import materialize
 BLOCK_GRAMS = 200_000
 BLOCK_CLASSES = 256
 COLUMN_CHUNK = 4096
+#: Bands that are tied first.
+FIRST_BANDS = 6
 
 
 def band_plan(threshold: float, recall: float, max_hashes: int = 128) -> tuple[int, int]:
@@ -173,6 +175,15 @@ def _verify(width: int, threshold: float):
     return run
 
 
+def _ties(named: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the names (class, name, bands) which share a bucket: of each class a star of its name and the smallest names of its buckets."""
+    buckets = named.select("class", "name", F.posexplode("bands").alias("band", "value"))
+    tied = buckets.groupBy(F.col("band").alias("_band"), F.col("value").alias("_value")).agg(F.min("name").alias("hub"), F.max("name").alias("_last")).where("hub <> _last")
+    held = buckets.join(tied, (F.col("band") == F.col("_band")) & (F.col("value") == F.col("_value"))).where("name <> hub")
+    stars = held.groupBy("class", "name").agg(F.collect_set("hub").alias("hubs")).withColumn("hubs", F.array_append("hubs", F.col("name")))  # at most a hub a band
+    return stars.select(F.explode("hubs").alias("a"), F.array_min("hubs").alias("b")).where("a <> b")
+
+
 def similar(
     docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999, max_hashes: int = 128, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -202,10 +213,15 @@ def similar(
         .join(distinct.where("class IS NOT NULL").groupBy(F.col("class").alias("_class")).agg(F.count(F.lit(1)).alias("copies")), F.col("class") == F.col("_class")).drop("_class"),
         "classes",
     )
-    buckets = classes.select("class", F.posexplode("bands").alias("band", "value"))
-    tied = buckets.groupBy(F.col("band").alias("_band"), F.col("value").alias("_value")).agg(F.min("class").alias("hub"), F.max("class").alias("_last")).where("hub <> _last")
-    ties = buckets.join(tied, (F.col("band") == F.col("_band")) & (F.col("value") == F.col("_value"))).where("class <> hub").select(F.col("class").alias("a"), F.col("hub").alias("b"))
-    places = components(ties)
+    # the first bands name the sets of most classes, so later ones join only buckets that still hold several names
+    names = classes.select("class", "bands", F.col("class").alias("name"), F.lit(False).alias("tied"))
+    for low, high in ((0, min(FIRST_BANDS, bands)), (FIRST_BANDS, bands)):
+        if low < high:
+            found = components(_ties(names.select("class", "name", F.slice("bands", low + 1, high - low).alias("bands"))))
+            moved = found.select(F.col("node").alias("_name"), "component")
+            names = names.join(moved, F.col("name") == F.col("_name"), "left").select("class", "bands", F.coalesce("component", "name").alias("name"), (F.col("tied") | F.col("component").isNotNull()).alias("tied"))
+            names = materialize(names, "sets")
+    places = names.where("tied").select(F.col("class").alias("node"), F.col("name").alias("component"))
     sized = places.join(classes.select(F.col("class").alias("node"), "n"), "node").groupBy("component").agg(
         F.greatest(F.ceil(F.sum("n") / BLOCK_GRAMS), F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES)).cast("int").alias("_blocks")
     )
@@ -225,12 +241,14 @@ def similar(
     found = materialize(dealt.mapInArrow(_verify(width, threshold), "class binary, links long, hub binary"), "links")
     groups = components(found.select(F.col("class").alias("a"), F.col("hub").alias("b")))
     counted = found.groupBy(F.col("class").alias("_linked")).agg(F.sum("links").alias("links"))
-    joined = (
-        classes.select("class", "first", "copies").join(groups, F.col("class") == F.col("node"), "left").join(counted, F.col("class") == F.col("_linked"), "left")
-        .select("class", "first", "copies", F.coalesce("component", "class").alias("group"), F.coalesce("links", F.lit(0)).alias("links"))
+    # both sides are written, so that the join can split a large group
+    grouped = materialize(groups.join(classes.select("class", "first"), F.col("class") == F.col("node")).select("node", "first", F.col("component").alias("group")), "groups")
+    heads = materialize(grouped.groupBy(F.col("group").alias("_group")).agg(F.min("first").alias("head")), "heads")
+    headed = materialize(grouped.join(heads, F.col("group") == F.col("_group")).select("node", "head"), "groups")
+    named = (
+        classes.select(F.col("class").alias("_class"), "first", "copies").join(headed, F.col("_class") == F.col("node"), "left").join(counted, F.col("_class") == F.col("_linked"), "left")
+        .select("_class", "first", "copies", F.coalesce("head", "first").alias("head"), F.coalesce("links", F.lit(0)).alias("links"))
     )
-    heads = joined.groupBy(F.col("group").alias("_group")).agg(F.min("first").alias("head"))
-    named = joined.join(heads, F.col("group") == F.col("_group")).select(F.col("class").alias("_class"), "first", "copies", "head", "links")
     named = materialize(named, "groups")
     whole = distinct.join(named, F.col("class") == F.col("_class"), "left")
     me = F.struct("_id", "_text_hash")
