@@ -1,408 +1,179 @@
-"""Validation of nested JSON security events.
+"""Validation of nested JSON security events against a contract.
 
-The contract is declared below. Each record is opened as VARIANT, which keeps a missing field apart
-from a null one, and exploded into nodes (place in the contract, list index, value). One generated
-expression checks any node against the rule of its place, so only findings leave the scan stage.
+A contract is a JSON Schema document with the sections whose absence is reported first. The one of security events is declared below; another
+is read from a file with ``read_contract``. Each record is opened as VARIANT once, which keeps a missing field apart
+from a null one, and checked by one generated expression; only findings leave the scan stage.
 """
 
 from __future__ import annotations
 
-import json as js
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.jsons import parse_pair, strict_value
-from tidewatch.functions.times import parse_telemetry_time
+from tidewatch.operators.json_schema import Schema, literal, members, read_schema, required_of
 
 
-class Text(NamedTuple):
-    nullable: bool = False
-    min_length: int = 0
-    date_time: bool = False
+class Contract(NamedTuple):
+    """A schema document, and the members of a record whose absence is reported before all else."""
 
+    schema: dict
+    mandatory: tuple[str, ...] = ()
 
-class Choice(NamedTuple):
-    values: tuple[str, ...]
 
+def _text(**more) -> dict:
+    return {"type": "string", **more}
 
-class Fixed(NamedTuple):
-    value: str
 
+def _choice(*values: str) -> dict:
+    return {"type": "string", "enum": list(values)}
 
-class Number(NamedTuple):
-    low: float
-    high: float
 
+def _section(required: tuple[str, ...], **fields: dict) -> dict:
+    return {"type": "object", "required": list(required), "additionalProperties": False, "properties": fields}
 
-class Items(NamedTuple):
-    of: object
-    min_items: int = 0
 
+def _list(items: dict, **more) -> dict:
+    return {"type": "array", "items": items, **more}
 
-class Section(NamedTuple):
-    required: tuple[str, ...]
-    fields: dict[str, object]
-    approval_rules: bool = False
 
+_MAYBE = {"type": ["string", "null"]}
+_TIME = {"format": "date-time"}
+_SCORE = {"type": "number", "minimum": 0, "maximum": 100}
 
 # The event contract.
-_MATCH = Section(
-    ("indicator", "indicator_type", "source", "match_type"),
-    {
-        "indicator": Text(),
-        "indicator_type": Choice(("ip", "domain", "url", "file_hash", "email", "cve", "other")),
-        "source": Text(),
-        "match_type": Choice(("exact", "heuristic", "campaign_correlation")),
-        "campaign_or_actor": Text(nullable=True),
-    },
-)
-_ASSET = Section(
-    ("asset_id", "criticality"),
-    {
-        "asset_id": Text(),
-        "asset_type": Choice(("workstation", "server", "network_device", "cloud_resource", "user_account", "other")),
-        "criticality": Choice(("low", "medium", "high", "mission_critical")),
-        "owner": Text(),
-    },
-)
-_RELATED = Section(
-    ("event_id", "relationship"),
-    {
-        "event_id": Text(),
-        "relationship": Choice(
-            ("same_asset", "same_actor_indicator", "temporal_correlation", "same_campaign", "other")
-        ),
-    },
-)
-_AUDIT = Section(
-    ("actor", "actor_type", "action", "timestamp"),
-    {
-        "actor": Text(),
-        "actor_type": Choice(("human", "system")),
-        "action": Text(),
-        "timestamp": Text(date_time=True),
-        "notes": Text(),
-    },
-)
-EVENT_CONTRACT = Section(
-    ("event", "enrichment", "confidence", "approval", "audit_trail"),
-    {
-        "event": Section(
+EVENT_CONTRACT = Contract(
+    _section(
+        ("event", "enrichment", "confidence", "approval", "audit_trail"),
+        event=_section(
             ("event_id", "timestamp", "source", "event_type", "severity"),
-            {
-                "event_id": Text(min_length=1),
-                "timestamp": Text(date_time=True),
-                "source": Text(min_length=1),
-                "event_type": Choice(
-                    (
-                        "authentication", "malware_detection", "network_intrusion", "data_exfiltration",
-                        "privilege_escalation", "policy_violation", "insider_activity", "vulnerability", "other",
-                    )
-                ),
-                "severity": Choice(("informational", "low", "medium", "high", "critical")),
-                "description": Text(),
-            },
+            event_id=_text(minLength=1),
+            timestamp=_text(**_TIME),
+            source=_text(minLength=1),
+            event_type=_choice(
+                "authentication", "malware_detection", "network_intrusion", "data_exfiltration",
+                "privilege_escalation", "policy_violation", "insider_activity", "vulnerability", "other",
+            ),
+            severity=_choice("informational", "low", "medium", "high", "critical"),
+            description=_text(),
         ),
-        "enrichment": Section(
+        enrichment=_section(
             ("threat_intel_matches", "asset_context", "related_events"),
-            {"threat_intel_matches": Items(_MATCH), "asset_context": _ASSET, "related_events": Items(_RELATED)},
+            threat_intel_matches=_list(
+                _section(
+                    ("indicator", "indicator_type", "source", "match_type"),
+                    indicator=_text(),
+                    indicator_type=_choice("ip", "domain", "url", "file_hash", "email", "cve", "other"),
+                    source=_text(),
+                    match_type=_choice("exact", "heuristic", "campaign_correlation"),
+                    campaign_or_actor=_MAYBE,
+                )
+            ),
+            asset_context=_section(
+                ("asset_id", "criticality"),
+                asset_id=_text(),
+                asset_type=_choice("workstation", "server", "network_device", "cloud_resource", "user_account", "other"),
+                criticality=_choice("low", "medium", "high", "mission_critical"),
+                owner=_text(),
+            ),
+            related_events=_list(
+                _section(
+                    ("event_id", "relationship"),
+                    event_id=_text(),
+                    relationship=_choice("same_asset", "same_actor_indicator", "temporal_correlation", "same_campaign", "other"),
+                )
+            ),
         ),
-        "confidence": Section(
+        confidence=_section(
             ("scale", "overall_score", "overall_label", "applies_to"),
-            {
-                "scale": Fixed("0-100"),
-                "overall_score": Number(0, 100),
-                "overall_label": Choice(("low", "medium", "high", "very_high")),
-                "applies_to": Items(Text(), min_items=1),
-                "field_scores": Items(Section(("field", "score"), {"field": Text(), "score": Number(0, 100)})),
-            },
+            scale=_text(const="0-100"),
+            overall_score=_SCORE,
+            overall_label=_choice("low", "medium", "high", "very_high"),
+            applies_to=_list(_text(), minItems=1),
+            field_scores=_list(_section(("field", "score"), field=_text(), score=_SCORE)),
         ),
-        "approval": Section(
-            ("approval_status",),
-            {
-                "approval_status": Choice(("pending", "approved", "rejected", "auto_approved", "not_required")),
-                "approver_id": Text(nullable=True),
-                "approval_timestamp": Text(nullable=True, date_time=True),
-                "proposed_action": Text(nullable=True),
-            },
-            approval_rules=True,
+        approval={
+            **_section(
+                ("approval_status",),
+                approval_status=_choice("pending", "approved", "rejected", "auto_approved", "not_required"),
+                approver_id=_MAYBE,
+                approval_timestamp=_MAYBE | _TIME,
+                proposed_action=_MAYBE,
+            ),
+            "allOf": [
+                {"if": {"properties": {"approval_status": {"const": "pending"}}}, "then": {"properties": {"approver_id": {"const": None}, "approval_timestamp": {"const": None}}}},
+                {
+                    "if": {"properties": {"approval_status": {"enum": ["approved", "rejected"]}}},
+                    "then": {"required": ["approver_id", "approval_timestamp"], "properties": {"approver_id": _text(minLength=1), "approval_timestamp": _text(**_TIME)}},
+                },
+            ],
+        },
+        audit_trail=_list(
+            _section(
+                ("actor", "actor_type", "action", "timestamp"),
+                actor=_text(), actor_type=_choice("human", "system"), action=_text(), timestamp=_text(**_TIME), notes=_text(),
+            ),
+            minItems=1,
         ),
-        "audit_trail": Items(_AUDIT, min_items=1),
-    },
-)
-DECIDED = ("approved", "rejected")
-# sections whose absence is reported first, with the fields they need
-MANDATORY = {"confidence": EVENT_CONTRACT.fields["confidence"].required, "approval": ("approval_status",)}
-
-# type names of VARIANT; all others are numbers
-_KINDS = {"STRING": "string", "VOID": "null", "OBJECT": "object", "ARRAY": "array", "BOOLEAN": "boolean"}
-# stands for the index in the path of a list item
-_ITEM = "#"
-_MEMBERS = "map<string,variant>"
-_PLACE = (
-    "array<struct<path:array<string>,kinds:array<string>,wanted:string,choices:array<string>,fixed:string,only_null:boolean,"
-    "min_length:int,low:double,high:double,min_items:int,required:array<string>,names:array<string>,"
-    "date_time:boolean>>"
+    ),
+    mandatory=("confidence", "approval"),
 )
 
 
-def _rule(node) -> dict:
-    if isinstance(node, Section):
-        return {"kinds": ["object"], "wanted": "'object'", "required": node.required, "names": list(node.fields)}
-    if isinstance(node, Items):
-        return {"kinds": ["array"], "wanted": "'array'", "min_items": node.min_items or None}
-    if isinstance(node, Number):
-        return {"kinds": ["number"], "wanted": "'number'", "low": node.low, "high": node.high}
-    rule = {"kinds": ["string"], "wanted": "'string'"}
-    if isinstance(node, Choice):
-        return {**rule, "choices": node.values}
-    if isinstance(node, Fixed):
-        return {**rule, "fixed": node.value}
-    if node.nullable:
-        rule = {"kinds": ["string", "null"], "wanted": "'string', 'null'"}
-    return {**rule, "min_length": node.min_length or None, "date_time": node.date_time}
-
-
-def _kind(value: Column) -> Column:
-    known = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
-    name = F.split_part(F.schema_of_variant(value), F.lit("<"), F.lit(1))
-    return F.coalesce(F.try_element_at(known, name), F.lit("number"))
-
-
-def _text(value: Column) -> Column:
-    return value.try_cast("string")
-
-
-def _quote(text: Column) -> Column:
-    double = text.contains("'") & ~text.contains('"')
-    return F.when(double, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(
-        F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("'"))
-    )
-
-
-def _keys(value: Column) -> Column:
-    return F.when(_kind(value) == "object", F.map_keys(value.cast(_MEMBERS)))
-
-
-class _Opener:
-    """Lists the nodes of a record, and the path and rule of each place in the contract."""
-
-    def __init__(self, root: Column):
-        self.root = root
-        self.places: list[dict] = []
-        self.nodes: list[Column] = []
-        self.lists: list[Column] = []
-
-    def node(self, path: list[str], rule: dict, value: Column, item: Column | None = None) -> Column:
-        place = {"path": path, **rule}
-        if place not in self.places:
-            self.places.append(place)
-        return F.struct(
-            F.lit(self.places.index(place)).alias("place"),
-            (F.lit(None).cast("int") if item is None else item).alias("item"),
-            value.alias("value"),
-        )
-
-    def at(self, path: list[str]) -> Column:
-        return F.try_variant_get(self.root, ".".join(["$", *path]), "variant") if path else self.root
-
-    def section(self, node: Section, path: list[str]) -> None:
-        self.nodes.append(self.node(path, _rule(node), self.at(path)))
-        for name, child in node.fields.items():
-            below = [*path, name]
-            if isinstance(child, Section):
-                self.section(child, below)
-            elif isinstance(child, Items):
-                self.items(child, below)
-            else:
-                self.nodes.append(self.node(below, _rule(child), self.at(below)))
-        if node.approval_rules:
-            self.approval(path)
-
-    def items(self, node: Items, path: list[str]) -> None:
-        value = self.at(path)
-        self.nodes.append(self.node(path, _rule(node), value))
-        items = F.when(_kind(value) == "array", value.cast("array<variant>"))
-        here = [*path, _ITEM]
-
-        def one(item, i):
-            found = [self.node(here, _rule(node.of), item, i)]
-            if isinstance(node.of, Section):
-                for n, c in node.of.fields.items():
-                    inner = F.try_variant_get(item, f"$.{n}", "variant")
-                    found.append(self.node([*here, n], _rule(c), inner, i))
-            return F.array(*found)
-
-        self.lists.append(F.flatten(F.transform(items, one)))
-
-    def approval(self, path: list[str]) -> None:
-        """What an approval status demands; without a status both demands hold."""
-        section, status = self.at(path), self.at([*path, "approval_status"])
-        text = F.when(_kind(status) == "string", _text(status))
-        absent = status.isNull()
-        pending = absent | F.coalesce(text == "pending", F.lit(False))
-        decided = absent | F.coalesce(text.isin(list(DECIDED)), F.lit(False))
-        names = ("approver_id", "approval_timestamp")
-        for n in names:
-            below = [*path, n]
-            self.nodes.append(F.when(pending, self.node(below, {"only_null": True}, self.at(below))))
-        self.nodes.append(F.when(decided, self.node(path, {"required": names}, section)))
-        for n, rule in zip(names, (Text(min_length=1), Text(date_time=True))):
-            below = [*path, n]
-            self.nodes.append(F.when(decided, self.node(below, _rule(rule), self.at(below))))
-
-
-def _node_errors(rule: Column, strict: bool) -> tuple[Column, Column]:
-    """Whether a node row breaks its rule, and its findings in order."""
-    kind, text, keys, value = (F.col(f"_{c}") for c in ("kind", "text", "keys", "value"))
-    conditions = []
-    shown = (
-        F.when(kind == "string", _quote(text))
-        .when(kind == "null", F.lit("None"))
-        .when(kind == "boolean", F.initcap(F.to_json(value)))
-        .otherwise(F.to_json(value))
-    )
-    is_text = kind == "string"
-    number = F.when(kind == "number", F.try_variant_get(value, "$", "double"))
-
-    def listed(names):
-        return F.array_join(F.transform(names, _quote), ", ")
-
-    def finding(broken, keyword, message):
-        conditions.append(F.coalesce(broken, F.lit(False)))
-        return F.when(broken, F.struct(F.lit(keyword).alias("keyword"), message.alias("message")))
-
-    missing = F.array_except(rule["required"], keys)
-    extra = F.array_except(keys, rule["names"])
-    verb = F.when(F.size(extra) == 1, F.lit(" was unexpected)")).otherwise(F.lit(" were unexpected)"))
-    single = [
-        finding(rule["names"].isNotNull() & (F.size(extra) > 0), "additionalProperties",
-                F.concat(F.lit("Additional properties are not allowed ("), listed(F.array_sort(extra)), verb)),
-        finding(rule["choices"].isNotNull() & ~(is_text & F.array_contains(rule["choices"], F.coalesce(text, F.lit("")))),
-                "enum", F.concat(shown, F.lit(" is not one of ["), listed(rule["choices"]), F.lit("]"))),
-        finding(rule["fixed"].isNotNull() & ~(is_text & (text == rule["fixed"])),
-                "const", F.concat(_quote(rule["fixed"]), F.lit(" was expected"))),
-        finding(rule["only_null"] & (kind != "null"), "const", F.lit("None was expected")),
-        finding(is_text & (F.length(text) < rule["min_length"]), "minLength", F.lit("'' should be non-empty")),
-        finding(number < rule["low"], "minimum",
-                F.concat(shown, F.lit(" is less than the minimum of "), rule["low"].cast("int").cast("string"))),
-        finding(number > rule["high"], "maximum",
-                F.concat(shown, F.lit(" is greater than the maximum of "), rule["high"].cast("int").cast("string"))),
-        finding(rule["min_items"].isNotNull() & (F.to_json(value) == "[]"),
-                "minItems", F.lit("[] should be non-empty")),
-    ]
-    if strict:
-        zoned = text.rlike(r"(?i)T.*(?:Z|[+-]\d\d:\d\d)\z") & parse_telemetry_time(text).isNotNull()
-        single.append(
-            finding(is_text & rule["date_time"] & ~zoned, "format", F.concat(_quote(text), F.lit(" is not a 'date-time'")))
-        )
-    wrong_type = finding(
-        ~F.array_contains(rule["kinds"], kind), "type", F.concat(shown, F.lit(" is not of type "), rule["wanted"])
-    )
-    required = F.transform(
-        F.coalesce(missing, F.array().cast("array<string>")),
-        lambda n: F.struct(
-            F.lit("required").alias("keyword"), F.concat(_quote(n), F.lit(" is a required property")).alias("message")
-        ),
-    )
-    conditions.append(F.coalesce(rule["required"].isNotNull() & (F.size(missing) > 0), F.lit(False)))
-    found = F.filter(F.concat(F.array(wrong_type), required, F.array(*single)), lambda e: e.isNotNull())
-    return reduce(Column.__or__, conditions), found
-
-
-def _mandatory(root: Column) -> list[Column]:
-    """Messages on the mandatory sections, the last of them first."""
-    sections = {n: F.try_variant_get(root, f"$.{n}", "variant") for n in MANDATORY}
-    absent = F.filter(
-        F.array(*[F.when(v.isNull(), F.lit(n)) for n, v in sections.items()]), lambda n: n.isNotNull()
-    )
-    top = F.when(
-        F.size(absent) > 0,
-        F.concat(F.lit("Missing required top-level field(s): "), F.array_join(absent, ", ")),
-    )
-    inner = []
-    for name, required in reversed(MANDATORY.items()):
-        gone = F.array_except(F.array(*[F.lit(r) for r in required]), _keys(sections[name]))
-        inner.append(
-            F.when(
-                (F.size(absent) == 0) & (F.size(gone) > 0),
-                F.concat(F.lit(f"Missing required {name} field(s): "), F.array_join(gone, ", ")),
-            )
-        )
-    return [top, *inner]
-
-
-def _contract_findings(df: DataFrame, json: str, keys: list[str], strict: bool) -> DataFrame:
-    """Unordered findings: keys, ``_order`` (path, node, rule), ``path``, ``keyword``, ``message``."""
+def read_contract(spark: SparkSession, path: str, mandatory: tuple[str, ...] = ()) -> Contract:
+    """The contract in a JSON Schema file."""
+    return Contract(read_schema(spark, path), mandatory)
+
+
+def _whole(schema: Schema, contract: Contract) -> str:
+    """Findings on the record as a whole: text that is not JSON, then the mandatory sections, the last of them first."""
+    none = schema.add_rule((), "json", "text", "record is not valid JSON", whole=True)
+    found = [f"CASE WHEN _v IS NULL THEN {schema.entry(none)} END"]
+    if contract.mandatory:
+        sections = {n: f"try_element_at({members('_v')}, {literal(n)})" for n in contract.mandatory}
+        absent = f"filter(array({', '.join(f'CASE WHEN {v} IS NULL THEN {literal(n)} END' for n, v in sections.items())}), n -> n IS NOT NULL)"
+        top = schema.add_rule((), "mandatory", "plain", "Missing required top-level field(s): ", whole=True)
+        found.append(f"CASE WHEN size({absent}) > 0 THEN {schema.entry(top, names=absent)} END")
+        for name in reversed(contract.mandatory):
+            own = ", ".join(map(literal, required_of(contract.schema, name)))
+            gone = f"array_except(CAST(array({own}) AS array<string>), map_keys({members(sections[name])}))"
+            rule = schema.add_rule((), "mandatory", "plain", f"Missing required {name} field(s): ", whole=True)
+            found.append(f"CASE WHEN size({absent}) = 0 AND size({gone}) > 0 THEN {schema.entry(rule, names=gone)} END")
+    return f"filter(array({', '.join(found)}), e -> e IS NOT NULL)"
+
+
+def _opened(df: DataFrame, json: str, keys: list[str]) -> DataFrame:
+    """The keys and the record as ``_v``, null where the text is not JSON."""
     # through generators, so that the text is parsed once whatever reads the value
-    parsed = df.select(*keys, F.inline(F.array(F.struct(parse_pair(F.col(json)).alias("_pair"))))).select(
-        *keys, F.inline(F.array(F.struct(strict_value(F.col("_pair")).alias("_v"))))
-    )
-    opener = _Opener(F.col("_v"))
-    opener.section(EVENT_CONTRACT, [])
-    parts = F.filter(F.array(F.array(*opener.nodes), *opener.lists), lambda part: part.isNotNull())
-    present = F.filter(F.flatten(parts), lambda n: n["value"].isNotNull())
-    places = F.from_json(F.lit(js.dumps(opener.places)), _PLACE)
-    value, kind = F.col("_n.value"), _kind(F.col("_n.value"))
-    # the facts about a node go through a generator, so that the filter below reads each of them
-    # once instead of repeating its expression
-    facts = F.struct(
-        F.col("_n.place").alias("_place"),
-        F.col("_n.item").alias("_item"),
-        value.alias("_value"),
-        kind.alias("_kind"),
-        F.when(kind == "string", _text(value)).alias("_text"),
-        F.when(kind == "object", F.map_keys(value.cast(_MEMBERS))).alias("_keys"),
-        F.col("_n.keyword").alias("_keyword"),
-        F.col("_n.message").alias("_message"),
-    )
-
-    def whole(keyword, message):
-        return F.when(message.isNotNull(), F.struct(F.lit(keyword).alias("keyword"), message.alias("message")))
-
-    not_json = F.when(F.col("_v").isNull(), F.lit("record is not valid JSON"))
-    records = F.array(whole("json", not_json), *[whole("mandatory", m) for m in _mandatory(F.col("_v"))])
-    # nodes and findings on the whole record, one after the other
-    entries = F.concat(
-        F.transform(present, lambda n: F.struct(n["place"].alias("place"), n["item"].alias("item"), n["value"].alias("value"),
-                                                F.lit(None).cast("string").alias("keyword"), F.lit(None).cast("string").alias("message"))),
-        F.transform(F.filter(records, lambda e: e.isNotNull()), lambda e: F.struct(
-            F.lit(None).cast("int").alias("place"), F.lit(None).cast("int").alias("item"), F.try_parse_json(F.lit(None).cast("string")).alias("value"),
-            e["keyword"].alias("keyword"), e["message"].alias("message"))),
-    )
-    nodes = parsed.select(*keys, F.posexplode(entries).alias("_node", "_n")).select(*keys, "_node", F.inline(F.array(facts)))
-    place = F.get(places, F.col("_place"))
-    broken, found = _node_errors(place, strict)
-    # list indexes in fixed width sort by number
-    steps = F.transform(
-        place["path"], lambda p: F.when(p == _ITEM, F.lpad(F.col("_item").cast("string"), 10, "0")).otherwise(p)
-    )
-    plain = F.transform(
-        place["path"], lambda p: F.when(p == _ITEM, F.col("_item").cast("string")).otherwise(p)
-    )
-    path = F.when(F.size(plain) == 0, F.lit("(root)")).otherwise(F.array_join(plain, "."))
-    on_record = F.col("_message").isNotNull()
-    errors = F.when(on_record, F.array(F.struct(F.col("_keyword").alias("keyword"), F.col("_message").alias("message")))).otherwise(found)
-    return (
-        nodes.where(F.coalesce(broken, F.lit(False)) | on_record)
-        .select(
-            *keys, "_node", F.when(on_record, F.array().cast("array<string>")).otherwise(steps).alias("_path"),
-            F.when(on_record, F.lit("(root)")).otherwise(path).alias("path"), on_record.alias("_whole"), F.posexplode(errors).alias("_i", "_e"),
-        )
-        .select(
-            *keys,
-            F.struct(F.when(F.col("_whole"), 0).otherwise(1).alias("kind"), "_path", "_node", "_i").alias("_order"),
-            "path",
-            F.col("_e.keyword").alias("keyword"),
-            F.when(F.col("_whole"), F.col("_e.message")).otherwise(F.concat(F.lit("["), "path", F.lit("] "), "_e.message")).alias("message"),
-        )
-    )
-
-
-def validate_events(df: DataFrame, json: str, keys: list[str], strict_formats: bool = False) -> DataFrame:
+    return df.select(*keys, F.inline(F.array(F.struct(parse_pair(F.col(json)).alias("_pair"))))).select(*keys, F.inline(F.array(F.struct(strict_value(F.col("_pair")).alias("_v")))))
+
+
+def _broken(df: DataFrame, json: str, keys: list[str], strict: bool, contract: Contract) -> DataFrame:
+    """Keys and value of the records with findings. What is mandatory is required too, so the schema decides."""
+    schema = Schema(_with_mandatory(contract), strict)
+    return _opened(df, json, keys).where(F.col("_v").isNull() | ~schema.valid("_v"))
+
+
+def _with_mandatory(contract: Contract) -> dict:
+    """The schema, with the mandatory members required where it does not do so itself."""
+    further = [n for n in contract.mandatory if n not in contract.schema.get("required", ())]
+    return {**{k: contract.schema[k] for k in ("definitions", "$defs") if k in contract.schema}, "allOf": [contract.schema, {"required": further}]} if further else contract.schema
+
+
+def _contract_findings(df: DataFrame, json: str, keys: list[str], strict: bool, contract: Contract) -> DataFrame:
+    """Unordered findings: keys, ``_order`` (path, then place in the schema), ``path``, ``keyword``, ``message``."""
+    schema = Schema(contract.schema, strict)
+    found = F.expr(f"concat({_whole(schema, contract)}, {schema.findings_sql('_v')})")
+    read = _broken(df, json, keys, strict, contract).select(*keys, F.posexplode(found).alias("_i", "_f")).select(*keys, "_i", schema.described(F.col("_f")).alias("_d"))
+    path = F.when(F.size("_d.path") == 0, F.lit("(root)")).otherwise(F.array_join("_d.path", "."))
+    order = F.struct((~F.col("_d.whole")).alias("inside"), F.col("_d.steps").alias("steps"), F.col("_i").alias("i"))
+    message = F.when(F.col("_d.whole"), F.col("_d.message")).otherwise(F.concat(F.lit("["), path, F.lit("] "), F.col("_d.message")))
+    return read.select(*keys, order.alias("_order"), path.alias("path"), F.col("_d.keyword").alias("keyword"), message.alias("message"))
+
+
+def validate_events(df: DataFrame, json: str, keys: list[str], strict_formats: bool = False, contract: Contract = EVENT_CONTRACT) -> DataFrame:
     """One row per finding: the key columns, ``position`` from 1, ``path``, ``keyword``, ``message``.
 
     ``keys`` identify a record. Findings on the mandatory sections come first, the others by path.
@@ -410,24 +181,22 @@ def validate_events(df: DataFrame, json: str, keys: list[str], strict_formats: b
     """
     # a window over the findings of one record
     order = Window.partitionBy(*keys).orderBy("_order")
-    found = _contract_findings(df, json, keys, strict_formats)
-    return found.withColumn("position", F.row_number().over(order)).select(
-        *keys, "position", "path", "keyword", "message"
-    )
+    found = _contract_findings(df, json, keys, strict_formats, contract)
+    return found.withColumn("position", F.row_number().over(order)).select(*keys, "position", "path", "keyword", "message")
 
 
-def broken_events(df: DataFrame, json: str, keys: list[str], strict_formats: bool = False) -> DataFrame:
+def broken_events(df: DataFrame, json: str, keys: list[str], strict_formats: bool = False, contract: Contract = EVENT_CONTRACT) -> DataFrame:
     """The keys of records with findings."""
-    return _contract_findings(df, json, keys, strict_formats).select(*keys).distinct()
+    return _broken(df, json, keys, strict_formats, contract).select(*keys).distinct()
 
 
-def valid_events(df: DataFrame, json: str, keys: list[str], strict_formats: bool = False) -> DataFrame:
+def valid_events(df: DataFrame, json: str, keys: list[str], strict_formats: bool = False, contract: Contract = EVENT_CONTRACT) -> DataFrame:
     """The records without findings."""
-    return df.join(broken_events(df, json, keys, strict_formats), keys, "left_anti")
+    return df.join(broken_events(df, json, keys, strict_formats, contract), keys, "left_anti")
 
 
-def contract_summary(df: DataFrame, json: str, keys: list[str], strict_formats: bool = False) -> DataFrame:
+def contract_summary(df: DataFrame, json: str, keys: list[str], strict_formats: bool = False, contract: Contract = EVENT_CONTRACT) -> DataFrame:
     """One row: records, valid and invalid."""
     total = df.agg(F.count("*")).scalar()
-    broken = broken_events(df, json, keys, strict_formats).agg(F.count("*").alias("n_invalid"))
+    broken = broken_events(df, json, keys, strict_formats, contract).agg(F.count("*").alias("n_invalid"))
     return broken.select(total.alias("n_records"), (total - F.col("n_invalid")).alias("n_valid"), "n_invalid")
