@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.information import neighbour_information
 from tidewatch.operators.ordering import quantiles
 
 # Fixed value: columns that are never features.
@@ -91,7 +92,7 @@ def scale(df: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataFrame:
     return df.withColumns({c: (F.col(c).cast("double") - F.lit(a)) / F.lit(b) for c, (a, b) in scaler.items()})
 
 
-def bin_edges(df: DataFrame, columns: list[str], bins: int, approximate: bool = True) -> dict[str, list[float]]:
+def bin_edges(df: DataFrame, columns: list[str], bins: int, approximate: bool = False) -> dict[str, list[float]]:
     """Inner quantile edges per column."""
     probs = [i / bins for i in range(1, bins)]
     if approximate:
@@ -105,7 +106,7 @@ def bin_edges(df: DataFrame, columns: list[str], bins: int, approximate: bool =
 
 
 def mutual_information(
-    df: DataFrame, columns: list[str], label: str, bins: int = 10, approximate: bool = True
+    df: DataFrame, columns: list[str], label: str, bins: int = 10, approximate: bool = False
 ) -> DataFrame:
     """Rows of (feature, mutual_info) in nats between the binned feature and the label.
 
@@ -139,10 +140,15 @@ def mutual_information(
 
 
 def select_features(
-    df: DataFrame, columns: list[str], label: str, k: int = 35, bins: int = 10, approximate: bool = True
+    df: DataFrame, columns: list[str], label: str, k: int = 35, bins: int = 10, approximate: bool = False, method: str = "bins"
 ) -> list[str]:
-    """The k columns with the highest mutual information, in table order."""
-    scores = mutual_information(df, columns, label, bins, approximate)
+    """The k columns with the highest mutual information, in table order, by binned values or by ``neighbours``."""
+    if method == "neighbours":
+        scores = neighbour_information(df, columns, label)
+    elif method == "bins":
+        scores = mutual_information(df, columns, label, bins, approximate)
+    else:
+        raise ValueError(f"unknown method: {method!r}")
     best = {r["feature"] for r in scores.orderBy(F.desc("mutual_info"), "feature").limit(k).collect()}
     return [c for c in columns if c in best]
 
@@ -166,14 +172,14 @@ class Preparation:
 
 def prepare(
     train: DataFrame, columns: list[str], label: str, k: int = 35, strategy: str = "median", kind: str = "standard",
-    bins: int = 10, approximate: bool = True,
+    bins: int = 10, approximate: bool = False, method: str = "bins",
 ) -> Preparation:
     """Learn from the distinct training rows: fill values, then the scaler, then the ``k`` columns that tell most."""
     rows = drop_duplicate_rows(train)
     fills = fill_values(rows, columns, strategy)
     filled = impute(rows, fills)
     scaler = fit_scaler(filled, columns, kind)
-    return Preparation(fills, scaler, select_features(filled, columns, label, k, bins, approximate))
+    return Preparation(fills, scaler, select_features(filled, columns, label, k, bins, approximate, method))
 
 
 def apply(prepared: Preparation, df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.operators import preparation, profile
+from tidewatch.operators import information, preparation, profile
 from tidewatch.operators.ordering import quantiles
 from tidewatch.plans import inputs
 from tidewatch.plans.inputs import round6, sql6
@@ -106,6 +106,16 @@ def mutual_information(spark, sf):
     return m.select("feature", round6("mutual_info").alias("mutual_info"))
 
 
+_MEASURES = {"quantity": "l_quantity", "price": "round(l_extendedprice * 100)", "reduction": "round(l_discount * 100)"}
+
+
+def neighbour_information(spark, sf):
+    """What the measures of a line tell of its return flag, by nearest neighbours."""
+    lines = inputs.table(spark, sf, "lineitem").select("l_returnflag", *[F.expr(e).cast("double").alias(c) for c, e in _MEASURES.items()])
+    found = information.neighbour_information(lines, list(_MEASURES), "l_returnflag")
+    return found.select("feature", F.floor(F.col("mutual_info") * 1e9 + 0.5).alias("mutual_info_e9"))
+
+
 def flow_features(spark, sf):
     """Derived flow features, with an order line as a flow."""
     flows = inputs.table(spark, sf, "lineitem").select(
@@ -138,7 +148,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         null_counts, duplicate_rows, distinct_rows, class_distribution, imbalance_ratio, outlier_counts, exact_quantiles, box_stats,
-        histogram, describe, variance_rank, imputed_medians, scaled_features, scaled_minmax, mutual_information,
+        histogram, describe, variance_rank, imputed_medians, scaled_features, scaled_minmax, mutual_information, neighbour_information,
         flow_features, class_weights, table_checksum,
     )
 }
@@ -195,6 +205,20 @@ ORACLES = {
         SELECT l_returnflag, count(*) AS n, {sql6('avg(coalesce(l_quantity, q))')} AS avg_quantity, {sql6('avg(coalesce(l_tax, t))')} AS avg_tax FROM gaps, m GROUP BY 1""",
     "scaled_features": "SELECT p_partkey, " + ", ".join(f"{sql6(f'({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()')} AS {c}" for c in _PART) + " FROM part",
     "scaled_minmax": "SELECT p_partkey, " + ", ".join(f"{sql6(f'({c} - min({c}) OVER ()) / CAST(max({c}) OVER () - min({c}) OVER () AS DOUBLE)')} AS {c}" for c in _PART) + " FROM part",
+    "neighbour_information": """WITH v AS (SELECT l_returnflag AS y, unnest(['quantity', 'price', 'reduction']) AS feature,
+          unnest([CAST(l_quantity AS DOUBLE), round(l_extendedprice * 100), round(l_discount * 100)]) AS x FROM lineitem),
+        c AS (SELECT feature, y, x, count(*) AS n FROM v GROUP BY ALL), s AS (SELECT feature, y, sum(n) AS cn FROM c GROUP BY ALL),
+        around AS (SELECT feature, y, x, n, unnest([0.0, x - lag(x, 1) OVER w, x - lag(x, 2) OVER w, x - lag(x, 3) OVER w, lead(x, 1) OVER w - x, lead(x, 2) OVER w - x, lead(x, 3) OVER w - x]) AS d,
+          unnest([n - 1, lag(n, 1) OVER w, lag(n, 2) OVER w, lag(n, 3) OVER w, lead(n, 1) OVER w, lead(n, 2) OVER w, lead(n, 3) OVER w]) AS m FROM c WINDOW w AS (PARTITION BY feature, y ORDER BY x)),
+        cum AS (SELECT *, sum(m) OVER (PARTITION BY feature, y, x ORDER BY d ROWS UNBOUNDED PRECEDING) AS reached FROM around WHERE d IS NOT NULL),
+        r AS (SELECT feature, y, x, n, min(d) FILTER (reached >= 3) AS d FROM cum GROUP BY ALL),
+        p AS (SELECT feature, x, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY feature ORDER BY x) AS cum FROM c GROUP BY feature, x),
+        m AS (SELECT r.feature, r.y, r.n, CASE WHEN r.d = 0 THEN r.n ELSE 3 END AS k, CAST(CASE WHEN r.d = 0 THEN e.n ELSE hi.cum - coalesce(lo.cum, 0) END AS BIGINT) AS m FROM r JOIN p e ON r.feature = e.feature AND r.x = e.x
+          ASOF JOIN p hi ON r.feature = hi.feature AND r.x + r.d + CASE WHEN r.d = 0 THEN 1 ELSE 0 END > hi.x ASOF LEFT JOIN p lo ON r.feature = lo.feature AND r.x - r.d >= lo.x),
+        h AS (SELECT i + 1 AS n, sum(1.0::DOUBLE / i) OVER (ORDER BY i) - 0.5772156649015329::DOUBLE AS psi FROM range(1, (SELECT count(*) + 1 FROM lineitem)) t(i)
+          UNION ALL SELECT 1, -0.5772156649015329::DOUBLE)
+        SELECT m.feature, CAST(floor(greatest(0, max(a.psi) + sum(m.n * (hk.psi - hc.psi - hm.psi)) / sum(m.n)) * 1e9 + 0.5) AS BIGINT) AS mutual_info_e9
+        FROM m JOIN s USING (feature, y) JOIN h hc ON hc.n = s.cn JOIN h hm ON hm.n = m.m JOIN h hk ON hk.n = m.k JOIN h a ON a.n = (SELECT count(*) FROM lineitem) GROUP BY m.feature""",
     "mutual_information": "WITH " + ", ".join(
         f"""b_{c} AS (SELECT {_MI_BIN.replace('{c}', c)} AS b, l_returnflag AS y FROM lineitem, (SELECT {_MI_EDGES.replace('{c}', c)} FROM lineitem)),
         c_{c} AS (SELECT b, y, count(*) AS n FROM b_{c} GROUP BY 1, 2),
