@@ -6,13 +6,14 @@ ids of all texts of a slice are gathered with numpy. The table of known pieces i
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain, repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 
-TABLE_PIECES = 600_000
+TABLE_PIECES = 200_000
 TABLE_CHARS = 64
 
 #: The ids of pieces, one after the other, and how many each has.
@@ -31,6 +32,21 @@ def gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - counts), counts) + np.arange(total)
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Parts of the batches with at most ``limit`` bytes of text, or one row; only the texts of one part are Python objects at a time."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = sizes[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(sizes, before + limit, side="right")))
+            part = batch.slice(start, end - start)
+            yield part, part.column(text).to_pylist()
+            start = end
+
+
 class Lists:
     """Id lists by number, one after the other; ``put`` adds some."""
 
@@ -70,21 +86,34 @@ class PieceCache:
         """The number of each piece, for ``lists`` and ``usable`` until the next call, and the first piece of each list."""
         first = np.zeros(len(lists) + 1, np.int64)
         np.cumsum([len(x) for x in lists], out=first[1:])
-        every = np.empty(int(first[-1]), dtype=object)
-        every[:] = list(chain.from_iterable(lists))
-        codes, distinct = pd.factorize(every)
+        every = list(chain.from_iterable(lists))
+        rows = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
         if len(self.usable) > self.pieces:
-            self._clear()
-        rows = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
-        new = np.flatnonzero(rows < 0)
-        if len(new):
-            pieces = distinct[new].tolist()
+            rows = self._shrink(rows)
+        missing = np.flatnonzero(rows < 0)
+        if len(missing):
+            lacking = [every[k] for k in missing]
+            pieces = list(dict.fromkeys(lacking))
             found = [encode(pieces) for encode in self.encoders]
             start = len(self.usable)
             for store, own in zip(self.lists, found, strict=True):
                 store.put(*own)
-            good = np.ones(len(new), bool) if self.sound is None else self.sound(pieces, *found)
+            good = np.ones(len(pieces), bool) if self.sound is None else self.sound(pieces, *found)
             self.usable = np.concatenate((self.usable, good))
-            rows[new] = np.arange(start, start + len(new))
-            self.known.update((p, k) for k, p in enumerate(pieces, start) if len(p) <= TABLE_CHARS)
-        return rows[codes] if len(codes) else np.zeros(0, np.int64), first
+            own = {p: k for k, p in enumerate(pieces, start)}
+            rows[missing] = np.fromiter(map(own.__getitem__, lacking), np.int64, len(lacking))
+            self.known.update(own if max(map(len, pieces)) <= TABLE_CHARS else {p: k for p, k in own.items() if len(p) <= TABLE_CHARS})
+        return rows, first
+
+    def _shrink(self, rows: np.ndarray) -> np.ndarray:
+        """Keep what the texts at hand use, which are the frequent pieces; their new numbers for ``rows``."""
+        kept = np.unique(rows[rows >= 0])
+        place = np.full(len(self.usable) + 1, -1)
+        place[kept] = np.arange(len(kept))
+        self.known = {p: int(place[k]) for p, k in self.known.items() if place[k] >= 0}
+        for store in self.lists:
+            ids, counts = store.take(kept)
+            store.__init__()
+            store.put(ids, counts)
+        self.usable = self.usable[kept]
+        return place[rows]  # -1 stays -1

@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewatch.llm.common import slices
-from tidewatch.llm.piece_cache import Encoder, PieceCache, flat, gather
+from tidewatch.llm.piece_cache import Encoder, PieceCache, flat, gather, text_slices
 from tidewatch.session import materialize
 
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
@@ -44,7 +43,6 @@ ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    ⁠　﻿]")
 RUN = re.compile(rf"[ \n][{SPACE}]|[\t\x0B-\r\x00]")
 PART_PIECES = 64
 SLICE_CHARS = 1_000_000
-TABLE_PIECES = 250_000
 #: How ids are stored between the passes, and how many of one side are merged at once.
 ID = np.dtype("<u2")
 BATCH_IDS = 300_000
@@ -114,7 +112,7 @@ class Both:
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b, self.splits = a, b, a.splits and b.splits
-        self.cache = PieceCache([a.encode, b.encode], self._given_back, TABLE_PIECES)
+        self.cache = PieceCache([a.encode, b.encode], self._given_back)
         self.names = {(side, mark): own.names(mark) for side, own, marks in (("a", a, ",|"), ("b", b, ",;")) for mark in marks}
 
 
@@ -256,7 +254,7 @@ def tokenize(docs: DataFrame, byte_path: str = BYTE_MODEL, piece_path: str = PIE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = models(byte_path, piece_path)
-        for batch, texts in slices(batches, text_col, SLICE_CHARS):
+        for batch, texts in text_slices(batches, text_col, SLICE_CHARS):
             ids, (parts, first), first_part = tokenized(texts, both)
             raw, inside = [], []
             for own, part, start in zip(ids, parts, first, strict=True):

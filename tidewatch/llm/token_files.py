@@ -34,9 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidewatch.llm.common import slices
 from tidewatch.llm.files import file_system
-from tidewatch.llm.piece_cache import Encoder, PieceCache, flat
+from tidewatch.llm.piece_cache import Encoder, PieceCache, flat, text_slices
 from tidewatch.session import materialize, shared_dir
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
@@ -44,7 +43,6 @@ MAGIC = b"TWIDS001"
 HEAD = len(MAGIC) + 33
 LEVEL = 3
 READ_BYTES = 4_000_000
-TABLE_PIECES = 250_000
 JOINED_WORDS = 2000
 SLICE_CHARS = 1_000_000
 #: Between ASCII white space the vocabulary of words begins anew: its pattern matches no white space, and normalization crosses none.
@@ -57,7 +55,7 @@ ONE_WORD = re.compile(rf"[{LETTERS}]+")
 FURTHER = re.compile("[\u0130\u0250-\U0010ffff]")
 WORD_END = "</w>"
 #: Full stops and commas next to other signs go with these; elsewhere they can be set apart before the text is split.
-MARKED = re.compile(rf"[^\x20\x09-\x0D{LETTERS}0-9][.,]|[.,][^\x20\x09-\x0D{LETTERS}0-9]|[\x1c-\x1f]")
+MARKED = re.compile(rf"[.,](?:(?<=[^\x20\x09-\x0D{LETTERS}0-9][.,])|[^\x20\x09-\x0D{LETTERS}0-9])|[\x1c-\x1f]")
 SPECIAL = "<|"
 _caches: dict[str, PieceCache] = {}
 
@@ -70,7 +68,7 @@ def _cache(path: str) -> PieceCache:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _caches[path] = PieceCache([_encoder(Tokenizer.from_file(path))], pieces=TABLE_PIECES)
+        _caches[path] = PieceCache([_encoder(Tokenizer.from_file(path))])
     return _caches[path]
 
 
@@ -107,7 +105,7 @@ def pieces_of(text: str | None) -> list[str]:
     """Parts of a text that are encoded alone; Latin letters are lower-cased, as the vocabulary does."""
     if not text:
         return []
-    if SPECIAL in text or FURTHER.search(text):
+    if SPECIAL in text or not text.isascii() and FURTHER.search(text):
         return WORD.findall(text)
     text = text.lower()
     return PLAIN.findall(text) if MARKED.search(text) else text.replace(".", " . ").replace(",", " , ").split()
@@ -155,7 +153,7 @@ def _writer(folder: str, dictionary: bytes, path: str, end_id: int, width: int,
         store, root = file_system(folder)
         name, out, offset, total, index = f"ids-{uuid.uuid4().hex}.twids", None, HEAD, 0, []
         try:
-            for batch, texts in slices(batches, "_text", SLICE_CHARS):
+            for batch, texts in text_slices(batches, "_text", SLICE_CHARS):
                 if out is None:
                     out = store.open_output_stream(posixpath.join(root, name), compression=None)
                     out.write(MAGIC + digest + bytes([width]))
