@@ -38,3 +38,36 @@ def test_repeats_across_batches_are_dropped(spark, tmp_path):
     events = spark.readStream.schema("event_id string, t timestamp").option("maxFilesPerTrigger", 1).parquet(source)
     out = jobs.run_available(jobs.unique_events(events, "event_id", "t"), "u")
     assert sorted(r.event_id for r in out.collect()) == ["a", "b", "c"]
+
+
+def test_gaps_go_back_over_batches_and_restarts(spark, tmp_path):
+    def login(text, user="u"):
+        return (text, "AUTH", user, "1.1.1.1", "h", "SUCCESS", None, None, None)
+
+    source, base = str(tmp_path / "in"), str(tmp_path / "job")
+    # the second batch has a row that is earlier than all of the first, inside the delay; the third one that is too late
+    batches = [
+        [login("2026-07-20 09:30:00"), login("2026-07-20 09:50:00"), login("2026-07-20 10:10:00"), login("2026-07-20 09:00:00", "v")],
+        [login("2026-07-20 09:10:00"), login("2026-07-20 11:10:00"), login("2026-07-20 18:00:00")],
+        [login("2026-07-20 09:05:00"), login("2026-07-20 18:30:00"), login("2026-07-20 19:00:00", "v")],
+    ]
+    seen = []
+    for k in range(len(batches) + 1):
+        text = spark.createDataFrame(batches[k], SCHEMA.replace("timestamp timestamp", "timestamp string")).withColumn("timestamp", F.col("timestamp").cast("timestamp")) if k < 3 else None
+        landing = jobs.ending(spark, spark.createDataFrame([], SCHEMA).schema) if text is None else text
+        landing.select(*[F.col(c) for c in spark.createDataFrame([], SCHEMA).columns]).write.mode("append").parquet(source)
+        events = spark.readStream.schema(SCHEMA).parquet(source)
+        out = jobs.run_available(jobs.login_gaps(events, "user-hour", "2 hours"), "g", base)
+        seen.append(out.count())
+    rows = sorted((r.entity_label, r.hour_bucket.hour, r.logins, r.gap_min) for r in out.collect())
+    assert rows == [("u", 9, 3, 20.0), ("u", 10, 1, 20.0), ("u", 11, 1, 60.0), ("u", 18, 2, 220.0), ("v", 9, 1, None), ("v", 19, 1, 600.0)] and seen[1] > 0 and seen[0] == 0
+
+
+def test_line_places_over_batches():
+    import pyarrow as pa
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(["x"] * len(rows)), pa.array([f for f, _ in rows]), pa.array([b for _, b in rows], pa.int64())], names=["value", "file", "block_start"])
+
+    parts = [batch([("a", 0)] * 3), batch([("a", 0), ("a", 9), ("b", 9), ("b", 9)]), batch([("b", 9), ("c", 0)])]
+    assert [b.column("place").to_pylist() for b in jobs._number_lines(iter(parts))] == [[0, 1, 2], [3, 0, 0, 1], [2, 0]]
