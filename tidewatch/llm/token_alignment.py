@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewatch.llm.piece_cache import Encoder, PieceCache, flat, gather, text_slices
+from tidewatch.llm.piece_cache import Encoder, PieceCache, byte_alphabet, flat, gather, text_slices
 from tidewatch.session import materialize
 
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
@@ -51,13 +51,6 @@ _models: dict[tuple[str, str], Both] = {}
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 characters are themselves, the others follow from U+0100 on."""
-    plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 class Side:
     """One tokenizer: the ids of pieces, the bytes of ids, and whether it begins anew at each piece."""
 

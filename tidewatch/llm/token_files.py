@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tidewatch.llm.files import file_system
-from tidewatch.llm.piece_cache import Encoder, PieceCache, flat, text_slices
+from tidewatch.llm.piece_cache import Encoder, PieceCache, byte_alphabet, flat, text_slices
 from tidewatch.session import materialize, shared_dir
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
@@ -43,8 +43,8 @@ MAGIC = b"TWIDS001"
 HEAD = len(MAGIC) + 33
 LEVEL = 3
 READ_BYTES = 4_000_000
-JOINED_WORDS = 2000
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
+TABLE_PIECES = 100_000
 #: Between ASCII white space the vocabulary of words begins anew: its pattern matches no white space, and normalization crosses none.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: In lower-case Latin texts it does so too between letters or digits and other signs, but for the apostrophe before a letter.
@@ -53,7 +53,6 @@ PLAIN = re.compile(rf"'?[{LETTERS}0-9]+(?:'[{LETTERS}0-9]+)*|[^\x20\x09-\x0D{LET
 ONE_WORD = re.compile(rf"[{LETTERS}]+")
 #: Other characters may be composed, or lower-cased by their neighbours.
 FURTHER = re.compile("[\u0130\u0250-\U0010ffff]")
-WORD_END = "</w>"
 #: Full stops and commas next to other signs go with these; elsewhere they can be set apart before the text is split.
 MARKED = re.compile(rf"[.,](?:(?<=[^\x20\x09-\x0D{LETTERS}0-9][.,])|[^\x20\x09-\x0D{LETTERS}0-9])|[\x1c-\x1f]")
 SPECIAL = "<|"
@@ -68,35 +67,25 @@ def _cache(path: str) -> PieceCache:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _caches[path] = PieceCache([_encoder(Tokenizer.from_file(path))])
+        _caches[path] = PieceCache([_encoder(Tokenizer.from_file(path))], pieces=TABLE_PIECES)
     return _caches[path]
 
 
 def _encoder(model) -> Encoder:
-    """Ids of pieces. Pieces of letters are one word each, lower-cased and composed, so many go to the vocabulary as one text, past the normalization, and are told apart by the ids that end a word."""
-    from tokenizers import Tokenizer, pre_tokenizers
+    """Ids of pieces. A piece of letters is one word, lower-cased and composed already, so it goes to the vocabulary's model at once, past normalization and cutting."""
+    model.model._resize_cache(0)  # pieces come once
+    tokenize = model.model.tokenize
+    signs = {b: c for c, b in byte_alphabet().items()}
 
-    ends = np.array([(model.id_to_token(i) or "").endswith(WORD_END) for i in range(model.get_vocab_size())])
-    words = Tokenizer(model.model)
-    words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    def word(p: str) -> list[int]:
+        return [t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(signs))]
 
     def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        single = [ONE_WORD.fullmatch(p) is not None and (p.isascii() or p.lower() == p) for p in pieces]
-        joined = [p for p, one in zip(pieces, single, strict=True) if one]
-        texts = [" ".join(joined[k : k + JOINED_WORDS]) for k in range(0, len(joined), JOINED_WORDS)]
-        word_ids, word_sizes = flat([x.ids for x in words.encode_batch_fast(texts, add_special_tokens=False)])
-        cuts = np.flatnonzero(ends[word_ids]) + 1
-        if len(cuts) != len(joined) or len(cuts) and cuts[-1] != len(word_ids):
-            raise ValueError("the vocabulary does not mark the ends of words")
-        word_sizes = np.diff(cuts, prepend=0)
-        other_ids, other_sizes = flat([x.ids for x in model.encode_batch_fast([p for p, one in zip(pieces, single, strict=True) if not one], add_special_tokens=False)])
-        mask = np.array(single, bool)
-        sizes = np.zeros(len(pieces), np.int64)
-        sizes[mask], sizes[~mask] = word_sizes, other_sizes
-        from_words = np.repeat(mask, sizes)
-        ids = np.zeros(int(sizes.sum()), np.int32)
-        ids[from_words], ids[~from_words] = word_ids, other_ids
-        return ids, sizes
+        found: list = [word(p) if ONE_WORD.fullmatch(p) and (p.isascii() or p.lower() == p) else None for p in pieces]
+        rest = [k for k, x in enumerate(found) if x is None]
+        for k, x in zip(rest, model.encode_batch_fast([pieces[k] for k in rest], add_special_tokens=False), strict=True):
+            found[k] = x.ids
+        return flat(found)
 
     return encode
 
