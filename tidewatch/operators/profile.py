@@ -78,9 +78,12 @@ def quartiles(df: DataFrame, columns: list[str], approximate: bool = False) -> D
     )
 
 
-def outlier_counts(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
-    """Rows of (feature, n_outliers): values beyond three IQRs; features without spread are left out."""
-    bounds = quartiles(df, columns, approximate).withColumn("_iqr", F.col("q3") - F.col("q1")).where("_iqr > 0")
+def outlier_counts(df: DataFrame, columns: list[str], approximate: bool = False, box: DataFrame | None = None) -> DataFrame:
+    """Rows of (feature, n_outliers): values beyond three IQRs; features without spread are left out.
+
+    ``box`` may give the quartiles, as from merged sketches; the rows are then read once.
+    """
+    bounds = (quartiles(df, columns, approximate) if box is None else box).withColumn("_iqr", F.col("q3") - F.col("q1")).where("_iqr > 0")
     far = (F.col("value") < F.col("q1") - IQR_FACTOR * F.col("_iqr")) | (
         F.col("value") > F.col("q3") + IQR_FACTOR * F.col("_iqr")
     )
@@ -90,9 +93,9 @@ def outlier_counts(df: DataFrame, columns: list[str], approximate: bool = False)
     )
 
 
-def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Quartiles, whiskers (last values within 1.5 IQRs) and the number of points beyond them."""
-    box = quartiles(df, columns)
+def box_stats(df: DataFrame, columns: list[str], box: DataFrame | None = None) -> DataFrame:
+    """Quartiles, whiskers (last values within 1.5 IQRs) and the number of points beyond them; ``box`` may give the quartiles."""
+    box = quartiles(df, columns) if box is None else box
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return unpivot(df, columns).where("value IS NOT NULL").join(F.broadcast(box), "feature").groupBy(

@@ -13,6 +13,7 @@ from tidewatch.plans import features as matrices
 from tidewatch.plans.inputs import AS_OF, NOISY_SQL, TELEMETRY_SQL, features_sql, round6, sql6
 from tidewatch.session import materialize, shared_dir
 from tidewatch.sources import features as feature_files
+from tidewatch.sources import landing
 from tidewatch.sources import logs as log_files
 from tidewatch.sources import reports as report_files
 from tidewatch.sources import telemetry as telemetry_files
@@ -73,6 +74,13 @@ def telemetry_files_counts(spark, sf):
     return telemetry_files.telemetry_counts(telemetry_files.read_telemetry(spark, _telemetry_folder(spark, sf)))
 
 
+def landed_telemetry(spark, sf):
+    """The counts of telemetry files, taken while their rows are written, and the rows that were written."""
+    folder = _folder(spark, "landed")
+    counts = landing.land_telemetry(spark, _telemetry_folder(spark, sf), folder)
+    return counts.crossJoin(spark.read.parquet(folder).agg(F.count("*").alias("n_rows")))
+
+
 def telemetry_files_rows(spark, sf):
     """Typed rows read back, by hour and kind."""
     rows = telemetry_files.load_telemetry(spark, _telemetry_folder(spark, sf))
@@ -197,7 +205,7 @@ def training_tables(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        line_files, line_fingerprints, event_files, telemetry_files_counts, telemetry_files_rows, feature_files_rows, event_issue_files,
+        line_files, line_fingerprints, event_files, telemetry_files_counts, landed_telemetry, telemetry_files_rows, feature_files_rows, event_issue_files,
         event_issue_order, matrix_issue_files, event_summary_file, matrix_summary_file, matrix_schema_faults, feature_statistics, prepared_chain,
         training_tables,
     )
@@ -216,6 +224,8 @@ ORACLES = {
         UNION ALL SELECT {", ".join("NULL" for _ in _EVENT)}, '{{broken ' || line_number FROM noisy WHERE line_number % 50 = 0""",
     "telemetry_files_counts": f"""{_TELEMETRY} SELECT count(*) + {_BROKEN} AS n_lines, {_BROKEN} AS n_malformed,
         count(*) FILTER (NOT timed) AS n_no_time, count(*) FILTER (timed) AS n_kept FROM shown""",
+    "landed_telemetry": f"""{_TELEMETRY} SELECT count(*) + {_BROKEN} AS n_lines, {_BROKEN} AS n_malformed,
+        count(*) FILTER (NOT timed) AS n_no_time, count(*) FILTER (timed) AS n_kept, count(*) FILTER (timed) AS n_rows FROM shown""",
     "telemetry_files_rows": f"""{_TELEMETRY} SELECT strftime(hour_bucket, '%Y-%m-%d %H:%M:%S') AS hour, event_type, count(*) AS n,
         CAST(sum(bytes) AS BIGINT) AS bytes, count(source_ip) AS n_source, max(port) AS port FROM shown WHERE timed GROUP BY hour_bucket, event_type""",
     "feature_files_rows": f"""WITH {features_sql('user-hour')} SELECT window_id, hour, login_failure_count, bytes_transferred, privacy_risk,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,7 @@ TELEMETRY_TYPES = {
     "protocol": "string", "client_ip": "string", "query_domain": "string", "record_type": "string",
     "response": "string",
 }
-_CORRUPT = "_corrupt_record"
+CORRUPT = "_corrupt_record"
 
 
 def read_telemetry(spark: SparkSession, path) -> DataFrame:
@@ -22,8 +22,8 @@ def read_telemetry(spark: SparkSession, path) -> DataFrame:
 
     Every field is read as text, so a value of the wrong type costs that value and not its row.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*TELEMETRY_TYPES, _CORRUPT]])
-    return spark.read.schema(schema).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*TELEMETRY_TYPES, CORRUPT]])
+    return spark.read.schema(schema).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
 
 
 def normalize_telemetry(df: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def normalize_telemetry(df: DataFrame) -> DataFrame:
     Absent columns become null, rows without a readable time are dropped.
     """
     present = dict(df.dtypes)
-    rows = df.where(F.col(_CORRUPT).isNull()) if _CORRUPT in present else df
+    rows = df.where(F.col(CORRUPT).isNull()) if CORRUPT in present else df
 
     def typed(name, wanted):
         if name not in present:
@@ -51,15 +51,19 @@ def normalize_telemetry(df: DataFrame) -> DataFrame:
 
 def telemetry_counts(df: DataFrame) -> DataFrame:
     """One row: lines read, malformed, without a readable time, and kept."""
-    bad = F.col(_CORRUPT).isNotNull()
-    timeless = ~bad & parse_telemetry_time(F.col("timestamp")).isNull()
+    bad = F.col(CORRUPT).isNotNull()
     return df.agg(
         F.count("*").alias("n_lines"),
         F.count_if(bad).alias("n_malformed"),
-        F.count_if(timeless).alias("n_no_time"),
-        F.count_if(~bad & ~timeless).alias("n_kept"),
+        F.count_if(~bad & timeless()).alias("n_no_time"),
+        F.count_if(~bad & ~timeless()).alias("n_kept"),
     )
 
 
+def timeless() -> Column:
+    """Whether a raw row has no readable time."""
+    return parse_telemetry_time(F.col("timestamp")).isNull()
+
+
 def load_telemetry(spark: SparkSession, path) -> DataFrame:
     return normalize_telemetry(read_telemetry(spark, path))
