@@ -36,6 +36,13 @@ ROWS = [
 ]
 
 
+def test_other_line_ends_are_no_white_space(spark):
+    rows = [(10 * k + i, f"own {k} {i}\nabc{end}") for k, end in enumerate([" \u2028", "\u2028", " \u2029", "\x85", " \x85", "\t\u2029"]) for i in range(5)]
+    rows += [(100 + i, f"abc \u2028 \nown {i}") for i in range(10)]
+    assert run(spark, rows) == brute(rows, 10, 1)
+    assert sum(n for _, _, _, n in run(spark, rows)) == 15
+
+
 def test_against_brute_force(spark):
     assert run(spark, ROWS) == brute(ROWS, 10, 1)
     assert run(spark, ROWS, min_docs=9, min_chars=11, batches=3, fanout=3) == brute(ROWS, 9, 11)

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import materialize, shared_dir
 
-EDGE = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+# \z, as $ also matches before a last line end of other kinds (U+0085, U+2028, U+2029)
+EDGE = r"\A[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z"
 
 
 def line_key(line: Column) -> Column:
@@ -103,11 +104,13 @@ def drop_common_lines(
         "lines",
     )
     runs = LineRuns(spark, min_docs, fanout)
-    for batch in range(batches):
-        own = hashed.where(F.col("_batch") == batch).select("_id", F.explode(F.array_distinct("_keys")).alias("_key")).where("_key IS NOT NULL")
-        runs.add(own.select("_id", "_key.h1", "_key.h2"))
-    common = materialize(runs.common(), "common")
-    runs.close()
+    try:
+        for batch in range(batches):
+            own = hashed.where(F.col("_batch") == batch).select("_id", F.explode(F.array_distinct("_keys")).alias("_key")).where("_key IS NOT NULL")
+            runs.add(own.select("_id", "_key.h1", "_key.h2"))
+        common = materialize(runs.common(), "common")
+    finally:
+        runs.close()
     hits = (
         hashed.select("_id", "_text_hash", F.posexplode("_keys").alias("_pos", "_key")).where("_key IS NOT NULL")
         .select("_id", "_text_hash", "_pos", "_key.h1", "_key.h2").join(common, ["h1", "h2"], "left_semi")
