@@ -1,5 +1,7 @@
 """Cases that were wrong once."""
 
+import math
+
 import datetime as dt
 import os
 import time
@@ -147,3 +149,19 @@ def test_entropy_by_row(spark):
     found = {r.i: (round(r.entropy, 9), r.n_chars) for r in entropy_by_row(df, "i", "t").collect()}
     direct = {r.i: round(r.e, 9) for r in df.select("i", shannon_entropy(F.col("t")).alias("e")).collect()}
     assert {i: e for i, (e, _) in found.items()} == direct and found[4] == (1.0, 100000) and found[3] == (0.0, None)
+
+
+def test_entropy_keeps_rows_apart(spark):
+    from tidewatch.functions import text
+
+    long = "ab" * text.BLOCK_CHARS + "c" * 100
+    rows = [(1, "aaaa"), (1, "abcd"), (None, "ab"), (None, "aabb"), (2, None), (2, ""), (3, long), (3, long), (None, "x" * (text.BLOCK_CHARS + 1)), (4, "\U0001f600" * text.BLOCK_CHARS + "y")]
+    found = sorted(((r.i, round(r.entropy, 9), r.n_chars) for r in entropy_by_row(spark.createDataFrame(rows, "i int, t string"), "i", "t").collect()), key=repr)
+
+    def plain(t):
+        if not t:
+            return 0.0
+        shares = [t.count(c) / len(t) for c in set(t)]
+        return round(-sum(p * math.log2(p) for p in shares) + 0.0, 9)
+
+    assert found == sorted(((i, plain(t), None if t is None else len(t)) for i, t in rows), key=repr)

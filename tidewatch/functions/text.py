@@ -32,14 +32,29 @@ def shannon_entropy(value: Column) -> Column:
     return F.when(size > 0, F.aggregate(letters, F.lit(0.0), add) + F.lit(0.0)).otherwise(F.lit(0.0))
 
 
+BLOCK_CHARS = 65_536
+
+
 def entropy_by_row(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, entropy, n_chars) for texts of any length: each character is counted once, by partial sums."""
-    char = F.explode_outer(F.regexp_extract_all(F.col(text), F.lit("(?s)."), F.lit(0)))
-    counts = df.select(F.col(key), F.length(text).cast("bigint").alias("n_chars"), char.alias("_c")).groupBy(key, "n_chars", "_c").agg(F.count("_c").alias("_k"))
-    k = F.col("_k").cast("double")
-    sums = counts.groupBy(key, "n_chars").agg(F.sum("_k").alias("_n"), F.sum(F.when(k > 0, k * F.log2(k)).otherwise(0.0)).alias("_s"))
-    n = F.col("_n").cast("double")
-    return sums.select(key, F.when(n > 0, F.greatest(F.log2(n) - F.col("_s") / n, F.lit(0.0))).otherwise(0.0).alias("entropy"), "n_chars")
+    """(key, entropy, n_chars) of every row, for texts of any length.
+
+    Texts of up to ``BLOCK_CHARS`` characters are counted inside their row. Longer ones are cut into blocks, which give a row for each of their
+    different characters. Rows are kept apart whatever their key is; a null text has entropy 0 and no length.
+    """
+    rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.length(text).cast("bigint").alias("n_chars"))
+    long = F.coalesce(F.col("n_chars") > BLOCK_CHARS, F.lit(False))
+    short = rows.where(~long).select(F.col("_key").alias(key), shannon_entropy(F.col("_text")).alias("entropy"), "n_chars")
+    starts = F.sequence(F.lit(0), F.floor((F.col("n_chars") - 1) / BLOCK_CHARS).cast("int"))
+    blocks = rows.where(long).select(
+        F.monotonically_increasing_id().alias("_row"), "_key", "n_chars",
+        F.explode(F.transform(starts, lambda b: F.substring("_text", b * BLOCK_CHARS + 1, BLOCK_CHARS))).alias("_block"),
+    )
+    letters = F.array_distinct(F.regexp_extract_all(F.col("_block"), F.lit("(?s)."), F.lit(0)))
+    own = F.transform(letters, lambda c: F.struct(c.alias("c"), (F.length("_block") - F.length(F.replace(F.col("_block"), c, F.lit("")))).cast("bigint").alias("k")))
+    counts = blocks.select("_row", "_key", "n_chars", F.inline(own)).groupBy("_row", "c").agg(F.first("_key").alias("_key"), F.first("n_chars").alias("n_chars"), F.sum("k").alias("k"))
+    share = F.col("k") / F.col("n_chars")
+    summed = counts.groupBy("_row").agg(F.first("_key").alias(key), F.sum(-share * F.log2(share)).alias("entropy"), F.first("n_chars").alias("n_chars"))
+    return short.unionByName(summed.select(key, (F.greatest("entropy", F.lit(0.0)) + 0.0).alias("entropy"), "n_chars"))
 
 
 def pseudonymize(value: Column, key: bytes) -> Column:
