@@ -45,8 +45,8 @@ def entropy_by_row(df: DataFrame, key: str, text: str) -> DataFrame:
     long = F.coalesce(F.col("n_chars") > BLOCK_CHARS, F.lit(False))
     short = rows.where(~long).select(F.col("_key").alias(key), shannon_entropy(F.col("_text")).alias("entropy"), "n_chars")
     starts = F.sequence(F.lit(0), F.floor((F.col("n_chars") - 1) / BLOCK_CHARS).cast("int"))
-    blocks = rows.where(long).select(
-        F.monotonically_increasing_id().alias("_row"), "_key", "n_chars",
+    blocks = rows.where(long).withColumn("_row", F.monotonically_increasing_id()).select(
+        "_row", "_key", "n_chars",
         F.explode(F.transform(starts, lambda b: F.substring("_text", b * BLOCK_CHARS + 1, BLOCK_CHARS))).alias("_block"),
     )
     letters = F.array_distinct(F.regexp_extract_all(F.col("_block"), F.lit("(?s)."), F.lit(0)))
