@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import title
+from tidewatch.operators.boosting import SoftmaxBoostingClassifier
 from tidewatch.operators.evaluation import curve_areas, curve_points, security_metrics, weighted_metrics
+from tidewatch.operators.neural import ReluNetClassifier
 from tidewatch.operators.preparation import Preparation
 from tidewatch.session import materialize
 
@@ -29,8 +31,13 @@ SEARCH_SPACE = {
     "gradient_boosting": {"stepSize": [0.05, 0.1], "maxIter": [100, 200], "maxDepth": [4, 6], "subsamplingRate": [0.8, 1.0]},
     "neural_network": {"hidden": [(128, 64), (64, 32), (128,)], "maxIter": [100, 200], "tol": [1e-6, 1e-4]},
 }
-FOLDS = {"random_forest": 5, "gradient_boosting": 5, "neural_network": 3}
-DRAWS = {"random_forest": 8, "gradient_boosting": 8, "neural_network": 6}
+# The spaces of the models of this library, for ``train_models(spaces=...)``.
+OWN_SPACE = {
+    "relu_network": {"learningRate": [0.001, 0.0005], "batchSize": [128, 256], "alpha": [1e-4, 1e-3]},
+    "softmax_boosting": {"stepSize": [0.05, 0.1], "maxIter": [100, 200], "maxDepth": [4, 6], "subsamplingRate": [0.8, 1.0]},
+}
+FOLDS = {"random_forest": 5, "gradient_boosting": 5, "neural_network": 3, "relu_network": 3, "softmax_boosting": 5}
+DRAWS = {"random_forest": 8, "gradient_boosting": 8, "neural_network": 6, "relu_network": 6, "softmax_boosting": 8}
 HIDDEN = (128, 64)
 
 
@@ -49,6 +56,10 @@ def base_model(name: str, n_features: int, n_classes: int, label: str, weight: s
     if name == "neural_network":
         layers = [n_features, *HIDDEN, n_classes]
         return MultilayerPerceptronClassifier(labelCol=label, seed=seed, layers=layers, maxIter=200)
+    if name == "relu_network":
+        return ReluNetClassifier(labelCol=label, seed=seed, hidden=list(HIDDEN))
+    if name == "softmax_boosting":
+        return SoftmaxBoostingClassifier(labelCol=label, seed=seed)
     raise ValueError(f"unknown model: {name!r}")
 
 
@@ -63,7 +74,7 @@ def _with_settings(model: Estimator, settings: dict) -> Estimator:
     copy = model.copy()
     target = copy.getClassifier() if isinstance(copy, OneVsRest) else copy
     for name, value in settings.items():
-        if name == "hidden":
+        if name == "hidden" and target.hasParam("layers"):
             layers = target.getLayers()
             name, value = "layers", [layers[0], *value, layers[-1]]
         target.set(target.getParam(name), value)
