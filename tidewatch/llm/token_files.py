@@ -43,8 +43,8 @@ MAGIC = b"TWIDS001"
 HEAD = len(MAGIC) + 33
 LEVEL = 3
 READ_BYTES = 4_000_000
-SLICE_CHARS = 500_000
-TABLE_PIECES = 100_000
+SLICE_CHARS = 1_000_000
+TABLE_PIECES = 300_000
 #: Between ASCII white space the vocabulary of words begins anew: its pattern matches no white space, and normalization crosses none.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: In lower-case Latin texts it does so too between letters or digits and other signs, but for the apostrophe before a letter.
