@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewatch.operators import evaluation, explanation, neighbours, preparation, sampling, training
+from tidewatch.operators import boosting, chain, evaluation, explanation, neighbours, neural, preparation, sampling, training
 from tidewatch.plans import inputs
 from tidewatch.plans.inputs import round6, sql6
-from tidewatch.session import materialize
+from tidewatch.session import materialize, shared_dir
 
 _WIDTH = 16
 _COLUMNS = [f"f{i}" for i in range(_WIDTH)]
@@ -157,8 +160,6 @@ def _model_tables(spark, sf):
 
 
 def _forest(table):
-    from pyspark.ml.classification import RandomForestClassifier
-
     return RandomForestClassifier(labelCol="y", seed=42, numTrees=20, maxDepth=5).fit(table.where("split = 'train'"))
 
 
@@ -227,12 +228,38 @@ def model_robustness(spark, sf):
     )
 
 
+def own_classifiers(spark, sf):
+    """The net and the softmax boosting next to a forest on the held-out rows: whether the weighted F1 is within 0.01 of the forest's, or above."""
+    table = _model_tables(spark, sf)
+    train, test = table.where("split = 'train'"), table.where("split = 'test'")
+    net = neural.ReluNetClassifier(labelCol="y", hidden=[32, 16], maxIter=20, batchSize=32, learningRate=0.01, shards=2).fit(train)
+    trees = boosting.SoftmaxBoostingClassifier(labelCol="y", maxIter=8, maxDepth=3, stepSize=0.5).fit(train)
+    least = evaluation.weighted_metrics(_forest(table).transform(test), "y").first().f1 - 0.01
+    found = [(n, evaluation.weighted_metrics(m.transform(test), "y").first().f1 >= least, test.count()) for n, m in (("relu_network", net), ("softmax_boosting", trees))]
+    return spark.createDataFrame(found, "model string, as_good boolean, n bigint")
+
+
+def named_chain(spark, sf):
+    """Raw rows with text labels through the saved and loaded chain: by label the rows, those whose score is that of the chain in memory, and those named by a known label."""
+    raw = _training_table(spark, sf).withColumn("label", F.when(F.col("y") == 1, "Attack").otherwise("Benign")).withColumn("f0", F.when(F.col("vec_id") % 9 != 0, F.col("f0")))
+    split = materialize(sampling.stratified_split(raw, "label", ["vec_id"]), "split")
+    forest = RandomForestClassifier(labelCol="label_index", seed=42, numTrees=5)
+    balanced = lambda df, columns, label: neighbours.smote(df, columns, label, ["vec_id"]).select(*columns, label)
+    fitted = chain.fit_chain(split.where("split = 'train'"), _COLUMNS, "label", forest, "Attack", k=8, balance=balanced)
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/chain-{uuid.uuid4().hex}"
+    fitted.write().save(folder)
+    test = split.where("split = 'test'").select("vec_id", "label", *_COLUMNS)
+    there = PipelineModel.load(folder).transform(test)
+    both = there.join(fitted.transform(test).select("vec_id", F.col("score").alias("_score")), "vec_id")
+    return both.groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("score") == F.col("_score")).alias("n_equal"), F.count_if(F.col("predicted_label").isin("Attack", "Benign")).alias("n_named"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         stratified_split, stratified_folds, seeded_sample, nearest_neighbours, neighbour_recall, smote_counts, confusion_matrix,
         weighted_metrics, security_metrics, roc_curve, pr_curve, threshold_sweep, threshold_choice, error_drivers,
-        example_rows, model_scores, model_comparison, model_attribution, model_explanations, model_importance, model_robustness,
+        example_rows, model_scores, model_comparison, model_attribution, model_explanations, model_importance, model_robustness, own_classifiers, named_chain,
     )
 }
 
@@ -256,6 +283,8 @@ ORACLES = {
     "model_attribution": f"SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(16 * sum(n) AS BIGINT) AS n_values, CAST(sum(n) AS BIGINT) AS n_exact FROM ({_TEST_SQL})",
     "model_explanations": "SELECT 0 AS n_strange, 0 AS n_short, 0 AS n_untold, true AS few",
     "model_importance": f"SELECT {_WIDTH} AS n, {sql6('1.0')} AS total, 0 AS n_wrong",
+    "own_classifiers": f"SELECT unnest(['relu_network', 'softmax_boosting']) AS model, true AS as_good, CAST((SELECT sum(n) FROM ({_TEST_SQL})) AS BIGINT) AS n",
+    "named_chain": f"SELECT CASE WHEN y = 1 THEN 'Attack' ELSE 'Benign' END AS label, n, n AS n_equal, n AS n_named FROM ({_TEST_SQL})",
     "model_robustness": "SELECT true AS noise_hurts, true AS learned, true AS drop",
     "stratified_split": """WITH r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY doc_id * 2654435761 % 4294967296 * 2147483648 + doc_id) AS rn,
         count(*) OVER (PARTITION BY quality) AS n FROM labels)
