@@ -10,7 +10,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewatch.operators import boosting, chain, evaluation, explanation, neighbours, neural, preparation, sampling, training
+from tidewatch.operators import boosting, chain, evaluation, explanation, neighbours, neural, preparation, profile, sampling, training
 from tidewatch.plans import inputs
 from tidewatch.plans.inputs import round6, sql6
 from tidewatch.session import materialize, shared_dir
@@ -254,12 +254,62 @@ def named_chain(spark, sf):
     return both.groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("score") == F.col("_score")).alias("n_equal"), F.count_if(F.col("predicted_label").isin("Attack", "Benign")).alias("n_named"))
 
 
+def threshold_detail(spark, sf):
+    """The recommended threshold and the rows of the three fixed ones."""
+    found = evaluation.threshold_analysis(_scored(spark, sf), F.col("label") == 1, "score")
+    return found.select("kind", "tp", "fp", "fn", *[round6(c).alias(c) for c in ("threshold", "precision", "recall", "f1")])
+
+
+def error_advice(spark, sf):
+    """What the errors of the scored rows recommend."""
+    found = evaluation.error_analysis(_scored(spark, sf), F.col("label") == 1, F.col("prediction") == 1, ["a", "b"])
+    return evaluation.recommendations(found)
+
+
+def search_folds(spark, sf):
+    """Two settings searched over two folds: the mean F1 counted again from the predictions of each fold, which no other setting's exceeds."""
+    table = _model_tables(spark, sf)
+    folded = materialize(sampling.stratified_folds(table.where("split = 'train'"), "y", ["vec_id"], 2), "folds")
+    model, settings = RandomForestClassifier(labelCol="y", seed=42, numTrees=10), [{"maxDepth": 1}, {"maxDepth": 6}]
+    best, score = training.search(model, settings, folded, "y", "fold", 2)
+    means = {}
+    for s in settings:
+        each = []
+        for fold in range(2):
+            scored = training._with_settings(model, s).fit(folded.where(F.col("fold") != fold)).transform(folded.where(F.col("fold") == fold))
+            counts = scored.groupBy("y", "prediction").agg(F.count("*").alias("n"))
+            own = materialize(counts, "fold-counts")
+            by = [own.where(F.col("y") == c).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("prediction") == c, F.col("n")).otherwise(0)).alias("tp")).withColumn("c", F.lit(float(c))) for c in (0, 1)]
+            called = own.groupBy(F.col("prediction").alias("c")).agg(F.sum("n").alias("called"))
+            classes = by[0].unionByName(by[1]).join(called, "c", "left").fillna(0, ["called"])
+            each.append(classes.agg((F.sum(2 * F.col("tp") / (F.col("n") + F.col("called")) * F.col("n")) / F.sum("n")).alias("f1")).first().f1)
+        means[s["maxDepth"]] = sum(each) / 2
+    rows = [(d, abs(m - score) < 1e-9 if best["maxDepth"] == d else m < score + 1e-9) for d, m in means.items()]
+    return spark.createDataFrame(rows, "max_depth int, mean_agrees boolean")
+
+
+def load_gate(spark, sf):
+    """A table that is checked before training: what is wrong with it, if anything, when it lacks the label, columns or rows."""
+    table = inputs.table(spark, sf, "labels")
+    n = table.count()
+    cases = {"as it is": (table, "quality", n, 2), "no label": (table, "verdict", n, 2), "few columns": (table.select("doc_id", "quality"), "quality", n, 2), "few rows": (table, "quality", n + 1, 2)}
+    rows = []
+    for name, (df, label, least, width) in cases.items():
+        try:
+            profile.check_dataset(df, label, least, width, {"quality"})
+            rows.append((name, None))
+        except ValueError as e:
+            rows.append((name, str(e)))
+    return spark.createDataFrame(rows, "case string, complaint string")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         stratified_split, stratified_folds, seeded_sample, nearest_neighbours, neighbour_recall, smote_counts, confusion_matrix,
         weighted_metrics, security_metrics, roc_curve, pr_curve, threshold_sweep, threshold_choice, error_drivers,
         example_rows, model_scores, model_comparison, model_attribution, model_explanations, model_importance, model_robustness, own_classifiers, named_chain,
+        threshold_detail, error_advice, search_folds, load_gate,
     )
 }
 
@@ -283,6 +333,22 @@ ORACLES = {
     "model_attribution": f"SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(16 * sum(n) AS BIGINT) AS n_values, CAST(sum(n) AS BIGINT) AS n_exact FROM ({_TEST_SQL})",
     "model_explanations": "SELECT 0 AS n_strange, 0 AS n_short, 0 AS n_untold, true AS few",
     "model_importance": f"SELECT {_WIDTH} AS n, {sql6('1.0')} AS total, 0 AS n_wrong",
+    "threshold_detail": f"""WITH {_SCORED_SQL}, {_SWEEP_CTE},
+        d AS (SELECT t AS threshold, count(*) FILTER (label = 1 AND score >= t) AS tp, count(*) FILTER (label = 0 AND score >= t) AS fp, count(*) FILTER (label = 1 AND score < t) AS fn
+          FROM scored, (VALUES (0.3::DOUBLE), (0.5::DOUBLE), (0.7::DOUBLE)) v(t) GROUP BY 1),
+        rows AS (SELECT 'detail' AS kind, threshold, tp, fp, fn, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall,
+          CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1 FROM d
+          UNION ALL (SELECT 'recommended', threshold, tp, fp, fn, precision, recall, f1 FROM sweep ORDER BY (recall >= 0.85 AND f1 > 0) DESC, f1 DESC, threshold LIMIT 1))
+        SELECT kind, tp, fp, fn, {sql6('threshold')} AS threshold, {sql6('precision')} AS precision, {sql6('recall')} AS recall, {sql6('f1')} AS f1 FROM rows""",
+    "error_advice": f"""WITH {_SCORED_SQL}, cells AS (SELECT *, {_CELL} AS cell FROM scored),
+        m AS (SELECT 'a' AS f, abs(avg(a) FILTER (cell = 'FP') - avg(a) FILTER (cell = 'TN')) AS d FROM cells UNION ALL SELECT 'b', abs(avg(b) FILTER (cell = 'FP') - avg(b) FILTER (cell = 'TN')) FROM cells),
+        advice AS (SELECT 0 AS o, 'False positives often show unusual values in: ' || string_agg(f, ', ' ORDER BY d DESC, f) AS recommendation, (SELECT count(*) FROM cells WHERE cell = 'FP') AS n FROM m
+          UNION ALL SELECT 1, 'False negatives may indicate evasion — consider retraining with adversarial samples.', (SELECT count(*) FROM cells WHERE cell = 'FN')
+          UNION ALL SELECT 2, 'Monitor feature drift monthly and retrain with new attack samples.', 1)
+        SELECT CAST(row_number() OVER (ORDER BY o) - 1 AS INTEGER) AS position, recommendation FROM advice WHERE n > 0""",
+    "search_folds": "SELECT * FROM (VALUES (1, true), (6, true)) v(max_depth, mean_agrees)",
+    "load_gate": """SELECT * FROM (VALUES ('as it is', NULL), ('no label', 'label column ''verdict'' not found'), ('few columns', '1 features, expected at least 2'),
+        ('few rows', 'fewer than ' || (SELECT count(*) + 1 FROM labels) || ' rows')) v("case", complaint)""",
     "own_classifiers": f"SELECT unnest(['relu_network', 'softmax_boosting']) AS model, true AS as_good, CAST((SELECT sum(n) FROM ({_TEST_SQL})) AS BIGINT) AS n",
     "named_chain": f"SELECT CASE WHEN y = 1 THEN 'Attack' ELSE 'Benign' END AS label, n, n AS n_equal, n AS n_named FROM ({_TEST_SQL})",
     "model_robustness": "SELECT true AS noise_hurts, true AS learned, true AS drop",
