@@ -80,3 +80,15 @@ def test_small_and_empty_corpora(spark):
     blank = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
     assert [(r._n_tokens, r._log_likelihood) for r in lm.fit_and_score(blank).collect()] == [(0, 0.0)] * 2
     assert lm.fit_and_score(blank.limit(0)).collect() == []
+
+
+def test_every_position_is_a_target(spark, monkeypatch):
+    docs = spark.createDataFrame([*enumerate(corpus(40, 5))], "doc_id long, text string").repartition(1)
+    vocabulary, first = lm.learn_vocabulary(docs, words=128, buckets=32)
+    weights = []
+    averaged = lm._averaged
+    monkeypatch.setattr(lm, "_averaged", lambda copies, chunks: weights.append(copies.where("chunk = 0").agg({"weight": "sum"}).first()[0]) or averaged(copies, chunks))
+    lm.train(lm.encode(docs, vocabulary), vocabulary, first)
+    assert sum(weights) == 40 * 36
+    with pytest.raises(ValueError):
+        lm.train(lm.encode(docs, vocabulary), vocabulary, first, rounds=2, stride=3)

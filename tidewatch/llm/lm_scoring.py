@@ -5,8 +5,9 @@ place are added, pass a tanh, and a two-level softmax gives the probability of t
 block. A document's score is the sum of these conditional log-probabilities over all its tokens.
 
 Words are the ``words - buckets`` most frequent of the whole corpus; all others share ``buckets`` symbols by hash.
-Training goes over all documents: in each round every task trains a copy of the network on its documents, one position in
-``stride`` (another share each round), and the copies are averaged, weighted by their positions. What is shuffled grows with the
+Training goes over all positions of all documents: in each round every task trains a copy of the network on its documents, one
+position in ``stride`` (another share each round, so ``rounds`` of them take every position), and the copies are averaged,
+weighted by their positions. What is shuffled grows with the
 corpus; what reaches the driver is the vocabulary and one network.
 
 Defined results: null texts and texts without a word have no tokens and score 0. Equal texts have equal scores up to rounding. A
@@ -30,7 +31,8 @@ REACH = 2
 BLOCK_WORDS = 64
 HIDDEN = 24
 CHUNK = 8192
-STEP_POSITIONS = 1024
+#: A task's steps grow from the first to the second number of positions, by its positions so far.
+STEP_POSITIONS = 1024, 4096
 SCORE_POSITIONS = 1 << 14
 COUNT_FLUSH = 300_000
 
@@ -60,10 +62,11 @@ class Network:
         return Network(*out)
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        h = self.into[0][around[:, 0]]
+        h = np.take(self.into[0], around[:, 0], axis=0)
         for k in range(1, around.shape[1]):
-            h += self.into[k][around[:, k]]
-        return np.tanh(h + self.bias)
+            h += np.take(self.into[k], around[:, k], axis=0)
+        h += self.bias
+        return np.tanh(h, out=h)
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         order, cuts = _by_block(target, len(self.word_bias))  # tokens of a block side by side
@@ -89,13 +92,13 @@ def _log_probability(z: np.ndarray, target: np.ndarray) -> np.ndarray:
     chosen = z[np.arange(len(z)), target] - most
     z -= most[:, None]
     np.exp(z, out=z)
-    return chosen - np.log(z.sum(axis=1))
+    return chosen - np.log(z @ np.ones(z.shape[1], z.dtype))
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
     z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+    z /= z @ np.ones((z.shape[1], 1), z.dtype)
     return z
 
 
@@ -121,6 +124,10 @@ class Trainer:
         self.sums = [np.full(a.shape if k else a.shape[:2], 1e-2, np.float32) for k, a in enumerate(self.net.arrays())]
         self.seen = 0
 
+    def next_step(self) -> int:
+        least, most = STEP_POSITIONS
+        return min(most, least * (1 + self.seen // (16 * least)))
+
     def step(self, around: np.ndarray, target: np.ndarray) -> None:
         net, n = self.net, len(target)
         into, bias, to_block, block_bias, to_word, word_bias = net.arrays()
@@ -144,10 +151,13 @@ class Trainer:
             grad = grad / n
             self.sums[k] += grad * grad
             net.arrays()[k] -= self.rate * grad / np.sqrt(self.sums[k])
+        around = around.astype(np.min_scalar_type(into.shape[1]))  # short numbers are sorted by digits
         for k in range(2 * REACH):
             order = np.argsort(around[:, k], kind="stable")
-            rows, first = np.unique(around[order, k], return_index=True)
-            grad = np.add.reduceat(dh[order], first, axis=0) / n
+            own = around[order, k]
+            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            rows = own[first].astype(np.int64)
+            grad = np.add.reduceat(np.take(dh, order, axis=0), first, axis=0) / n
             self.sums[0][k, rows] += (grad * grad).mean(axis=1)
             into[k, rows] -= self.rate * grad / np.sqrt(self.sums[0][k, rows])[:, None]
         self.seen += n
@@ -271,7 +281,9 @@ def learn_vocabulary(docs: DataFrame, words: int = 2048, buckets: int = 256, tex
     return vocabulary, first_network(np.array([n for _, n in top] + [rest / vocabulary.buckets] * vocabulary.buckets, dtype=float))
 
 
-def train(encoded: DataFrame, vocabulary: Vocabulary, net: Network, rounds: int = 2, stride: int = 16) -> Network:
+def train(encoded: DataFrame, vocabulary: Vocabulary, net: Network, rounds: int = 2, stride: int = 2) -> Network:
+    if stride > rounds:
+        raise ValueError("with fewer rounds than stride, positions are left out")
     size = vocabulary.size
     slim = encoded.select("_codes").where("size(_codes) > 0")
     chunks = -(-net.flat().size // CHUNK)
@@ -284,9 +296,10 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, net: Network, rounds: int
                 take = np.flatnonzero(mix(np.arange(len(codes), dtype=np.uint64)) % np.uint64(stride) == turn % stride)
                 around, target = np.concatenate((around, contexts(codes, starts, size, take))), np.concatenate((target, codes[take]))
                 order = np.argsort(mix(np.arange(len(target), dtype=np.uint64)))
-                n = len(order) - len(order) % STEP_POSITIONS
-                for k in range(0, n, STEP_POSITIONS):
-                    trainer.step(around[order[k : k + STEP_POSITIONS]], target[order[k : k + STEP_POSITIONS]])
+                n = 0
+                while n + (step := trainer.next_step()) <= len(order):
+                    trainer.step(around[order[n : n + step]], target[order[n : n + step]])
+                    n += step
                 around, target = around[order[n:]], target[order[n:]]
             if len(target):
                 trainer.step(around, target)
@@ -325,7 +338,7 @@ def score(encoded: DataFrame, vocabulary: Vocabulary, net: Network) -> DataFrame
     return encoded.mapInArrow(run, schema)
 
 
-def fit_and_score(docs: DataFrame, words: int = 2048, buckets: int = 256, rounds: int = 2, stride: int = 16, text_col: str = "text") -> DataFrame:
+def fit_and_score(docs: DataFrame, words: int = 2048, buckets: int = 256, rounds: int = 2, stride: int = 2, text_col: str = "text") -> DataFrame:
     """Learn from all of ``docs`` and score each; the codes are written once and read by every round."""
     vocabulary, net = learn_vocabulary(docs, words, buckets, text_col)
     encoded = materialize(encode(docs, vocabulary, text_col), "codes")
