@@ -165,3 +165,12 @@ def test_entropy_keeps_rows_apart(spark):
         return round(-sum(p * math.log2(p) for p in shares) + 0.0, 9)
 
     assert found == sorted(((i, plain(t), None if t is None else len(t)) for i, t in rows), key=repr)
+
+
+def test_letters_of_short_texts_are_counted_in_one_pass(spark):
+    rows = [("a", "abab"), ("b", None), ("c", ""), ("d", "xxxx"), ("e", "\U0001f600\U0001f600\U00010000z"), (None, "\n\n\r\r")]
+    found = entropy_by_row(spark.createDataFrame(rows, "k string, t string"), "k", "t")
+    # a search of the whole text for each of its letters would be in the expressions of a short row
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "aggregate(" not in plan
+    assert {r.k: (r.entropy, r.n_chars) for r in found.collect()} == {"a": (1.0, 4), "b": (0.0, None), "c": (0.0, 0), "d": (0.0, 4), "e": (1.5, 4), None: (1.0, 4)}
