@@ -174,3 +174,16 @@ def test_letters_of_short_texts_are_counted_in_one_pass(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "aggregate(" not in plan
     assert {r.k: (r.entropy, r.n_chars) for r in found.collect()} == {"a": (1.0, 4), "b": (0.0, None), "c": (0.0, 0), "d": (0.0, 4), "e": (1.5, 4), None: (1.0, 4)}
+
+
+def test_numbered_rows_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    numbered = ordering.with_line_numbers(spark.range(1, 1001, 1, 4).mapInArrow(rows, "id long"), ["id"])
+    assert [(r.id, r.line_number) for r in numbered.orderBy("id").collect()] == [(i, i) for i in range(1, 1001)]
+    assert made.value == 1000

@@ -44,6 +44,7 @@ def with_line_numbers(df: DataFrame, order: list, name: str = "line_number") ->
     Ties in ``order`` are broken by a hash of the row, which also lets the range partitioning cut
     through a value that many rows share.
     """
+    df = materialize(df, "unnumbered")  # the ranges are sampled from the rows, which are made once
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     ranged = (
         df.withColumn("_tie", tie)
