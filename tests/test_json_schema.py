@@ -76,3 +76,18 @@ def test_a_contract_of_its_own(spark):
         (4, "record is not valid JSON"), (4, "Missing required top-level field(s): a, b"), (5, "record is not valid JSON"), (5, "Missing required top-level field(s): a, b"),
     ]
     assert [r.id for r in valid_events(docs, "doc", ["id"], contract=contract).collect()] == [1]
+
+
+def test_rules_are_flat_and_read_once(spark):
+    inner = {"type": "object", "required": ["x"], "properties": {"x": {"enum": ["a"]}, "y": {"type": "number"}}}
+    schema = {"required": ["o"], "properties": {"o": inner, "n": {"maximum": 3}}, "if": {"required": ["n"], "properties": {"n": {"const": 1}}}, "then": {"required": ["p"]}}
+    values = [{"o": {"x": "a"}}, {"o": {"x": "b", "y": None}}, {"n": 1, "o": {}}, {"n": 4, "o": []}]
+    assert messages(spark, schema, values) == [
+        [], [("o.x", "'b' is not one of ['a']"), ("o.y", "None is not of type 'number'")], [("(root)", "'p' is a required property"), ("o", "'x' is a required property")],
+        [("n", "4 is greater than the maximum of 3"), ("o", "[] is not of type 'object'")],
+    ]
+    docs = spark.createDataFrame([(1, "{}")], "id int, doc string").select("id", parse_strict(F.col("doc")).alias("v"))
+    plan = check_documents(docs, "v", Schema(schema), ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter (size(" not in plan
+    # nothing is opened by a function over an array but the names of a message
+    assert plan.count("lambdafunction") <= 1, plan

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.jsons import parse_pair, strict_value
-from tidewatch.operators.json_schema import Schema, literal, members, read_schema, required_of
+from tidewatch.operators.json_schema import BASE, Schema, literal, members, reach, read_schema, required_of
 
 
 class Contract(NamedTuple):
@@ -127,21 +127,21 @@ def read_contract(spark: SparkSession, path: str, mandatory: tuple[str, ...] = (
     return Contract(read_schema(spark, path), mandatory)
 
 
-def _whole(schema: Schema, contract: Contract) -> str:
-    """Findings on the record as a whole: text that is not JSON, then the mandatory sections, the last of them first."""
+def _whole(schema: Schema, contract: Contract) -> list[str]:
+    """Entries on the record as a whole: text that is not JSON, then the mandatory sections, the last of them first."""
     none = schema.add_rule((), "json", "text", "record is not valid JSON", whole=True)
-    found = [f"CASE WHEN _v IS NULL THEN {schema.entry(none)} END"]
+    found = [f"CASE WHEN {BASE} IS NULL THEN {schema.entry(none)} END"]
     if contract.mandatory:
-        sections = {n: f"try_element_at({members('_v')}, {literal(n)})" for n in contract.mandatory}
-        absent = f"filter(array({', '.join(f'CASE WHEN {v} IS NULL THEN {literal(n)} END' for n, v in sections.items())}), n -> n IS NOT NULL)"
+        gone = {n: f"{reach(BASE, (n,))} IS NULL" for n in contract.mandatory}
+        absent = f"array_compact(array({', '.join(f'CASE WHEN {v} THEN {literal(n)} END' for n, v in gone.items())}))"
         top = schema.add_rule((), "mandatory", "plain", "Missing required top-level field(s): ", whole=True)
-        found.append(f"CASE WHEN size({absent}) > 0 THEN {schema.entry(top, names=absent)} END")
+        found.append(f"CASE WHEN {' OR '.join(gone.values())} THEN {schema.entry(top, names=absent)} END")
         for name in reversed(contract.mandatory):
             own = ", ".join(map(literal, required_of(contract.schema, name)))
-            gone = f"array_except(CAST(array({own}) AS array<string>), map_keys({members(sections[name])}))"
+            lacking = f"array_except(CAST(array({own}) AS array<string>), map_keys({members(reach(BASE, (name,)))}))"
             rule = schema.add_rule((), "mandatory", "plain", f"Missing required {name} field(s): ", whole=True)
-            found.append(f"CASE WHEN size({absent}) = 0 AND size({gone}) > 0 THEN {schema.entry(rule, names=gone)} END")
-    return f"filter(array({', '.join(found)}), e -> e IS NOT NULL)"
+            found.append(f"CASE WHEN NOT ({' OR '.join(gone.values())}) AND size({lacking}) > 0 THEN {schema.entry(rule, names=lacking)} END")
+    return found
 
 
 def _opened(df: DataFrame, json: str, keys: list[str]) -> DataFrame:
@@ -165,12 +165,12 @@ def _with_mandatory(contract: Contract) -> dict:
 def _contract_findings(df: DataFrame, json: str, keys: list[str], strict: bool, contract: Contract) -> DataFrame:
     """Unordered findings: keys, ``_order`` (path, then place in the schema), ``path``, ``keyword``, ``message``."""
     schema = Schema(contract.schema, strict)
-    found = F.expr(f"concat({_whole(schema, contract)}, {schema.findings_sql('_v')})")
-    read = _broken(df, json, keys, strict, contract).select(*keys, F.posexplode(found).alias("_i", "_f")).select(*keys, "_i", schema.described(F.col("_f")).alias("_d"))
-    path = F.when(F.size("_d.path") == 0, F.lit("(root)")).otherwise(F.array_join("_d.path", "."))
-    order = F.struct((~F.col("_d.whole")).alias("inside"), F.col("_d.steps").alias("steps"), F.col("_i").alias("i"))
-    message = F.when(F.col("_d.whole"), F.col("_d.message")).otherwise(F.concat(F.lit("["), path, F.lit("] "), F.col("_d.message")))
-    return read.select(*keys, order.alias("_order"), path.alias("path"), F.col("_d.keyword").alias("keyword"), message.alias("message"))
+    whole = _whole(schema, contract)
+    found = schema.findings(_opened(df, json, keys), "_v", keys, whole)
+    read = found.select(*keys, "_i", *schema.described(F.col("_f")))
+    order = F.struct((~F.col("_whole")).alias("inside"), F.col("_steps").alias("steps"), F.col("_i").alias("i"))
+    message = F.when(F.col("_whole"), F.col("message")).otherwise(F.concat(F.lit("["), F.col("path"), F.lit("] "), F.col("message")))
+    return read.select(*keys, order.alias("_order"), "path", "keyword", message.alias("message"))
 
 
 def validate_events(df: DataFrame, json: str, keys: list[str], strict_formats: bool = False, contract: Contract = EVENT_CONTRACT) -> DataFrame:
