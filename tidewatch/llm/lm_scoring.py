@@ -16,6 +16,7 @@ corpus without a word leaves an untrained network over the shared symbols.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -226,18 +227,17 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) over all documents; tasks add up before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, int] = {}
+        held: Counter[str] = Counter()
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
 
         for _, texts in slices(batches, "_text"):
-            codes, distinct, _ = tokens([WORD.findall(t.lower()) if t else [] for t in texts])
-            for w, n in zip(distinct, np.bincount(codes, minlength=len(distinct)).tolist(), strict=True):
-                held[w] = held.get(w, 0) + n
+            for t in filter(None, texts):
+                held.update(WORD.findall(t.lower()))
             if len(held) > COUNT_FLUSH:
                 yield out()
-                held = {}
+                held = Counter()
         if held:
             yield out()
 
