@@ -92,3 +92,37 @@ def test_every_position_is_a_target(spark, monkeypatch):
     assert sum(weights) == 40 * 36
     with pytest.raises(ValueError):
         lm.train(lm.encode(docs, vocabulary), vocabulary, first, rounds=2, stride=3)
+
+
+def plain(net, around, target):
+    """Hidden units and the two softmaxes of each position, by the formula."""
+    h = np.tanh(sum(net.into[k, around[:, k]].astype(float) for k in range(around.shape[1])) + net.bias)
+    share = lambda z: (e := np.exp(z - z.max(axis=1, keepdims=True))) / e.sum(axis=1, keepdims=True)
+    block = target // lm.BLOCK_WORDS
+    return h, share(h @ net.to_block + net.block_bias), share(np.einsum("ij,ijk->ik", h, net.to_word[block]) + net.word_bias[block])
+
+
+@pytest.mark.parametrize("scale", [1, 400])  # the larger logits are shifted before exp
+def test_a_step_follows_the_formula_in_memory_that_is_taken_once(scale):
+    rng = np.random.default_rng(4)
+    net = lm.first_network(rng.integers(1, 50, 256).astype(float))
+    net.to_word[:], net.to_block[:] = net.to_word * scale, net.to_block * scale
+    around, target = rng.integers(0, 257, (500, 4)).astype(np.int32), rng.integers(0, 200, 500)  # a block without positions
+    h, p, q = plain(net, around, target)
+    at, block, word = np.arange(500), target // lm.BLOCK_WORDS, target % lm.BLOCK_WORDS
+    assert np.allclose(net.log_probability(around, target), np.log(p[at, block]) + np.log(q[at, word]), atol=1e-3 * scale**0.5)
+    p[at, block] -= 1
+    q[at, word] -= 1
+    dh = (p @ net.to_block.T + np.einsum("ik,ijk->ij", q, net.to_word[block])) * (1 - h * h)
+    grad = np.zeros(net.into[1].shape)
+    np.add.at(grad, around[:, 1], dh / 500)
+    wanted = net.into[1] - 0.1 * grad / np.sqrt(1e-2 + (grad**2).mean(axis=1))[:, None]
+    of_word = np.zeros(net.to_word.shape)
+    np.add.at(of_word, block, h[:, :, None] * q[:, None, :] / 500)
+    trainer = lm.Trainer(net)
+    trainer.step(around, target)
+    room = trainer.room
+    assert np.allclose(trainer.net.into[1], wanted, atol=1e-4)
+    assert np.allclose(trainer.net.to_word, net.to_word - 0.1 * of_word / np.sqrt(1e-2 + of_word**2), atol=1e-4)
+    trainer.step(around[:300], target[:300])
+    assert trainer.room is room and room.size == 500 * lm.BLOCK_WORDS
