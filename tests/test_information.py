@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 
+from tidewatch.operators import information
 from tidewatch.operators.information import neighbour_information
 from tidewatch.operators.preparation import select_features
 
@@ -52,3 +53,31 @@ def test_selection_and_empty_tables(spark):
     df = spark.createDataFrame([(float(i % 2 * 100 + i % 9), float(i % 13), i % 2) for i in range(400)], "good double, bad double, y int")
     assert select_features(df, ["bad", "good"], "y", 1, method="neighbours") == ["good"]
     assert neighbour_information(df.where("y > 7"), ["good"], "y").collect() == []
+
+
+def test_neighbours_cross_the_borders_of_small_blocks(spark):
+    """Blocks of fewer than k values; what is around a value is plain columns, so no row holds or sorts arrays."""
+    rng = np.random.default_rng(3)
+    x, y = np.round(rng.normal(size=60) * 20).tolist(), [f"c{i % 2}" for i in range(60)]
+    counts = spark.createDataFrame(list(zip(x, y)), "value double, _y string").groupBy("_y", "value").count().selectExpr("'x' AS feature", "_y", "value", "count AS n")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for k in (1, 3, 5):
+            around = information._around(counts, k)
+            assert not [c for c, kind in around.dtypes if kind.startswith("array")]
+            found = {(r["_y"], r["value"]): r for r in around.collect()}
+            assert len(found) == counts.count()
+            for (c, v), r in found.items():
+                own = {u: sum((a, b) == (u, c) for a, b in zip(x, y)) for u in sorted({a for a, b in zip(x, y) if b == c})}
+                left, right = [u for u in own if u < v][::-1], [u for u in own if u > v]
+                for i in range(1, k + 1):
+                    assert (r[f"_l{i}"], r[f"_ln{i}"]) == ((v - left[i - 1], own[left[i - 1]]) if i <= len(left) else (None, None))
+                    assert (r[f"_r{i}"], r[f"_rn{i}"]) == ((right[i - 1] - v, own[right[i - 1]]) if i <= len(right) else (None, None))
+            df = spark.createDataFrame(list(zip(x, y)), "x double, y string")
+            assert abs(neighbour_information(df, ["x"], "y", k).first().mutual_info - brute(x, y, k)) < 1e-9
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)

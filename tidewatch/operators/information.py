@@ -28,28 +28,47 @@ def digamma(n: Column) -> Column:
 
 
 def _around(counts: DataFrame, k: int) -> DataFrame:
-    """Each value of a (feature, class) with up to ``k`` values before and after it as ``near``: (value, n) pairs."""
+    """Each value of a (feature, class) with those up to ``k`` places before and after it: ``_l1``, ``_r1`` and so on are their distances, ``_ln1``, ``_rn1`` their counts."""
     group = ["feature", "_y"]
-    placed = materialize(counts.repartitionByRange(*group, "value").withColumn("_block", F.spark_partition_id()), "runs")
+    ranged = counts.repartitionByRange(*group, "value").withColumn("_block", F.spark_partition_id()).sortWithinPartitions(*group, "value")
+    placed = materialize(ranged.withColumn("_place", F.monotonically_increasing_id()), "runs")
     pair = F.struct("value", "n")
-    inside = Window.partitionBy("_block", *group).orderBy("value")
-    local = placed.select(
-        "*", F.collect_list(pair).over(inside.rowsBetween(-k, -1)).alias("_left"), F.collect_list(pair).over(inside.rowsBetween(1, k)).alias("_right"),
-        F.row_number().over(inside).alias("_from_start"), F.row_number().over(Window.partitionBy("_block", *group).orderBy(F.desc("value"))).alias("_from_end"),
-    )
-    local = materialize(local, "runs")
-    ends = local.where(F.least("_from_start", "_from_end") <= k).groupBy(*group, "_block").agg(
-        F.sort_array(F.collect_list(F.when(F.col("_from_start") <= k, pair))).alias("_first"), F.sort_array(F.collect_list(F.when(F.col("_from_end") <= k, pair))).alias("_last")
+    spans = placed.groupBy(*group, "_block").agg(F.min("_place").alias("_start"), F.max("_place").alias("_end"))  # one row a block and group
+    first, last = F.col("_place") - F.col("_start") < k, F.col("_end") - F.col("_place") < k
+    ends = placed.join(spans, [*group, "_block"]).where(first | last).groupBy(*group, "_block").agg(
+        F.sort_array(F.collect_list(F.when(first, pair))).alias("_first"), F.sort_array(F.collect_list(F.when(last, pair))).alias("_last")
     )
     # a block that has the group at all has a value of it, so k blocks are enough; one row a block and group
     blocks = Window.partitionBy(*group).orderBy("_block")
-    carried = ends.select(
-        *group, "_block", F.slice(F.reverse(F.flatten(F.collect_list("_last").over(blocks.rowsBetween(-k, -1)))), 1, k).alias("_before"),
-        F.slice(F.flatten(F.collect_list("_first").over(blocks.rowsBetween(1, k))), 1, k).alias("_after"),
-    )
-    joined = local.join(carried, [*group, "_block"])
-    missing = lambda own, more: F.concat(own, F.slice(more, 1, F.greatest(F.lit(k) - F.size(own), F.lit(0))))
-    return joined.select(*group, "value", "n", F.concat(missing(F.col("_left"), F.col("_before")), missing(F.col("_right"), F.col("_after"))).alias("near"))
+    before = F.slice(F.reverse(F.flatten(F.collect_list("_last").over(blocks.rowsBetween(-k, -1)))), 1, k)
+    after = F.slice(F.flatten(F.collect_list("_first").over(blocks.rowsBetween(1, k))), 1, k)
+    carried = ends.select(*group, "_block", F.concat(before, after).alias("_more")).select(*group, "_block", F.inline("_more"))
+    # a block's rows and at most k carried ones on either side of a group
+    both = placed.drop("_place").withColumn("_own", F.lit(True)).unionByName(carried.withColumn("_own", F.lit(False)))
+    inside = Window.partitionBy("_block", *group).orderBy("value")
+    near = [
+        c
+        for i in range(1, k + 1)
+        for c in (
+            (F.col("value") - F.lag("value", i).over(inside)).alias(f"_l{i}"), F.lag("n", i).over(inside).alias(f"_ln{i}"),
+            (F.lead("value", i).over(inside) - F.col("value")).alias(f"_r{i}"), F.lead("n", i).over(inside).alias(f"_rn{i}"),
+        )
+    ]
+    return both.select(*group, "value", "n", "_own", *near).where("_own").drop("_own")
+
+
+def _reach(k: int, wanted: Column) -> Column:
+    """The distance within which ``wanted`` other rows are: equal values first, then those around."""
+    own = F.col("n") - 1
+    found = [F.when(own >= wanted, F.lit(0.0))]
+    for side, other in (("_l", "_r"), ("_r", "_l")):
+        upto = own
+        for i in range(1, k + 1):
+            d = F.col(f"{side}{i}")
+            upto = upto + F.coalesce(f"{side}n{i}", F.lit(0))
+            across = sum((F.when(F.col(f"{other}{j}") <= d, F.col(f"{other}n{j}")).otherwise(0) for j in range(1, k + 1)), F.lit(0))
+            found.append(F.when(upto + across >= wanted, d))
+    return F.least(*found)  # leaves out nulls
 
 
 def neighbour_information(df: DataFrame, columns: list[str], label: str, k: int = 3) -> DataFrame:
@@ -60,12 +79,9 @@ def neighbour_information(df: DataFrame, columns: list[str], label: str, k: int
     sizes = counts.groupBy("feature", "_y").agg(F.sum("n").alias("class_n")).where("class_n > 1")  # a row a column and class
     counts = materialize(counts.join(sizes, ["feature", "_y"]).drop("class_n"), "counts")
 
-    # the distance to the k-th neighbour: equal values first, then those around
-    ranked = F.sort_array(F.transform("near", lambda p: F.struct(F.abs(p["value"] - F.col("value")).alias("d"), p["n"].alias("n"))))
     wanted = F.least(F.lit(k), F.col("class_n") - 1)
-    start = F.struct(F.lit(0.0).alias("d"), (F.col("n") - 1).cast("long").alias("n"))
-    reach = F.aggregate(ranked, start, lambda s, p: F.when(s["n"] >= wanted, s).otherwise(F.struct(p["d"].alias("d"), (s["n"] + p["n"]).alias("n"))))
-    around = _around(counts, k).join(sizes, ["feature", "_y"]).select("feature", "_y", "value", "n", "class_n", reach["d"].alias("d"), F.when(reach["d"] == 0, F.col("n")).otherwise(wanted).alias("k"))
+    around = _around(counts, k).join(sizes, ["feature", "_y"]).select("feature", "_y", "value", "n", "class_n", _reach(k, wanted).alias("d"), wanted.alias("k"))
+    around = around.withColumn("k", F.when(F.col("d") == 0, F.col("n")).otherwise(F.col("k")))
     # at an equal place, what asks for smaller values comes before them (0), what asks for these too behind them (2)
     low = F.struct((F.col("value") - F.col("d")).alias("place"), F.when(F.col("d") > 0, 2).otherwise(0).alias("turn"))
     high = F.struct((F.col("value") + F.col("d")).alias("place"), F.when(F.col("d") > 0, 0).otherwise(2).alias("turn"))
