@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from tidewatch.operators import evaluation, explanation, preparation, profile, sampling, training
+from tidewatch.operators import evaluation, explanation, neighbours, preparation, profile, sampling, training
 from tidewatch.operators.neighbours import exact_neighbours, nearest_neighbours, recall, smote
 from tidewatch.operators.ordering import quantiles
 
@@ -50,6 +50,52 @@ def test_few_points(spark):
     assert nearest_neighbours(df.limit(0), 4).collect() == [] and nearest_neighbours(df.limit(1), 4).collect() == []
 
 
+def shuffled(spark):
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty(30_000)
+    executors = context.statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def test_vectors_do_not_go_out_with_every_pair(spark):
+    joined = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 64)).astype("float32").astype(float)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "pid bigint, x array<double>").localCheckpoint()
+    before = shuffled(spark)
+    found = nearest_neighbours(df, 5).count()
+    tried = shuffled(spark) - before
+    # the vectors of the neighbours of each point and of those who have it as one, but not those of all pairs
+    assert found == 15000 and tried < 3000 * 20_000
+    exact = exact_neighbours(df, df, 5, 100).count()
+    # queries and points are not dealt out again for each of 30 blocks
+    assert exact == 15000 and shuffled(spark) - before - tried < 3000 * 3_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", joined)
+
+
+def test_neighbours_are_the_same_in_many_passes(spark, monkeypatch):
+    _, df = spots(spark, 20, 1500)
+    once = sorted(map(tuple, nearest_neighbours(df, 5, leaf_rows=64).collect()))
+    monkeypatch.setattr(neighbours, "PASS_BYTES", 300_000)
+    monkeypatch.setattr(neighbours, "MEET_ROWS", 300)
+    monkeypatch.setattr(neighbours, "MERGE_ROWS", 300)
+    assert sorted(map(tuple, nearest_neighbours(df, 5, leaf_rows=64).collect())) == once
+
+
+def test_ties_and_repeated_and_missing_ids(spark):
+    rows = [(i, [0.0, 0.1]) for i in range(40)] + [(7, [0.0, 0.1]), (100, [3.0, 1e300]), (None, [0.0, 0.2])]
+    df = spark.createDataFrame(rows, "pid bigint, x array<double>").repartition(5)
+    near = {}
+    for r in sorted(nearest_neighbours(df, 4).collect()):
+        near.setdefault(r.pid, []).append(r.nb)
+    wanted = {i: [j for j in range(6) if j != i][:4] for i in range(40)}
+    assert {k: v for k, v in near.items() if k < 100} == wanted and None not in near
+    one = spark.createDataFrame([(100, [0.0, 0.3])], df.schema)
+    exact = sorted(map(tuple, exact_neighbours(one, df.where("pid is null or pid > 38"), 4, 2).select("rank", "nb").collect()))
+    assert exact == [(1, None), (2, 39)]
+
+
 def test_smote(spark):
     rng = np.random.default_rng(0)
     rows = [(i, float(a), float(b), "rare" if i < 50 else "common") for i, (a, b) in enumerate(rng.normal(size=(230, 2)))]
