@@ -83,6 +83,13 @@ def test_neighbours_are_the_same_in_many_passes(spark, monkeypatch):
     assert sorted(map(tuple, nearest_neighbours(df, 5, leaf_rows=64).collect())) == once
 
 
+def test_points_that_trees_do_not_find(spark):
+    x = np.random.default_rng(12).normal(size=(4000, 32))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "pid bigint, x array<double>").localCheckpoint()
+    found = nearest_neighbours(df, 5, leaf_rows=32, trees=2, rounds=1)
+    assert recall(found, exact_neighbours(df, df, 5)).first().recall >= 0.95 and found.count() == 20000
+
+
 def test_ties_and_repeated_and_missing_ids(spark):
     rows = [(i, [0.0, 0.1]) for i in range(40)] + [(7, [0.0, 0.1]), (100, [3.0, 1e300]), (None, [0.0, 0.2])]
     df = spark.createDataFrame(rows, "pid bigint, x array<double>").repartition(5)

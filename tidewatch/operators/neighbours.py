@@ -5,6 +5,8 @@ are put in order (by the signs of some projections, then by another one) and cut
 neighbours inside a leaf are compared there. Then the neighbours of neighbours are tried, some rounds long: a
 point meets those who have it as a neighbour with its own neighbours, so no pair of candidates is a row, and only
 what is nearer than the neighbours known so far leaves the task. Vectors go out in passes of about ``PASS_BYTES``.
+Points spread evenly in many dimensions are not found like this. The recall is measured on a sample, and where it is
+too low all points are compared with all: quadratic, but in blocks and without pairs of blocks being shuffled.
 ``exact_neighbours`` compares a stated set of queries with all points, block by block, and measures the recall of
 the other; its blocks are read again from where they were written, and no copies of them are dealt out.
 """
@@ -29,6 +31,9 @@ ROUNDS = 2
 SPARE = 10
 BLOCK_ROWS = 2000
 MAX_CLASSES = 1000
+# the recall that the search must reach on about so many points
+ENOUGH = 0.97
+SAMPLE_ROWS = 1000
 # bytes of vectors that are on their way at once, points that are merged and that others meet at in one group
 PASS_BYTES = 500_000_000
 MERGE_ROWS = 8192
@@ -323,6 +328,7 @@ def nearest_neighbours(
 
     ``points`` has ``pid bigint``, no two alike, and ``x array<double>``. Ties are broken by the neighbour's
     id. With at most ``leaf_rows`` points the result is exact. The search keeps ``SPARE`` more than k of each.
+    Some points are compared with all; if too few of their nearest were found, every point is.
     """
     wide = k + SPARE
     packed = materialize(_packed(points.where(F.col("pid").isNotNull())), "points")
@@ -342,6 +348,14 @@ def nearest_neighbours(
     near = found[0] if passes == 1 else _written(_merged(_union(found), n, wide), "near")
     for _ in range(rounds):
         near = _written(_merged(_union([near, *_tried(near, packed, n, size, wide)]), n, wide), "near")
+    if n > leaf_rows:
+        sample = packed.where(F.pmod(F.xxhash64("pid", F.lit(seed)), F.lit(math.ceil(n / SAMPLE_ROWS))) == 0)
+        known = _blocks(packed, n, BLOCK_ROWS)
+        exact = _ranked(_compared(_blocks(sample, SAMPLE_ROWS, BLOCK_ROWS), known, SAMPLE_ROWS, k), k)
+        share = recall(_ranked(near, k), exact).first()["recall"]
+        if share is not None and share < ENOUGH:
+            # nothing but the comparison with all points tells who is near in such a table
+            near = _written(_compared(known, known, n, k), "near")
     return _ranked(near, k)
 
 
